@@ -98,19 +98,24 @@ def wide_shuffle(spark, folder):
 @query(
     "lay_05_planned_fraud_counts",
     on_orders(
-        "SELECT category, state, CAST(count(*) AS BIGINT) AS fraud_count, round(avg(amount), 2) AS avg_amount, "
-        "true AS filter_reaches_scan, true AS unused_columns_skipped, CAST(0 AS INT) AS python_stages "
+        "SELECT category, state, CAST(count(*) AS BIGINT) AS fraud_count, round(avg(amount), 8) AS avg_amount, "
+        "true AS filter_reaches_scan, 'amount,category,is_fraud,state' AS scanned, "
+        "CAST(1 AS INT) AS group_shuffles, CAST(0 AS INT) AS python_stages "
         "FROM tx_orders WHERE is_fraud = 1 GROUP BY category, state"
     ),
 )
 def planned_fraud_counts(spark, folder):
-    """The fraud counts together with what their plan reads."""
-    report = exploration.fraud_by_category_and_state(order_lines(spark, folder))
+    """Fraud counts of the stored table together with what their plan reads and shuffles."""
+    path = scratch_folder(spark, "stored")
+    write_parquet(order_lines(spark, folder), path)
+    report = exploration.fraud_by_category_and_state(read_parquet(spark, path))
     plan = summarize_plan(report)
-    return rounded(report, 2).withColumns(
+    return rounded(report, 8).withColumns(
         {
-            "filter_reaches_scan": F.lit("EqualTo(l_returnflag,R)" in plan.pushed_filters),
-            "unused_columns_skipped": F.lit("l_shipdate" not in plan.scan_columns),
+            "filter_reaches_scan": F.lit("EqualTo(is_fraud,1)" in plan.pushed_filters),
+            "scanned": F.lit(",".join(sorted(plan.scan_columns))),
+            # One shuffle groups, the other is the range exchange of the final sort.
+            "group_shuffles": F.lit(plan.shuffles - 1),
             "python_stages": F.lit(plan.python_stages),
         }
     )

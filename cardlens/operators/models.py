@@ -30,7 +30,7 @@ from cardlens.operators.joins import with_class_weight
 from cardlens.operators.sampling import split, stratified_split
 from cardlens.operators.selection import rename_for_models
 from cardlens.plans.layout import reused
-from cardlens.session import settled
+from cardlens.session import scratch_folder, settled
 
 # Model inputs, in vector order.
 FRAUD_FEATURES = [
@@ -176,10 +176,24 @@ def fit_fraud_models(
     """Trains the three classifiers on a stratified 80 % of the rows."""
     train, test = stratified_split(fraud_vectors(features), seed=settings.seed)
     with reused(train, StorageLevel.MEMORY_AND_DISK) as rows:
-        models = {name: e.fit(rows) for name, e in fraud_estimators(settings).items()}
+        models = {
+            name: stored_model(e.fit(rows), train.sparkSession)
+            for name, e in fraud_estimators(settings).items()
+        }
     return FraudStudy(models, test)
 
 
+def stored_model(model: Model, spark: SparkSession) -> Model:
+    """The model as read back from the shared folder, without its training summary.
+
+    A summary refers to the session that made it, which cannot always be shipped to
+    the executors with the model.
+    """
+    path = scratch_folder(spark, "model")
+    model.save(path)
+    return type(model).load(path)
+
+
 def fraud_scores(study: FraudStudy) -> DataFrame:
     """``model, auc_roc, auc_pr, f1`` on the test rows."""
     roc = BinaryClassificationEvaluator(labelCol="is_fraud", metricName="areaUnderROC")

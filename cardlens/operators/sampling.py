@@ -56,16 +56,18 @@ def split(
     df: DataFrame,
     shares: tuple[float, ...] = (0.8, 0.2),
     seed: int = 42,
-    key: str = "transaction_id",
+    keys: tuple[str, ...] = ("transaction_id",),
 ) -> list[DataFrame]:
     """Disjoint parts that together hold every row."""
-    position = F.coalesce(hash_position(seed, key), F.lit(0.0))
+    position = hash_position(seed, *keys)
     whole = sum(shares)
     parts, low = [], 0.0
     for i, share in enumerate(shares):
         high = low + share / whole
-        last = i == len(shares) - 1
-        parts.append(df.where((position >= low) if last else (position >= low) & (position < high)))
+        inside = position >= low
+        if i < len(shares) - 1:
+            inside = inside & (position < high)
+        parts.append(df.where(inside))
         low = high
     return parts
 
@@ -73,14 +75,17 @@ def split(
 def stratified_split(
     df: DataFrame,
     label: str = "is_fraud",
-    classes: tuple[int, ...] = (1, 0),
+    classes: tuple[int, ...] = (0, 1),
     shares: tuple[float, ...] = (0.8, 0.2),
     seed: int = 42,
     key: str = "transaction_id",
 ) -> list[DataFrame]:
-    """Every class split on its own, then the parts of all classes together."""
-    per_class = [split(df.where(F.col(label) == c), shares, seed + c, key) for c in classes]
-    return [union(parts) for parts in zip(*per_class)]
+    """Every class split on its own, each part holding all classes.
+
+    The label is part of the hash, so the classes are split independently of each
+    other but in one pass; filtering class by class and uniting would scan once per class.
+    """
+    return split(df.where(F.col(label).isin(*classes)), shares, seed, (key, label))
 
 
 def union(parts: tuple[DataFrame, ...] | list[DataFrame]) -> DataFrame:
