@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cardlens.functions import bands as B
 from cardlens.functions import expressions as X
 from cardlens.operators.joins import BROADCAST_ROWS, held_table, lookup_join
-from cardlens.operators.ranking import running_counts, value_counts
+from cardlens.operators.ranking import number_rows
 from cardlens.operators.selection import select_features
 
 
@@ -154,30 +154,22 @@ def add_merchant_rate(
 def category_index(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``category, category_encoded``: 0-based rank by frequency, ties by name.
 
-    A label list that proves small is ranked in one window. A larger one is ranked by
-    frequency in parallel, then by name among the labels of equal frequency.
+    A label list that proves small is ranked in one window, a larger one by a
+    distributed sort.
     """
     counts = (
         df.where(F.col("category").isNotNull())
         .groupBy("category")
         .agg(F.count(F.lit(1)).alias("uses"))
     )
+    order = (F.desc("uses"), F.asc("category"))
     small = held_table(counts, max_rows)
-    if small is not None:
-        ranked = Window.partitionBy(F.lit(0)).orderBy(F.desc("uses"), "category")
-        position = (F.row_number().over(ranked) - 1).cast("double")
-        return small.select("category", position.alias("category_encoded"))
-    rarity = counts.withColumn("rarity", -F.col("uses").cast("double"))
-    ahead = running_counts(value_counts(rarity, "rarity"), "rarity").select("rarity", "before")
-    tied = Window.partitionBy("rarity").orderBy("category")
-    return (
-        rarity.withColumn("place", F.row_number().over(tied))
-        .join(ahead, "rarity")
-        .select(
-            "category",
-            (F.col("before") + F.col("place") - 1).cast("double").alias("category_encoded"),
-        )
-    )
+    if small is None:
+        ranked = number_rows(counts, "place", *order)
+    else:
+        place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)) - 1
+        ranked = small.withColumn("place", place)
+    return ranked.select("category", F.col("place").cast("double").alias("category_encoded"))
 
 
 def add_category_index(

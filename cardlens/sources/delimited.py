@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # The 24 fields of the published transaction CSV, in file order.
 RAW_SCHEMA = """
@@ -34,8 +36,8 @@ RAW_SCHEMA = """
 
 
 def _reader(spark: SparkSession) -> DataFrameReader:
-    # With pruning on, a row counts as malformed only if a *requested* column is
-    # bad, so count() and collect() would disagree on how many rows a file has.
+    # With pruning on, a row is malformed only if its *requested* columns are, so
+    # count() and collect() would disagree on how many rows a file has.
     return (
         spark.read.option("header", True)
         .option("mode", "DROPMALFORMED")
@@ -51,12 +53,28 @@ def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_typed_csv(spark: SparkSession, path: str, schema: str = RAW_SCHEMA) -> DataFrame:
     """Headered CSV with a declared schema and without the exporter's row number."""
-    return _reader(spark).schema(schema).csv(path).drop("Unnamed: 0")
+    return _typed(_reader(spark), path, schema)
 
 
 def read_csv_folder(spark: SparkSession, folder: str, schema: str | None = None) -> DataFrame:
     """All ``*.csv`` files of a folder as one table; other files are ignored."""
     reader = _reader(spark).option("pathGlobFilter", "*.csv")
-    if schema is None:
-        return reader.csv(folder)
-    return reader.schema(schema).csv(folder).drop("Unnamed: 0")
+    return reader.csv(folder) if schema is None else _typed(reader, folder, schema)
+
+
+def _typed(reader: DataFrameReader, path: str, schema: str) -> DataFrame:
+    """Reads text and casts it, dropping rows with a value that is not of its type.
+
+    The filter names every typed column, so a row is dropped whichever columns a query
+    asks for. A typed reader checks only the columns it is asked for.
+    """
+    declared = StructType.fromDDL(schema)
+    text = StructType([StructField(f.name, StringType()) for f in declared])
+    rows = reader.schema(text).csv(path)
+    for field in declared:
+        if field.dataType != StringType():
+            raw = F.col(f"`{field.name}`")
+            rows = rows.where(raw.isNull() | raw.try_cast(field.dataType).isNotNull())
+    return rows.select(
+        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in declared]
+    ).drop("Unnamed: 0")
