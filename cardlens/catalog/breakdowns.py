@@ -436,13 +436,13 @@ def gender_by_category(spark, folder):
 @query(
     "agg_32_category_by_state",
     on_orders(
-        "SELECT category, state, CAST(count(*) AS BIGINT) AS tx_count, round(avg(amount), 8) AS avg_amount, "
+        "SELECT category, state, CAST(count(*) AS BIGINT) AS tx_count, round(avg(amount), 7) AS avg_amount, "
         "CAST(sum(is_fraud) AS BIGINT) AS fraud_count, round(stddev_samp(amount), 5) AS std_amount "
         "FROM tx_orders GROUP BY category, state"
     ),
 )
 def category_by_state(spark, folder):
-    return rounded(E.by_category_and_state(order_lines(spark, folder)), 8, std_amount=5)
+    return rounded(E.by_category_and_state(order_lines(spark, folder)), 7, std_amount=5)
 
 
 @query(
@@ -462,12 +462,12 @@ def reused_pair(spark, folder):
 @query(
     "agg_34_fraud_by_category_and_state",
     on_orders(
-        "SELECT category, state, CAST(count(*) AS BIGINT) AS fraud_count, round(avg(amount), 8) AS avg_amount "
+        "SELECT category, state, CAST(count(*) AS BIGINT) AS fraud_count, round(avg(amount), 7) AS avg_amount "
         "FROM tx_orders WHERE is_fraud = 1 GROUP BY category, state"
     ),
 )
 def fraud_by_category_and_state(spark, folder):
-    return rounded(E.fraud_by_category_and_state(order_lines(spark, folder)), 8)
+    return rounded(E.fraud_by_category_and_state(order_lines(spark, folder)), 7)
 
 
 @query(

@@ -36,6 +36,47 @@ def distance_histogram(spark, folder):
     return rounded(stats.histogram(df, "merch_distance_km", 60), density=9)
 
 
+def _plain_histogram_sql(groups: str, value: str, bins: int) -> str:
+    return f""", points AS ({groups}),
+ranges AS (
+  SELECT min({value}) AS low, (max({value}) - min({value})) / {bins}::DOUBLE AS width, count(*) AS total FROM points),
+slots AS (
+  SELECT least(CAST(floor((CAST({value} AS DOUBLE) - low) / width) AS INT), {bins - 1}) AS bin, low, width, total
+  FROM points, ranges)
+SELECT CAST(bin AS INT) AS bin, round(low + bin * width, 6) AS bin_start, CAST(count(*) AS BIGINT) AS n,
+       round(count(*) / (total * width), 9) AS density
+FROM slots GROUP BY bin, low, width, total"""
+
+
+@query(
+    "agg_54_card_volume_histogram",
+    on_orders(
+        _plain_histogram_sql(
+            "SELECT count(is_fraud) AS tx_count FROM tx_orders GROUP BY card_id", "tx_count", 60
+        )
+    ),
+)
+def card_volume_histogram(spark, folder):
+    cards = portfolio.by_card(order_lines(spark, folder))
+    return rounded(stats.histogram(cards, "tx_count", 60, label=None), density=9)
+
+
+@query(
+    "agg_54_merchant_rate_histogram",
+    on_tx(
+        _plain_histogram_sql(
+            "SELECT sum(is_fraud)::DOUBLE / count(is_fraud) * 100 AS rate FROM tx GROUP BY merchant "
+            "HAVING count(is_fraud) >= 20",
+            "rate",
+            40,
+        )
+    ),
+)
+def merchant_rate_histogram(spark, folder):
+    merchants = portfolio.by_merchant(transactions(spark, folder))
+    return rounded(stats.histogram(merchants, "fraud_rate", 40, label=None), density=9)
+
+
 @query(
     "agg_55_clipped_five_numbers",
     on_tx(

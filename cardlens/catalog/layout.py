@@ -98,7 +98,7 @@ def wide_shuffle(spark, folder):
 @query(
     "lay_05_planned_fraud_counts",
     on_orders(
-        "SELECT category, state, CAST(count(*) AS BIGINT) AS fraud_count, round(avg(amount), 8) AS avg_amount, "
+        "SELECT category, state, CAST(count(*) AS BIGINT) AS fraud_count, round(avg(amount), 7) AS avg_amount, "
         "true AS filter_reaches_scan, 'amount,category,is_fraud,state' AS scanned, "
         "CAST(1 AS INT) AS group_shuffles, CAST(0 AS INT) AS python_stages "
         "FROM tx_orders WHERE is_fraud = 1 GROUP BY category, state"
@@ -110,7 +110,7 @@ def planned_fraud_counts(spark, folder):
     write_parquet(order_lines(spark, folder), path)
     report = exploration.fraud_by_category_and_state(read_parquet(spark, path))
     plan = summarize_plan(report)
-    return rounded(report, 8).withColumns(
+    return rounded(report, 7).withColumns(
         {
             "filter_reaches_scan": F.lit("EqualTo(is_fraud,1)" in plan.pushed_filters),
             "scanned": F.lit(",".join(sorted(plan.scan_columns))),

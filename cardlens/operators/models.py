@@ -5,9 +5,12 @@ Only fitted models and metric rows reach the driver; predictions are always redu
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -32,6 +35,8 @@ from cardlens.operators.selection import rename_for_models
 from cardlens.plans.layout import reused
 from cardlens.session import scratch_folder, settled
 
+Result = TypeVar("Result")
+
 # Model inputs, in vector order.
 FRAUD_FEATURES = [
     "amount_log1p",
@@ -175,12 +180,20 @@ def fit_fraud_models(
 ) -> FraudStudy:
     """Trains the three classifiers on a stratified 80 % of the rows."""
     train, test = stratified_split(fraud_vectors(features), seed=settings.seed)
+    estimators = fraud_estimators(settings)
     with reused(train, StorageLevel.MEMORY_AND_DISK) as rows:
-        models = {
-            name: stored_model(e.fit(rows), train.sparkSession)
-            for name, e in fraud_estimators(settings).items()
-        }
-    return FraudStudy(models, test)
+        fitted = at_once(
+            [lambda e=e: stored_model(e.fit(rows), train.sparkSession) for e in estimators.values()]
+        )
+    return FraudStudy(dict(zip(estimators, fitted)), test)
+
+
+def at_once(fits: list[Callable[[], Result]], parallelism: int = 3) -> list[Result]:
+    """Independent fits submitted side by side, so that one fills the gaps of another's
+    short iterations. Results keep the order of ``fits``."""
+    in_session = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(parallelism) as pool:
+        return [task.result() for task in [pool.submit(in_session(fit)) for fit in fits]]
 
 
 def stored_model(model: Model, spark: SparkSession) -> Model:
@@ -365,13 +378,14 @@ def segment_sweep(
 ) -> DataFrame:
     """``k, silhouette, wcss`` for every number of segments tried."""
     silhouette = ClusteringEvaluator(featuresCol="features", metricName="silhouette")
-    lines = []
+
+    def score(rows: DataFrame, k: int) -> tuple[int, float, float]:
+        model = KMeans(featuresCol="features", k=k, seed=seed, maxIter=max_iter).fit(rows)
+        return k, silhouette.evaluate(model.transform(rows)), model.summary.trainingCost
+
     with reused(vectors.select("features"), StorageLevel.MEMORY_AND_DISK) as rows:
-        for k in ks:
-            model = KMeans(featuresCol="features", k=k, seed=seed, maxIter=max_iter).fit(rows)
-            lines.append(
-                (k, silhouette.evaluate(model.transform(rows)), model.summary.trainingCost)
-            )
+        rows.count()
+        lines = at_once([lambda k=k: score(rows, k) for k in ks])
     return vectors.sparkSession.createDataFrame(lines, "k int, silhouette double, wcss double")
 
 

@@ -76,28 +76,30 @@ def label_correlations(df: DataFrame, columns: list[str], label: str = "is_fraud
     )
 
 
-def histogram(df: DataFrame, value: str, bins: int, label: str = "is_fraud") -> DataFrame:
-    """Equal-width histogram per label 0/1 over the label's own range, with density.
+def histogram(
+    df: DataFrame, value: str, bins: int, label: str | None = "is_fraud"
+) -> DataFrame:
+    """Equal-width histogram with density, per label 0/1 over the label's own range, or
+    over all rows if ``label`` is None.
 
     Values are counted first, so the bins are cut from the distinct values of one
-    scan. The ranges are one row per label, hence the broadcast of two rows.
+    scan. The ranges are at most two rows, which bounds the broadcast.
     """
+    if label is None:
+        whole = df.select(value, F.lit(0).alias("whole"))
+        return histogram(whole, value, bins, "whole").drop("whole")
     counts = value_counts(df.where(F.col(label).isin(0, 1)), value, (label,))
     ranges = counts.groupBy(label).agg(
-        F.min(value).alias("low"), F.max(value).alias("high"), F.sum("n").alias("total")
+        F.min(value).alias("low"),
+        ((F.max(value) - F.min(value)) / bins).alias("width"),
+        F.sum("n").alias("total"),
     )
-    width = (F.col("high") - F.col("low")) / bins
     slot = F.floor(F.try_divide(F.col(value) - F.col("low"), F.col("width")))
     return (
-        counts.join(F.broadcast(ranges.withColumn("width", width)), label)
+        counts.join(F.broadcast(ranges), label)
         .withColumn("bin", F.least(F.coalesce(slot, F.lit(0)), F.lit(bins - 1)).cast("int"))
-        .groupBy(label, "bin")
-        .agg(
-            F.sum("n").alias("n"),
-            F.first("low").alias("low"),
-            F.first("width").alias("width"),
-            F.first("total").alias("total"),
-        )
+        .groupBy(label, "bin", "low", "width", "total")
+        .agg(F.sum("n").alias("n"))
         .select(
             label,
             "bin",

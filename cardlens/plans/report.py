@@ -39,7 +39,7 @@ def summarize_plan(df: DataFrame) -> PlanSummary:
         scan_columns=tuple(
             field.split(":")[0] for schema in schemas for field in schema.split(",") if field
         ),
-        joins=tuple(re.findall(r"(\w+Join)(?: \w+)* \(\d+\)", text)),
+        joins=tuple(re.findall(r"(\w+Join|CartesianProduct)(?: \w+)* \(\d+\)", text)),
         shuffles=len(re.findall(r"(?<!\w)Exchange \(\d+\)", text)),
         broadcasts=len(re.findall(r"BroadcastExchange \(\d+\)", text)),
         reads_cache="InMemoryTableScan" in text,
