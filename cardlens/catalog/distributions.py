@@ -169,28 +169,66 @@ def sample(spark, folder):
     return sampling.sample(df, 0.1)
 
 
+_LINE = ("transaction_id", "card_id", "merchant", "amount")
+
+
 @query("smp_02_fixed_size_sample")
 def fixed_size_sample(spark, folder):
-    """60 000 rows of a table that is larger at the benchmark scale."""
-    df = order_lines(spark, folder).select("transaction_id", "amount", "is_fraud")
-    return sampling.fixed_size_sample(df)
+    """60 000 rows, or all of them if there are no more."""
+    df = order_lines(spark, folder).select(*_LINE, "is_fraud")
+    return sampling.fixed_size_sample(df, keys=_LINE)
 
 
-@query("smp_03_split")
-def split(spark, folder):
-    df = transactions(spark, folder).select("transaction_id", "amount")
-    train, test = sampling.split(df)
+@query(
+    "smp_02_sample_size",
+    on_orders("SELECT CAST(least(count(*), 2000) AS BIGINT) AS n FROM tx_orders"),
+)
+def sample_size(spark, folder):
+    df = order_lines(spark, folder).select(*_LINE, "is_fraud")
+    return sampling.fixed_size_sample(df, 2000, keys=_LINE).agg(F.count("*").alias("n"))
+
+
+def _parts(train, test):
     return train.withColumn("part", F.lit("train")).unionByName(
         test.withColumn("part", F.lit("test"))
     )
 
 
+@query("smp_03_split")
+def split(spark, folder):
+    df = transactions(spark, folder).select("transaction_id", "amount")
+    return _parts(*sampling.split(df))
+
+
+@query("smp_03_split_covers_all", on_tx("SELECT transaction_id, CAST(1 AS BIGINT) AS parts FROM tx"))
+def split_covers_all(spark, folder):
+    return split(spark, folder).groupBy("transaction_id").agg(F.count("part").alias("parts"))
+
+
 @query("smp_04_stratified_split")
 def stratified_split(spark, folder):
     df = transactions(spark, folder).select("transaction_id", "is_fraud")
-    train, test = sampling.stratified_split(df)
-    return train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
+    return _parts(*sampling.stratified_split(df))
+
+
+@query(
+    "smp_04_stratified_split_covers_all",
+    on_tx(
+        "SELECT CAST(is_fraud AS INT) AS is_fraud, CAST(count(*) AS BIGINT) AS n, true AS near_80_pct "
+        "FROM tx GROUP BY is_fraud"
+    ),
+)
+def stratified_split_covers_all(spark, folder):
+    """Every class is split near 80 to 20 (within five standard errors)."""
+    in_train = F.count_if(F.col("part") == "train")
+    off = F.abs(in_train - F.count("*") * 0.8)
+    return (
+        stratified_split(spark, folder)
+        .groupBy("is_fraud")
+        .agg(
+            F.count("*").alias("n"),
+            (off <= F.sqrt(F.count("*") * 0.16) * 5).alias("near_80_pct"),
+        )
     )
 
 

@@ -186,7 +186,7 @@ def prepare_csv(spark, folder):
 @query(
     "job_02_session_time_zone",
     on_tx(
-        "SELECT 'UTC' AS time_zone, strftime(min(transaction_ts), '%Y-%m-%d %H:%M:%S') AS first_ts, "
+        "SELECT '+00:00' AS utc_offset, strftime(min(transaction_ts), '%Y-%m-%d %H:%M:%S') AS first_ts, "
         "strftime(max(transaction_ts), '%Y-%m-%d %H:%M:%S') AS last_ts FROM tx"
     ),
 )
@@ -194,7 +194,7 @@ def session_time_zone(spark, folder):
     """Instants keep their wall clock under the session's UTC time zone."""
     at = F.col("transaction_ts").cast("timestamp")
     return transactions(spark, folder).agg(
-        F.first(F.current_timezone()).alias("time_zone"),
+        F.date_format(F.max(at), "xxx").alias("utc_offset"),
         F.date_format(F.min(at), "yyyy-MM-dd HH:mm:ss").alias("first_ts"),
         F.date_format(F.max(at), "yyyy-MM-dd HH:mm:ss").alias("last_ts"),
     )

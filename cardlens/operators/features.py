@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlens.functions import bands as B
@@ -69,42 +69,50 @@ def add_epoch_seconds(df: DataFrame) -> DataFrame:
     return df.withColumn("tx_unix", F.unix_timestamp("transaction_ts"))
 
 
-def card_velocity(df: DataFrame, lookback: int = 3600, span: int = 21600) -> DataFrame:
+def card_velocity(df: DataFrame, lookback: int = 3600) -> DataFrame:
     """Count and amount on the card in the ``lookback`` seconds before each second.
 
     ``card_id, tx_unix, card_tx_count_1h, card_amount_sum_1h``, one row per card and
-    second that has a transaction. Rows of one second are summed before the first
-    shuffle. Time is cut into ``span``-second pieces and the end of a piece is copied
-    into the next, so a window holds at most ``span + lookback`` rows however busy
-    the card is.
+    second that has a transaction; transactions of the second itself are left out.
+
+    Rows of one second are summed before the first shuffle. Time is cut into pieces as
+    long as the lookback, so the window of a second at offset x of its piece is the
+    earlier offsets of the same piece and the offsets from x on of the piece before.
+    Each piece is therefore copied to the next one and both parts are running sums over
+    the offsets, one forward and one backward. A task holds at most two pieces of one
+    card however busy the card is, and the work is linear: a sliding frame would add up
+    the whole window again for every row.
     """
-    if lookback > span:
-        raise ValueError("a lookback longer than the span would reach past the copied rows")
     second = F.col("tx_unix")
-    piece = F.floor(second / span)
-    reaches_next = F.pmod(second, F.lit(span)) >= span - lookback
-    per_second = (
+    piece = F.floor(second / lookback)
+    own = F.struct(piece.alias("piece"), F.lit(True).alias("own"))
+    copy = F.struct((piece + 1).alias("piece"), F.lit(False).alias("own"))
+    pieces = (
         df.groupBy("card_id", "tx_unix")
         .agg(F.count("transaction_id").alias("n"), F.sum("amount").alias("spent"))
-        .withColumn(
-            "piece",
-            F.explode(F.when(reaches_next, F.array(piece, piece + 1)).otherwise(F.array(piece))),
-        )
+        .withColumn("offset", F.pmod(second, F.lit(lookback)))
+        .select("*", F.inline(F.when(second.isNull(), F.array(own)).otherwise(F.array(own, copy))))
     )
-    before = (
-        Window.partitionBy("card_id", "piece").orderBy("tx_unix").rangeBetween(-lookback, -1)
+    in_piece = Window.partitionBy("card_id", "piece")
+    earlier = in_piece.orderBy("offset").rangeBetween(Window.unboundedPreceding, -1)
+    later = in_piece.orderBy(F.desc("offset")).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
+
+    def in_window(column: str) -> Column:
+        same_piece = F.sum(F.when(F.col("own"), F.col(column))).over(earlier)
+        piece_before = F.sum(F.when(~F.col("own"), F.col(column))).over(later)
+        return F.coalesce(same_piece + piece_before, same_piece, piece_before)
+
     return (
-        per_second.withColumn(
-            "card_tx_count_1h", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("bigint")
-        )
-        .withColumn("card_amount_sum_1h", F.sum("spent").over(before))
-        .where(F.col("piece").eqNullSafe(piece))
+        pieces.withColumn("card_tx_count_1h", F.coalesce(in_window("n"), F.lit(0)))
+        .withColumn("card_amount_sum_1h", in_window("spent"))
+        .where("own")
         .select("card_id", "tx_unix", "card_tx_count_1h", "card_amount_sum_1h")
     )
 
 
-def add_velocity(df: DataFrame, lookback: int = 3600, span: int = 21600) -> DataFrame:
+def add_velocity(df: DataFrame, lookback: int = 3600) -> DataFrame:
     """Prior-hour count and amount per row.
 
     The join key is (card, second), and the right side is unique on it, so a busy
@@ -112,7 +120,7 @@ def add_velocity(df: DataFrame, lookback: int = 3600, span: int = 21600) -> Data
     """
     if not _has(df, "card_id", "tx_unix", "amount", "transaction_id"):
         return df
-    velocity = card_velocity(df, lookback, span).withColumnsRenamed(
+    velocity = card_velocity(df, lookback).withColumnsRenamed(
         {"card_id": "v_card", "tx_unix": "v_second"}
     )
     same = F.col("card_id").eqNullSafe(F.col("v_card")) & F.col("tx_unix").eqNullSafe(

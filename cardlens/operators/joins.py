@@ -52,22 +52,35 @@ def merge_lookup(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return joined.select(*facts.columns, *[c for c in dim.columns if c != key])
 
 
+def frequent_keys(facts: DataFrame, key: str, support: float) -> list:
+    """Every key that holds more than ``support`` of the rows, and perhaps a few more.
+
+    At most ``1 / support`` keys come back, from one pass over the key column.
+    """
+    found = facts.select(key).stat.freqItems([key], support).first()[0]
+    return [k for k in found or [] if k is not None]
+
+
 def salted_lookup(
     facts: DataFrame,
     dim: DataFrame,
     key: str,
     salts: int = 32,
+    support: float = 0.01,
     spread_by: str = "transaction_id",
 ) -> DataFrame:
-    """The same left join with every key cut into ``salts`` slices.
+    """The same left join with frequent and missing keys cut into ``salts`` slices.
 
-    A key that holds a third of the facts is spread over ``salts`` tasks; the
-    dimension is repeated once per slice. The slice is a hash of the row, not a
+    A key that holds a third of the facts is spread over ``salts`` tasks, and only the
+    dimension rows of such keys are repeated. The slice is a hash of the row, not a
     random number, so a recomputed task yields the same slices.
     """
+    hot = F.col(key).isin(frequent_keys(facts, key, support))
     spread = [spread_by] if spread_by in facts.columns else facts.columns
-    sliced = facts.withColumn("slice", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = dim.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    anywhere = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    sliced = facts.withColumn("slice", F.when(hot | F.col(key).isNull(), anywhere).otherwise(0))
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    copies = dim.withColumn("slice", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0)))))
     joined = sliced.join(copies.hint("merge"), [key, "slice"], "left")
     return joined.select(*facts.columns, *[c for c in dim.columns if c != key])
 

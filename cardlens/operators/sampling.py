@@ -21,10 +21,13 @@ def hash_position(seed: int, *keys: str) -> Column:
 
 
 def sample(
-    df: DataFrame, fraction: float, seed: int = 42, key: str = "transaction_id"
+    df: DataFrame, fraction: float, seed: int = 42, keys: tuple[str, ...] = ("transaction_id",)
 ) -> DataFrame:
-    """Each row independently with probability ``fraction``; a filter, no shuffle."""
-    return df.where(hash_position(seed, key) < fraction)
+    """Each key independently with probability ``fraction``; a filter, no shuffle.
+
+    Rows that share a key are kept or left together, so ``keys`` should identify a row.
+    """
+    return df.where(hash_position(seed, *keys) < fraction)
 
 
 def layout_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -33,15 +36,18 @@ def layout_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
 
 
 def fixed_size_sample(
-    df: DataFrame, n: int = 60_000, seed: int = 42, key: str = "transaction_id"
+    df: DataFrame,
+    n: int = 60_000,
+    seed: int = 42,
+    keys: tuple[str, ...] = ("transaction_id",),
 ) -> DataFrame:
-    """The ``min(n, rows)`` rows with the smallest hash positions.
+    """The ``min(n, rows)`` rows with the smallest hash positions of their ``keys``.
 
     Only rows below a position that almost surely covers ``n`` take part in the
     sort, so tasks do not each send ``n`` candidates. If the position falls short,
     all rows take part.
     """
-    position = hash_position(seed, key)
+    position = hash_position(seed, *keys)
     total = df.count()
     if total <= n:
         return df
@@ -49,7 +55,7 @@ def fixed_size_sample(
     candidates = df.where(position < reach)
     if candidates.count() < n:
         candidates = df
-    return candidates.orderBy(position, key).limit(n)
+    return candidates.orderBy(position, *keys).limit(n)
 
 
 def split(

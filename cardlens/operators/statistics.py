@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
+from math import isnan
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
@@ -57,11 +58,14 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def vector_correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The same matrix through Spark ML's vector statistics."""
+    """The same matrix through Spark ML's vector statistics, which gives a constant
+    column 1 with itself."""
     assembler = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip")
     matrix = Correlation.corr(assembler.transform(df).select("features"), "features").first()[0]
     rows = [
-        (a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)
+        (a, b, None if isnan(matrix[i, j]) else float(matrix[i, j]))
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
     ]
     return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
 

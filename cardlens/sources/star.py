@@ -16,10 +16,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events")
+def _homes(spark: SparkSession, folder: str) -> DataFrame:
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    return customer.join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
+
+
+def transactions(spark: SparkSession, folder: str) -> DataFrame:
+    events = table(spark, folder, "events")
+    homes = _homes(spark, folder)
 
     event, user, home = F.col("event_id"), F.col("user_id"), F.col("n_nationkey")
     home_lat = (home + 25).cast("double")
@@ -31,8 +36,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
         (F.lit(1) + user % 28).cast("int"),
     )
     return (
-        events.join(customer, F.col("c_custkey") == user)
-        .join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
+        events.join(homes, F.col("c_custkey") == user)
         .select(
             event.cast("string").alias("transaction_id"),
             F.col("ts").alias("transaction_ts"),
@@ -62,15 +66,14 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    # Orders meet their customers before the lines join: beyond the broadcast threshold
+    # that shuffles the orders by customer instead of all order lines.
+    placed = orders.join(_homes(spark, folder), F.col("c_custkey") == F.col("o_custkey"))
     supplier = table(spark, folder, "supplier").select("s_suppkey", "s_name")
     part = table(spark, folder, "part").select("p_partkey", "p_type")
     returned = (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.085)
     return (
-        lines.join(orders, F.col("o_orderkey") == F.col("l_orderkey"))
-        .join(customer, F.col("c_custkey") == F.col("o_custkey"))
-        .join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
+        lines.join(placed, F.col("o_orderkey") == F.col("l_orderkey"))
         .join(supplier, F.col("s_suppkey") == F.col("l_suppkey"))
         .join(part, F.col("p_partkey") == F.col("l_partkey"))
         .select(

@@ -3,6 +3,7 @@ import random
 
 import pytest
 from conftest import at
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cardlens.functions import bands as B
@@ -50,15 +51,15 @@ def test_velocity_window_edges(spark):
     }
 
 
-@pytest.mark.parametrize("span", [3600, 5000, 21600])
-def test_velocity_matches_brute_force_with_a_busy_card(spark, no_broadcast, span):
+@pytest.mark.parametrize("lookback", [1, 60, 3600, 50_000])
+def test_velocity_matches_brute_force_with_a_busy_card(spark, no_broadcast, lookback):
     draw = random.Random(7)
     rows = [
         (str(i), "busy" if i % 3 else f"c{i % 5}", at(draw.randrange(0, 60_000)), float(i % 17))
         for i in range(600)
     ]
-    got = velocity(spark, rows, span=span)
-    for tid, (n, spent) in brute_force(rows).items():
+    got = velocity(spark, rows, lookback=lookback)
+    for tid, (n, spent) in brute_force(rows, lookback).items():
         assert got[tid][0] == n
         assert got[tid][1] == (pytest.approx(spent) if spent is not None else None)
 
@@ -73,9 +74,20 @@ def test_velocity_before_the_epoch(spark):
     assert velocity(spark, rows) == {"a": (0, None), "b": (1, 1.0)}
 
 
-def test_velocity_rejects_lookback_beyond_span(spark):
-    with pytest.raises(ValueError):
-        velocity(spark, [("a", "c", at(0), 1.0)], lookback=10, span=5)
+def test_velocity_ignores_rows_without_time(spark):
+    """Unknown times see each other, as they do in a range window, but no known time."""
+    rows = [("a", "c", None, 1.0), ("b", "c", None, 2.0), ("c", "c", at(5), 4.0)]
+    assert velocity(spark, rows) == {"a": (2, 3.0), "b": (2, 3.0), "c": (0, None)}
+
+
+def test_velocity_equals_the_sliding_window(spark):
+    rows = [(str(i), f"c{i % 3}" if i % 11 else None, at(i * i % 9000), float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA).transform(ops.add_epoch_seconds)
+    sliding = Window.partitionBy("card_id").orderBy("tx_unix").rangeBetween(-3600, -1)
+    plain = df.select(
+        "transaction_id", F.count("transaction_id").over(sliding), F.sum("amount").over(sliding)
+    )
+    assert velocity(spark, rows) == {r[0]: (r[1], r[2]) for r in plain.collect()}
 
 
 def test_distance(spark):

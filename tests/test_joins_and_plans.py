@@ -34,6 +34,16 @@ def test_all_lookup_joins_agree(facts):
     assert rows(joins.salted_lookup(facts, dim, "category", salts=3)) == expected
 
 
+def test_salted_join_repeats_only_frequent_keys(facts):
+    assert "hot" in joins.frequent_keys(facts, "category", 0.2)
+    assert len(joins.frequent_keys(facts, "transaction_id", 0.2)) <= 5
+    gaps = facts.withColumn("category", F.when(F.col("amount") > 20, F.col("category")))
+    dim = facts.groupBy("category").agg(F.avg("amount").alias("mean"))
+    expected = rows(gaps.join(dim, "category", "left").select(*gaps.columns, "mean"))
+    assert rows(joins.salted_lookup(gaps, dim, "category", support=0.2)) == expected
+    assert rows(joins.salted_lookup(gaps.limit(0), dim, "category")) == []
+
+
 def test_join_strategies(facts):
     dim = facts.groupBy("category").agg(F.avg("amount").alias("mean"))
     assert summarize_plan(joins.lookup_join(facts, dim, "category")).joins == ("BroadcastHashJoin",)
