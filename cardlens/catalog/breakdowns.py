@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cardlens.catalog.registry import query, rounded
-from cardlens.catalog.sql import on_features, on_orders, on_tx
+from cardlens.catalog.sql import CARD_PROFILES, on_features, on_orders, on_tx
 from cardlens.operators import exploration as E
 from cardlens.operators import features as features_ops
 from cardlens.operators import models
@@ -291,7 +291,18 @@ def correlation_matrix(spark, folder):
     return rounded(stats.correlation_matrix(df, df.columns))
 
 
-@query("agg_21_vector_correlation_matrix")
+@query(
+    "agg_21_vector_correlation_matrix",
+    on_features(
+        _COMPLETE
+        + "\nUNION ALL ".join(
+            f"SELECT '{a}' AS col_a, '{b}' AS col_b, {'min(1.0::DOUBLE)' if a == b else _pair(a, b)} AS r "
+            "FROM complete"
+            for a in _CORRELATED
+            for b in _CORRELATED
+        )
+    ),
+)
 def vector_correlation_matrix(spark, folder):
     df = stats.correlation_input(transactions(spark, folder))
     return rounded(stats.vector_correlation_matrix(df, df.columns))
@@ -333,22 +344,7 @@ def merchant_rates(spark, folder):
     return rounded(E.riskiest_merchant_rates(transactions(spark, folder)))
 
 
-@query(
-    "agg_26_card_profiles",
-    on_features(
-        """, profiles AS (
-  SELECT card_id, CAST(count(*) AS BIGINT) AS tx_count, round(avg(amount_log1p), 2) AS avg_amount,
-         round(stddev_samp(amount_log1p), 2) AS std_amount, round(sum(amount_log1p), 2) AS total_spend,
-         round(avg(tx_hour), 2) AS avg_tx_hour, round(avg(tx_is_weekend), 3) AS weekend_ratio,
-         round(avg(merch_distance_km), 2) AS avg_dist_km, round(avg(city_pop), 0) AS avg_city_pop,
-         round(avg(is_fraud) * 100, 3) AS fraud_rate_pct,
-         first(gender_encoded ORDER BY transaction_ts, transaction_id) AS gender_bin,
-         first(cardholder_age ORDER BY transaction_ts, transaction_id) AS age
-  FROM fx GROUP BY card_id)
-SELECT * FROM profiles
-WHERE std_amount IS NOT NULL AND avg_dist_km IS NOT NULL AND age IS NOT NULL AND gender_bin IS NOT NULL"""
-    ),
-)
+@query("agg_26_card_profiles", on_features(CARD_PROFILES + "SELECT * FROM complete"))
 def card_profiles(spark, folder):
     df = (
         transactions(spark, folder)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cardlens.catalog.features import built_features
 from cardlens.catalog.registry import query, rounded
+from cardlens.catalog.sql import CARD_PROFILES, on_features
 from cardlens.operators import models, portfolio
 from cardlens.session import settled
 
@@ -82,18 +83,54 @@ def imputed(spark, folder):
     )
 
 
-@query("ml_02_assembled")
+def _entries(vectors: DataFrame, key: str, size: int) -> DataFrame:
+    """The vector as columns ``x0, x1, ...``."""
+    entries = vector_to_array("features")
+    return vectors.select(key, *[F.round(entries[i], 6).alias(f"x{i}") for i in range(size)])
+
+
+_CATEGORY_INPUTS = (
+    "amount_log1p",
+    "tx_hour",
+    "tx_day_of_week",
+    "tx_is_weekend",
+    "gender_encoded",
+    "cardholder_age",
+    "merch_distance_km",
+    "city_pop",
+)
+
+
+@query(
+    "ml_02_assembled",
+    on_features(
+        "SELECT transaction_id, "
+        + ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS x{i}" for i, c in enumerate(_CATEGORY_INPUTS))
+        + " FROM fx WHERE cardholder_age IS NOT NULL AND merch_distance_km IS NOT NULL"
+    ),
+)
 def assembled(spark, folder):
+    """Vectors of the complete rows; rows with a missing input are skipped."""
     features = models.rename_for_models(built_features(spark, folder))
-    vectors = models.assemble(
-        features.select("transaction_id", *models.CATEGORY_FEATURES), models.CATEGORY_FEATURES, "skip"
-    )
-    return vectors.select("transaction_id", vector_to_array("features").alias("features"))
-
-
-@query("ml_03_standardized")
+    inputs = features.select("transaction_id", *models.CATEGORY_FEATURES)
+    vectors = models.assemble(inputs, models.CATEGORY_FEATURES, "skip")
+    return _entries(vectors, "transaction_id", len(models.CATEGORY_FEATURES))
+
+
+@query(
+    "ml_03_standardized",
+    on_features(
+        CARD_PROFILES
+        + "SELECT card_id, "
+        + ", ".join(
+            f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) AS x{i}"
+            for i, c in enumerate(models.SEGMENT_FEATURES)
+        )
+        + " FROM complete"
+    ),
+)
 def standardized(spark, folder):
-    return _cards(spark, folder).select("card_id", vector_to_array("features").alias("features"))
+    return _entries(_cards(spark, folder), "card_id", len(models.SEGMENT_FEATURES))
 
 
 def _scored(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cardlens.catalog.registry import query, rounded
 from cardlens.catalog.sql import (
     FRAUD_AMOUNT,
@@ -277,3 +279,34 @@ def distinct_counts(spark, folder):
 @query("agg_53_approximate_distinct_counts")
 def approximate_distinct_counts(spark, folder):
     return P.approximate_distinct_counts(order_lines(spark, folder), ["transaction_id", *_DISTINCT])
+
+
+_COUNTED = ["transaction_id", *_DISTINCT]
+
+
+@query(
+    "agg_53_approximation_error",
+    on_orders(
+        "\nUNION ALL ".join(
+            f"SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) AS BIGINT) AS exact, true AS within_bounds "
+            "FROM tx_orders"
+            for c in _COUNTED
+        )
+    ),
+)
+def approximation_error(spark, folder):
+    """Exact counts, and whether the approximate ones are within three deviations of them."""
+    df = order_lines(spark, folder)
+    both = P.distinct_counts(df, _COUNTED).select(
+        "*", P.approximate_distinct_counts(df, _COUNTED, 0.02).select(F.struct("*")).scalar().alias("a")
+    )
+    lines = []
+    for c in _COUNTED:
+        exact, approximate = F.col(f"distinct_{c}"), F.col("a").getField(f"approx_{c}")
+        within = F.abs(approximate - exact) <= exact * (3 * 0.02)
+        lines.append(
+            F.struct(
+                F.lit(c).alias("column_name"), exact.alias("exact"), within.alias("within_bounds")
+            )
+        )
+    return both.select(F.inline(F.array(*lines)))

@@ -103,6 +103,21 @@ def on_raw(select: str) -> str:
     return f"WITH tx AS ({TX}), raw AS ({RAW})\n{select}"
 
 
+# Profiles of the cards whose measures are all known, from fx.
+CARD_PROFILES = """, profiles AS (
+  SELECT card_id, CAST(count(*) AS BIGINT) AS tx_count, round(avg(amount_log1p), 2) AS avg_amount,
+         round(stddev_samp(amount_log1p), 2) AS std_amount, round(sum(amount_log1p), 2) AS total_spend,
+         round(avg(tx_hour), 2) AS avg_tx_hour, round(avg(tx_is_weekend), 3) AS weekend_ratio,
+         round(avg(merch_distance_km), 2) AS avg_dist_km, round(avg(city_pop), 0) AS avg_city_pop,
+         round(avg(is_fraud) * 100, 3) AS fraud_rate_pct,
+         first(gender_encoded ORDER BY transaction_ts, transaction_id) AS gender_bin,
+         first(cardholder_age ORDER BY transaction_ts, transaction_id) AS age
+  FROM fx GROUP BY card_id),
+complete AS (
+  SELECT * FROM profiles
+  WHERE std_amount IS NOT NULL AND avg_dist_km IS NOT NULL AND age IS NOT NULL AND gender_bin IS NOT NULL)
+"""
+
 # Portfolio measures shared by several reports.
 FRAUD_AMOUNT = "round(coalesce(sum(CASE WHEN is_fraud = 1 THEN amount END), 0), 2) AS fraud_amount"
 FRAUD_SHARE = "round(sum(is_fraud) * 100.0 / nullif(count(is_fraud), 0), 6) AS fraud_rate"
