@@ -1,6 +1,6 @@
 """Batch job: canonical transactions to the feature table.
 
-    spark-submit -m cardlens.jobs.features --input transactions --output features
+    python -m cardlens.jobs.features --input transactions --output features
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Batch job: train all models on the feature table and write their reports.
 
-    spark-submit -m cardlens.jobs.models --input features --output model_reports
+    python -m cardlens.jobs.models --input features --output model_reports
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Batch job: raw CSV to the canonical Parquet table.
 
-    spark-submit -m cardlens.jobs.prepare --input raw.csv --output transactions
+    python -m cardlens.jobs.prepare --input raw.csv --output transactions
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Batch job: every exploratory and portfolio report of the feature table.
 
-    spark-submit -m cardlens.jobs.reports --input features --output reports
+    python -m cardlens.jobs.reports --input features --output reports
 
 The feature table is columnar, so each report reads just its own two to five columns.
 """

@@ -26,16 +26,15 @@ def _known(df: DataFrame, name: str, key: Column) -> DataFrame:
 
 
 def kpis(df: DataFrame) -> DataFrame:
-    """One row of portfolio figures."""
+    """One row of portfolio figures.
+
+    Distinct counts are subqueries over one or two columns each. Asked for in one
+    aggregate they would multiply every row by the number of counted columns.
+    """
     amount, fraud = F.col("amount"), F.col("is_fraud") == 1
     figures = df.agg(
         M.rows("total_tx"),
         M.frauds("fraud_tx"),
-        F.count_distinct("card_id").alias("unique_cards"),
-        F.count_distinct("merchant").alias("unique_merchants"),
-        F.count_distinct("state").alias("num_states"),
-        F.count_distinct("category").alias("num_categories"),
-        F.count_distinct(F.when(fraud, F.col("card_id"))).alias("cards_with_fraud"),
         F.avg("amount").alias("avg_amount"),
         F.date_format(F.min("transaction_ts"), "MMM yyyy").alias("first_month"),
         F.date_format(F.max("transaction_ts"), "MMM yyyy").alias("last_month"),
@@ -44,16 +43,35 @@ def kpis(df: DataFrame) -> DataFrame:
         F.avg(F.when(fraud, amount)).alias("fraud_amount_avg"),
         F.avg(F.when(F.col("is_fraud") == 0, amount)).alias("legit_amount_avg"),
     )
-    return figures.withColumns(
-        {
-            "fraud_rate": F.try_divide("fraud_tx", "total_tx") * 100,
-            "fraud_loss_pct": F.try_divide("fraud_amount_total", "total_spend") * 100,
-        }
+    cards = (
+        _known(df, "card_id", F.col("card_id"))
+        .groupBy("card_id")
+        .agg(F.max(fraud.cast("int")).alias("hit"))
+        .select(F.struct(F.count(F.lit(1)).alias("cards"), F.count_if(F.col("hit") == 1).alias("hit")))
+        .scalar()
+    )
+    return figures.select(
+        "*",
+        cards.getField("cards").alias("unique_cards"),
+        cards.getField("hit").alias("cards_with_fraud"),
+        _distinct(df, "merchant").alias("unique_merchants"),
+        _distinct(df, "state").alias("num_states"),
+        _distinct(df, "category").alias("num_categories"),
+        (F.try_divide("fraud_tx", "total_tx") * 100).alias("fraud_rate"),
+        (F.try_divide("fraud_amount_total", "total_spend") * 100).alias("fraud_loss_pct"),
     )
 
 
+def _distinct(df: DataFrame, column: str) -> Column:
+    """Number of different known values, as a subquery over that column."""
+    return df.select(column).distinct().agg(F.count(column)).scalar()
+
+
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.agg(*[F.count_distinct(c).alias(f"distinct_{c}") for c in columns])
+    """Exact distinct counts, one row; each reads its own column only."""
+    first, *rest = columns
+    counted = df.select(first).distinct().agg(F.count(first).alias(f"distinct_{first}"))
+    return counted.select("*", *[_distinct(df, c).alias(f"distinct_{c}") for c in rest])
 
 
 def approximate_distinct_counts(

@@ -55,6 +55,13 @@ def test_job_write_modes(spark, sample, tmp_path, mode, stored):
     assert spark.read.parquet(target).count() == stored
 
 
+def test_job_command_line(spark, sample, tmp_path, capsys):
+    job.main(["--input", sample, "--output", str(tmp_path / "out"), "--mode", "append"])
+    assert "Prepared rows: 2" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        job.main(["--input", sample, "--output", "x", "--mode", "replace"])
+
+
 def test_job_refuses_existing_target(spark, sample, tmp_path):
     target = str(tmp_path / "out")
     job.run(spark, sample, target)
