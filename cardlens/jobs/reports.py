@@ -65,12 +65,50 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+# Columns that a source may lack, and the reports that need them.
+OPTIONAL = {
+    "merch_distance_km": ("distance", "distance_five_bands", "distance_tier_risk"),
+    "cardholder_age": ("age", "age_log_amount", "age_tier_risk"),
+    "gender": ("gender", "gender_by_category", "gender_risk"),
+    "state": (
+        "busiest_states",
+        "category_by_state",
+        "fraud_by_category_and_state",
+        "kpis",
+        "riskiest_states",
+        "most_exposed_states",
+    ),
+    "category": (
+        "categories",
+        "gender_by_category",
+        "category_by_state",
+        "fraud_by_category_and_state",
+        "kpis",
+        "category_risk",
+    ),
+}
+
+
+def available(features: DataFrame) -> list[str]:
+    """Names of the reports for which ``features`` has the columns."""
+    lacking = {
+        name
+        for column, names in OPTIONAL.items()
+        if column not in features.columns
+        for name in names
+    }
+    return [name for name in REPORTS if name not in lacking]
+
+
 def run(
     spark: SparkSession, source: str, target: str, names: list[str] | None = None
 ) -> list[str]:
-    """Writes the named reports (default: all) below ``target``; returns the names."""
+    """Writes the named reports (default: all) below ``target``; returns the names.
+
+    Reports on columns that the source does not have are left out.
+    """
     features = restore_amount(read_parquet(spark, source))
-    chosen = list(REPORTS) if names is None else names
+    chosen = [n for n in available(features) if names is None or n in names]
     for name in chosen:
         write_parquet(REPORTS[name](features), f"{target}/{name}")
     return chosen

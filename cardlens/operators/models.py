@@ -212,11 +212,13 @@ def fraud_scores(study: FraudStudy) -> DataFrame:
     roc = BinaryClassificationEvaluator(labelCol="is_fraud", metricName="areaUnderROC")
     pr = BinaryClassificationEvaluator(labelCol="is_fraud", metricName="areaUnderPR")
     f1 = MulticlassClassificationEvaluator(labelCol="is_fraud", metricName="f1")
-    lines = []
-    for name in study.models:
+
+    def score(name: str) -> tuple[str, float, float, float]:
         scored = study.predictions(name).select("is_fraud", "rawPrediction", "prediction")
         with reused(scored, StorageLevel.MEMORY_AND_DISK) as rows:
-            lines.append((name, roc.evaluate(rows), pr.evaluate(rows), f1.evaluate(rows)))
+            return name, roc.evaluate(rows), pr.evaluate(rows), f1.evaluate(rows)
+
+    lines = at_once([lambda name=name: score(name) for name in study.models])
     return study.test.sparkSession.createDataFrame(
         lines, "model string, auc_roc double, auc_pr double, f1 double"
     )

@@ -35,6 +35,15 @@ def test_reports_on_features_equal_reports_on_transactions(spark, features, tmp_
     )
 
 
+def test_reports_without_optional_columns(spark, features, tmp_path):
+    source, target = str(tmp_path / "narrow"), str(tmp_path / "reports")
+    lacking = list(reports_job.OPTIONAL)
+    spark.read.parquet(features).drop(*lacking, "dob", "lat", "long").write.parquet(source)
+    names = reports_job.run(spark, source, target)
+    assert {"class_balance", "hours", "merchant_risk", "heatmap"} <= set(names)
+    assert not {n for left_out in reports_job.OPTIONAL.values() for n in left_out} & set(names)
+
+
 def test_model_job(spark, features, tmp_path):
     small = FraudSettings(trees=5, tree_depth=3, rounds=2, round_depth=2)
     names = models_job.run(spark, features, str(tmp_path), small, ForestSettings(trees=4, depth=3))

@@ -1,6 +1,9 @@
 """Runs registered queries on Spark and their SQL on DuckDB and compares the results.
 
-    python tools/compare.py /root/testdata/sf0.01 [name-part ...]
+    python tools/compare.py /root/testdata/sf0.01 [--large] [name-part ...]
+
+With ``--large`` no table counts as small: joins shuffle and lookups take the salted path, as
+they would on tables beyond every broadcast bound.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from cardlens.catalog import QUERIES  # noqa: E402
+from cardlens.operators import joins  # noqa: E402
 from cardlens.plans.report import summarize_plan  # noqa: E402
 
 SPARK_TO_DUCK = {
@@ -74,6 +78,8 @@ def compare(spark: SparkSession, db: duckdb.DuckDBPyConnection, folder: str, nam
 
 def main() -> None:
     folder, *parts = sys.argv[1:]
+    large = "--large" in parts
+    parts = [p for p in parts if p != "--large"]
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
@@ -83,6 +89,9 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if large:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joins.BROADCAST_BYTES = 0
     db = duck(folder)
     bad = 0
     names = [n for n in QUERIES if not parts or any(p in n for p in parts)]
