@@ -224,12 +224,12 @@ def merchant_rate_marks(spark, folder):
     "agg_49_cards",
     on_tx(
         "SELECT card_id, CAST(count(is_fraud) AS BIGINT) AS tx_count, round(sum(amount), 2) AS total_spend, "
-        f"round(avg(amount), 6) AS avg_amount, CAST(sum(is_fraud) AS BIGINT) AS fraud_count, {FRAUD_SHARE} "
+        f"round(avg(amount), 8) AS avg_amount, CAST(sum(is_fraud) AS BIGINT) AS fraud_count, {FRAUD_SHARE} "
         "FROM tx GROUP BY card_id"
     ),
 )
 def cards(spark, folder):
-    return rounded(P.by_card(transactions(spark, folder)), total_spend=2)
+    return rounded(P.by_card(transactions(spark, folder)), total_spend=2, avg_amount=8)
 
 
 @query(

@@ -26,6 +26,7 @@ def create_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.compress", "true")
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -44,6 +44,18 @@ def test_reports_without_optional_columns(spark, features, tmp_path):
     assert not {n for left_out in reports_job.OPTIONAL.values() for n in left_out} & set(names)
 
 
+def test_empty_tables_give_empty_reports(spark, tmp_path):
+    path = str(tmp_path / "none")
+    assert features_job.build(transactions(spark, SMALL).limit(0), path) == 0
+    names = reports_job.run(spark, path, str(tmp_path / "reports"))
+    assert names == list(reports_job.REPORTS)
+    read = {n: spark.read.parquet(f"{tmp_path}/reports/{n}") for n in names}
+    assert read["categories"].count() == 0
+    assert read["kpis"].first()["total_tx"] == 0
+    # Fixed bands are listed even when nothing falls into them.
+    assert read["age"].count() == 6
+
+
 def test_model_job(spark, features, tmp_path):
     small = FraudSettings(trees=5, tree_depth=3, rounds=2, round_depth=2)
     names = models_job.run(spark, features, str(tmp_path), small, ForestSettings(trees=4, depth=3))
