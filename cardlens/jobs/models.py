@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardlens.operators import models, portfolio
 from cardlens.operators.models import ForestSettings, FraudSettings
+from cardlens.plans.layout import with_fitting_shuffles
 from cardlens.session import create_session
 from cardlens.sources.columnar import read_parquet, write_parquet
 
@@ -66,12 +67,16 @@ def run(
     forest: ForestSettings = ForestSettings(),
 ) -> list[str]:
     """Writes every model report below ``target``; returns the names."""
-    tables = reports(read_parquet(spark, source), fraud, forest)
-    for name, table in tables.items():
-        # The square matrix has the classes as column names.
-        named = [c if not c.isdigit() else f"predicted_{c}" for c in table.columns]
-        write_parquet(table.toDF(*named), f"{target}/{name}")
-    return list(tables)
+
+    def write_all() -> list[str]:
+        tables = reports(read_parquet(spark, source), fraud, forest)
+        for name, table in tables.items():
+            # The square matrix has the classes as column names.
+            named = [c if not c.isdigit() else f"predicted_{c}" for c in table.columns]
+            write_parquet(table.toDF(*named), f"{target}/{name}")
+        return list(tables)
+
+    return with_fitting_shuffles(spark, source, write_all)
 
 
 def main(arguments: list[str] | None = None) -> None:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cardlens.operators import exploration, portfolio
 from cardlens.operators import statistics as stats
 from cardlens.operators.ranking import cumulative_distribution, value_counts
+from cardlens.plans.layout import with_fitting_shuffles
 from cardlens.session import create_session
 from cardlens.sources.columnar import read_parquet, restore_amount, write_parquet
 
@@ -109,8 +110,12 @@ def run(
     """
     features = restore_amount(read_parquet(spark, source))
     chosen = [n for n in available(features) if names is None or n in names]
-    for name in chosen:
-        write_parquet(REPORTS[name](features), f"{target}/{name}")
+
+    def write_all() -> None:
+        for name in chosen:
+            write_parquet(REPORTS[name](features), f"{target}/{name}")
+
+    with_fitting_shuffles(spark, source, write_all)
     return chosen
 
 

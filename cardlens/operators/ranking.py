@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from cardlens.session import settled
 
+MOST_BUCKETS = 1024
+
 
 def value_counts(
     df: DataFrame, value: str, by: tuple[str, ...] = (), weight: str | None = None
@@ -50,7 +52,8 @@ def running_counts(
     including it. ``by`` must be a handful of groups (labels); values are unlimited.
     """
     if buckets is None:
-        buckets = max(16, int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(max(partitions, 16), MOST_BUCKETS)
     cuts = cut_points(counts, value, buckets)
     if cuts:
         bucketed = Bucketizer(

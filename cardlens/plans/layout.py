@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from math import ceil
 from typing import TypeVar
 
 from pyspark import StorageLevel
@@ -59,6 +60,33 @@ def under_settings(
                 spark.conf.set(key, value)
 
 
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 40_000
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files under ``path``; lists them without reading any."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def fitting_partitions(spark: SparkSession, source: str) -> int:
+    """Shuffle partitions for a shuffle of all of ``source``, never fewer than are set.
+
+    Adaptive execution merges small shuffle partitions but never adds any, so the
+    number to start from has to follow the input.
+    """
+    needed = ceil(stored_bytes(spark, source) / SHUFFLE_PARTITION_BYTES)
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(now, min(needed, MOST_SHUFFLE_PARTITIONS))
+
+
+def with_fitting_shuffles(spark: SparkSession, source: str, work: Callable[[], Result]) -> Result:
+    """Runs ``work`` with enough shuffle partitions for a shuffle of all of ``source``."""
+    wanted = fitting_partitions(spark, source)
+    return under_settings(spark, {"spark.sql.shuffle.partitions": str(wanted)}, work)
+
+
 def with_adaptive_execution(
     spark: SparkSession, enabled: bool, partitions: int, work: Callable[[], Result]
 ) -> Result:

@@ -17,8 +17,8 @@ def create_session(
 
     The master and the memory sizes belong to the deployment (``spark-submit``
     or ``spark-defaults``), so they are never set here. Without
-    ``shuffle_partitions`` the cluster's own setting applies and adaptive
-    execution sizes the partitions from the data.
+    ``shuffle_partitions`` the cluster's own setting applies, which the jobs raise
+    to fit their input and adaptive execution lowers again where a shuffle is small.
     """
     builder = (
         SparkSession.builder.appName(app_name)

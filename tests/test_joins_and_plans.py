@@ -125,6 +125,21 @@ def test_settings_are_restored(spark, facts):
     assert {k: spark.conf.get(k) for k in before} == before
 
 
+def test_shuffles_are_widened_to_the_input(spark, facts, monkeypatch):
+    path = scratch_folder(spark, "wide")
+    facts.write.parquet(path)
+    size = layout.stored_bytes(spark, path)
+    assert size > 1000
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    assert layout.with_fitting_shuffles(spark, path, lambda: spark.conf.get(key)) == before
+    monkeypatch.setattr(layout, "SHUFFLE_PARTITION_BYTES", size / 50.5)
+    assert layout.with_fitting_shuffles(spark, path, lambda: spark.conf.get(key)) == "51"
+    monkeypatch.setattr(layout, "MOST_SHUFFLE_PARTITIONS", 30)
+    assert layout.with_fitting_shuffles(spark, path, lambda: spark.conf.get(key)) == "30"
+    assert spark.conf.get(key) == before
+
+
 def test_salted_totals_equal_plain_ones(facts):
     salted = layout.salted_totals(facts, ["category"], "amount", salts=5)
     plain = facts.groupBy("category").agg(
