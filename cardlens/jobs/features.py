@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardlens.jobs.prepare import write_counted
 from cardlens.operators.features import feature_table
-from cardlens.plans.layout import with_fitting_shuffles
+from cardlens.plans.layout import fitted_to
 from cardlens.session import create_session
 from cardlens.sources.columnar import WRITE_MODES, read_parquet
 
@@ -22,7 +22,7 @@ def build(transactions: DataFrame, target: str, mode: str = "overwrite") -> int:
 
 
 def run(spark: SparkSession, source: str, target: str, mode: str = "overwrite") -> int:
-    return with_fitting_shuffles(
+    return fitted_to(
         spark, source, lambda: build(read_parquet(spark, source), target, mode)
     )
 

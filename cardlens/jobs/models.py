@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardlens.operators import models, portfolio
 from cardlens.operators.models import ForestSettings, FraudSettings
-from cardlens.plans.layout import with_fitting_shuffles
+from cardlens.plans.layout import fitted_to
 from cardlens.session import create_session
 from cardlens.sources.columnar import read_parquet, write_parquet
 
@@ -76,7 +76,7 @@ def run(
             write_parquet(table.toDF(*named), f"{target}/{name}")
         return list(tables)
 
-    return with_fitting_shuffles(spark, source, write_all)
+    return fitted_to(spark, source, write_all)
 
 
 def main(arguments: list[str] | None = None) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cardlens.operators.prepare import prepare
-from cardlens.plans.layout import with_fitting_shuffles
+from cardlens.plans.layout import fitted_to
 from cardlens.session import create_session
 from cardlens.sources.columnar import WRITE_MODES, write_parquet
 from cardlens.sources.delimited import read_text_csv
@@ -30,7 +30,7 @@ def write_counted(df: DataFrame, path: str, mode: str) -> int:
 
 def run(spark: SparkSession, source: str, target: str, mode: str = "overwrite") -> int:
     """Prepares ``source`` into ``target``; returns the number of prepared rows."""
-    return with_fitting_shuffles(
+    return fitted_to(
         spark, source, lambda: write_counted(prepare(read_text_csv(spark, source)), target, mode)
     )
 

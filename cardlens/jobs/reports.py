@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cardlens.operators import exploration, portfolio
 from cardlens.operators import statistics as stats
 from cardlens.operators.ranking import cumulative_distribution, value_counts
-from cardlens.plans.layout import with_fitting_shuffles
+from cardlens.plans.layout import fitted_to
 from cardlens.session import create_session
 from cardlens.sources.columnar import read_parquet, restore_amount, write_parquet
 
@@ -115,7 +115,7 @@ def run(
         for name in chosen:
             write_parquet(REPORTS[name](features), f"{target}/{name}")
 
-    with_fitting_shuffles(spark, source, write_all)
+    fitted_to(spark, source, write_all)
     return chosen
 
 

@@ -62,6 +62,9 @@ def under_settings(
 
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
 MOST_SHUFFLE_PARTITIONS = 40_000
+SCAN_TASK_BYTES = 128 * 1024 * 1024
+LARGEST_SCAN_TASK_BYTES = 1024 * 1024 * 1024
+MOST_SCAN_TASKS = 100_000
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
@@ -70,21 +73,27 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return files.agg(F.sum("length")).first()[0] or 0
 
 
-def fitting_partitions(spark: SparkSession, source: str) -> int:
-    """Shuffle partitions for a shuffle of all of ``source``, never fewer than are set.
+def fitting_settings(spark: SparkSession, source: str) -> dict[str, str]:
+    """Session settings for scanning and shuffling all of ``source``.
 
-    Adaptive execution merges small shuffle partitions but never adds any, so the
-    number to start from has to follow the input.
+    Adaptive execution merges small shuffle partitions but never adds any, so their
+    number has to follow the input; it is only ever raised. Scan tasks grow beyond
+    Spark's default once there would be more of them than the scheduler and the map
+    output tracking handle well, unless their size was set by hand.
     """
-    needed = ceil(stored_bytes(spark, source) / SHUFFLE_PARTITION_BYTES)
-    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(now, min(needed, MOST_SHUFFLE_PARTITIONS))
-
-
-def with_fitting_shuffles(spark: SparkSession, source: str, work: Callable[[], Result]) -> Result:
-    """Runs ``work`` with enough shuffle partitions for a shuffle of all of ``source``."""
-    wanted = fitting_partitions(spark, source)
-    return under_settings(spark, {"spark.sql.shuffle.partitions": str(wanted)}, work)
+    size = stored_bytes(spark, source)
+    shuffle, scan = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    needed = min(ceil(size / SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
+    settings = {shuffle: str(max(needed, int(spark.conf.get(shuffle))))}
+    per_task = min(ceil(size / MOST_SCAN_TASKS), LARGEST_SCAN_TASK_BYTES)
+    if per_task > SCAN_TASK_BYTES and spark.conf.get(scan) == f"{SCAN_TASK_BYTES}b":
+        settings[scan] = f"{per_task}b"
+    return settings
+
+
+def fitted_to(spark: SparkSession, source: str, work: Callable[[], Result]) -> Result:
+    """Runs ``work`` under settings that fit the size of ``source``."""
+    return under_settings(spark, fitting_settings(spark, source), work)
 
 
 def with_adaptive_execution(

@@ -125,19 +125,24 @@ def test_settings_are_restored(spark, facts):
     assert {k: spark.conf.get(k) for k in before} == before
 
 
-def test_shuffles_are_widened_to_the_input(spark, facts, monkeypatch):
+def test_partitions_fit_the_input(spark, facts, monkeypatch):
     path = scratch_folder(spark, "wide")
     facts.write.parquet(path)
     size = layout.stored_bytes(spark, path)
     assert size > 1000
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    assert layout.with_fitting_shuffles(spark, path, lambda: spark.conf.get(key)) == before
+    shuffle, scan = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(shuffle), spark.conf.get(scan)
+    assert layout.fitting_settings(spark, path) == {shuffle: before[0]}
+
     monkeypatch.setattr(layout, "SHUFFLE_PARTITION_BYTES", size / 50.5)
-    assert layout.with_fitting_shuffles(spark, path, lambda: spark.conf.get(key)) == "51"
+    assert layout.fitted_to(spark, path, lambda: spark.conf.get(shuffle)) == "51"
     monkeypatch.setattr(layout, "MOST_SHUFFLE_PARTITIONS", 30)
-    assert layout.with_fitting_shuffles(spark, path, lambda: spark.conf.get(key)) == "30"
-    assert spark.conf.get(key) == before
+    assert layout.fitted_to(spark, path, lambda: spark.conf.get(shuffle)) == "30"
+
+    petabyte = 1 << 50
+    monkeypatch.setattr(layout, "stored_bytes", lambda spark, path: petabyte // 8)
+    assert layout.fitted_to(spark, path, lambda: spark.conf.get(scan)) == f"{1 << 30}b"
+    assert (spark.conf.get(shuffle), spark.conf.get(scan)) == before
 
 
 def test_salted_totals_equal_plain_ones(facts):
