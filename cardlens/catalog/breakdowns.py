@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cardlens.catalog.registry import query, rounded
-from cardlens.catalog.sql import CARD_PROFILES, on_features, on_orders, on_tx
+from cardlens.catalog.registry import FINE, query, rounded
+from cardlens.catalog.sql import AVG_AMOUNT, CARD_PROFILES, on_features, on_orders, on_tx
 from cardlens.operators import exploration as E
 from cardlens.operators import features as features_ops
 from cardlens.operators import models
@@ -432,13 +432,13 @@ def gender_by_category(spark, folder):
 @query(
     "agg_32_category_by_state",
     on_orders(
-        "SELECT category, state, CAST(count(*) AS BIGINT) AS tx_count, round(avg(amount), 7) AS avg_amount, "
+        f"SELECT category, state, CAST(count(*) AS BIGINT) AS tx_count, {AVG_AMOUNT}, "
         "CAST(sum(is_fraud) AS BIGINT) AS fraud_count, round(stddev_samp(amount), 5) AS std_amount "
         "FROM tx_orders GROUP BY category, state"
     ),
 )
 def category_by_state(spark, folder):
-    return rounded(E.by_category_and_state(order_lines(spark, folder)), 7, std_amount=5)
+    return rounded(E.by_category_and_state(order_lines(spark, folder)), 5, avg_amount=FINE)
 
 
 @query(
@@ -458,12 +458,12 @@ def reused_pair(spark, folder):
 @query(
     "agg_34_fraud_by_category_and_state",
     on_orders(
-        "SELECT category, state, CAST(count(*) AS BIGINT) AS fraud_count, round(avg(amount), 7) AS avg_amount "
+        f"SELECT category, state, CAST(count(*) AS BIGINT) AS fraud_count, {AVG_AMOUNT} "
         "FROM tx_orders WHERE is_fraud = 1 GROUP BY category, state"
     ),
 )
 def fraud_by_category_and_state(spark, folder):
-    return rounded(E.fraud_by_category_and_state(order_lines(spark, folder)), 7)
+    return rounded(E.fraud_by_category_and_state(order_lines(spark, folder)), FINE)
 
 
 @query(

@@ -41,10 +41,11 @@ def _plain_histogram_sql(groups: str, value: str, bins: int) -> str:
 ranges AS (
   SELECT min({value}) AS low, (max({value}) - min({value})) / {bins}::DOUBLE AS width, count(*) AS total FROM points),
 slots AS (
-  SELECT least(CAST(floor((CAST({value} AS DOUBLE) - low) / width) AS INT), {bins - 1}) AS bin, low, width, total
+  SELECT CASE WHEN width > 0 THEN least(CAST(floor((CAST({value} AS DOUBLE) - low) / width) AS INT), {bins - 1})
+              ELSE 0 END AS bin, low, width, total
   FROM points, ranges)
 SELECT CAST(bin AS INT) AS bin, round(low + bin * width, 6) AS bin_start, CAST(count(*) AS BIGINT) AS n,
-       round(count(*) / (total * width), 9) AS density
+       round(count(*) / nullif(total * width, 0), 9) AS density
 FROM slots GROUP BY bin, low, width, total"""
 
 

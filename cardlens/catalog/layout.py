@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from cardlens.catalog.registry import query, rounded
-from cardlens.catalog.sql import on_orders, on_tx
+from cardlens.catalog.registry import FINE, query, rounded
+from cardlens.catalog.sql import AVG_AMOUNT, on_orders, on_tx
 from cardlens.operators import exploration
 from cardlens.plans import layout
 from cardlens.plans.report import summarize_plan
@@ -98,7 +98,7 @@ def wide_shuffle(spark, folder):
 @query(
     "lay_05_planned_fraud_counts",
     on_orders(
-        "SELECT category, state, CAST(count(*) AS BIGINT) AS fraud_count, round(avg(amount), 7) AS avg_amount, "
+        f"SELECT category, state, CAST(count(*) AS BIGINT) AS fraud_count, {AVG_AMOUNT}, "
         "true AS filter_reaches_scan, 'amount,category,is_fraud,state' AS scanned, "
         "CAST(1 AS INT) AS group_shuffles, CAST(0 AS INT) AS python_stages "
         "FROM tx_orders WHERE is_fraud = 1 GROUP BY category, state"
@@ -110,7 +110,7 @@ def planned_fraud_counts(spark, folder):
     write_parquet(order_lines(spark, folder), path)
     report = exploration.fraud_by_category_and_state(read_parquet(spark, path))
     plan = summarize_plan(report)
-    return rounded(report, 7).withColumns(
+    return rounded(report, FINE).withColumns(
         {
             "filter_reaches_scan": F.lit("EqualTo(is_fraud,1)" in plan.pushed_filters),
             "scanned": F.lit(",".join(sorted(plan.scan_columns))),

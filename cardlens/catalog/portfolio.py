@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cardlens.catalog.registry import query, rounded
+from cardlens.catalog.registry import FINE, query, rounded
 from cardlens.catalog.sql import (
+    AVG_AMOUNT,
     FRAUD_AMOUNT,
     FRAUD_SHARE,
     FRAUDS,
     LABELLED,
+    fine,
     on_features,
     on_orders,
     on_tx,
@@ -18,8 +20,6 @@ from cardlens.operators import features as features_ops
 from cardlens.operators import portfolio as P
 from cardlens.sources.star import order_lines, transactions
 
-AVG_AMOUNT = "round(avg(amount), 6) AS avg_amount"
-
 
 @query(
     "agg_15_by_distance_tier",
@@ -32,7 +32,7 @@ FROM fx WHERE merch_distance_km >= 0 GROUP BY 1"""
 )
 def by_distance_tier(spark, folder):
     df = transactions(spark, folder).transform(features_ops.add_distance)
-    return rounded(P.by_distance_tier(df), fraud_amount=2)
+    return rounded(P.by_distance_tier(df), fraud_amount=2, avg_amount=FINE)
 
 
 @query(
@@ -47,7 +47,7 @@ FROM fx WHERE cardholder_age >= 0 AND cardholder_age < 200 GROUP BY 1"""
 )
 def by_age_tier(spark, folder):
     df = transactions(spark, folder).transform(features_ops.add_cardholder)
-    return rounded(P.by_age_tier(df), fraud_amount=2)
+    return rounded(P.by_age_tier(df), fraud_amount=2, avg_amount=FINE)
 
 
 @query(
@@ -58,7 +58,7 @@ def by_age_tier(spark, folder):
     ),
 )
 def gender_risk(spark, folder):
-    return rounded(P.by_gender(transactions(spark, folder)), fraud_amount=2)
+    return rounded(P.by_gender(transactions(spark, folder)), fraud_amount=2, avg_amount=FINE)
 
 
 _MONTHS = f""", months AS (
@@ -75,14 +75,14 @@ line AS (SELECT regr_slope(total_spend, t) AS s, regr_intercept(total_spend, t)
     "agg_29_monthly_risk",
     on_orders(
         _MONTHS
-        + """SELECT year_month, CAST(tx_count AS BIGINT) AS tx_count, round(total_spend, 2) AS total_spend,
-       round(avg_amount, 2) AS avg_amount, CAST(fraud_count AS BIGINT) AS fraud_count, fraud_amount,
-       round(fraud_rate, 2) AS fraud_rate, CAST(t AS INT) AS t, round(i + s * t, 2) AS spend_trend
+        + f"""SELECT year_month, CAST(tx_count AS BIGINT) AS tx_count, round(total_spend, 2) AS total_spend,
+       {fine('avg_amount')} AS avg_amount, CAST(fraud_count AS BIGINT) AS fraud_count, fraud_amount,
+       {fine('fraud_count * 100.0 / tx_count')} AS fraud_rate, CAST(t AS INT) AS t, round(i + s * t, 2) AS spend_trend
 FROM series, line"""
     ),
 )
 def monthly_risk(spark, folder):
-    return rounded(P.by_month(order_lines(spark, folder)), 2)
+    return rounded(P.by_month(order_lines(spark, folder)), 2, avg_amount=FINE, fraud_rate=FINE)
 
 
 _KPIS = """SELECT CAST(count(*) AS BIGINT) AS total_tx, CAST(sum(is_fraud) AS BIGINT) AS fraud_tx,
@@ -130,7 +130,7 @@ def detection_value(spark, folder):
     ),
 )
 def category_risk(spark, folder):
-    return rounded(P.by_category(transactions(spark, folder)), fraud_amount=2)
+    return rounded(P.by_category(transactions(spark, folder)), fraud_amount=2, avg_amount=FINE)
 
 
 @query(
@@ -164,12 +164,12 @@ _STATES = (
 
 @query("agg_43_riskiest_states", on_tx(_STATES + "ORDER BY fraud_rate DESC, state LIMIT 20"))
 def riskiest_states(spark, folder):
-    return rounded(P.riskiest_states(transactions(spark, folder)), fraud_amount=2)
+    return rounded(P.riskiest_states(transactions(spark, folder)), fraud_amount=2, avg_amount=FINE)
 
 
 @query("agg_44_exposed_states", on_tx(_STATES + "ORDER BY fraud_amount DESC, state LIMIT 20"))
 def exposed_states(spark, folder):
-    return rounded(P.most_exposed_states(transactions(spark, folder)), fraud_amount=2)
+    return rounded(P.most_exposed_states(transactions(spark, folder)), fraud_amount=2, avg_amount=FINE)
 
 
 @query(
@@ -192,7 +192,7 @@ def amount_tier_risk(spark, folder):
     ),
 )
 def time_of_day_risk(spark, folder):
-    return rounded(P.by_time_of_day(transactions(spark, folder)))
+    return rounded(P.by_time_of_day(transactions(spark, folder)), avg_amount=FINE)
 
 
 @query(
@@ -224,12 +224,12 @@ def merchant_rate_marks(spark, folder):
     "agg_49_cards",
     on_tx(
         "SELECT card_id, CAST(count(is_fraud) AS BIGINT) AS tx_count, round(sum(amount), 2) AS total_spend, "
-        f"round(avg(amount), 8) AS avg_amount, CAST(sum(is_fraud) AS BIGINT) AS fraud_count, {FRAUD_SHARE} "
+        f"{AVG_AMOUNT}, CAST(sum(is_fraud) AS BIGINT) AS fraud_count, {FRAUD_SHARE} "
         "FROM tx GROUP BY card_id"
     ),
 )
 def cards(spark, folder):
-    return rounded(P.by_card(transactions(spark, folder)), total_spend=2, avg_amount=8)
+    return rounded(P.by_card(transactions(spark, folder)), total_spend=2, avg_amount=FINE)
 
 
 @query(

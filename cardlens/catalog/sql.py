@@ -118,8 +118,14 @@ complete AS (
   WHERE std_amount IS NOT NULL AND avg_dist_km IS NOT NULL AND age IS NOT NULL AND gender_bin IS NOT NULL)
 """
 
+def fine(value: str) -> str:
+    """``value`` rounded to binary steps, as the ``FINE`` rounding of results."""
+    return f"round(({value}) * 1048576) / 1048576"
+
+
 # Portfolio measures shared by several reports.
 FRAUD_AMOUNT = "round(coalesce(sum(CASE WHEN is_fraud = 1 THEN amount END), 0), 2) AS fraud_amount"
 FRAUD_SHARE = "round(sum(is_fraud) * 100.0 / nullif(count(is_fraud), 0), 6) AS fraud_rate"
+AVG_AMOUNT = f"{fine('avg(amount)')} AS avg_amount"
 LABELLED = "CAST(count(is_fraud) AS BIGINT) AS total"
 FRAUDS = "CAST(sum(is_fraud) AS BIGINT) AS fraud"
