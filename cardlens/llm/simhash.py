@@ -17,11 +17,11 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlens.llm.graphs import components, stored
-from cardlens.llm.tables import map_batches, map_texts, named
+from cardlens.llm.tables import map_batches, map_texts, named, text_of
 
 BITS = 64
 #: Numbers of partitions that the plan chooses from.
@@ -423,3 +423,34 @@ def near_duplicates(
     return prints.join(by_print, "simhash").select(
         named("id").alias(id_col), "simhash", "component_id"
     )
+
+
+def keep_one_per_class(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 3,
+    distance: int = 3,
+) -> DataFrame:
+    """One row of each class of near duplicates, all columns as they are.
+
+    The row of the least id stays; rows without an id come last. Of rows that repeat an id, the
+    one whose text has the least hash stays, of equal rows any one.
+    """
+    text = text_of(text_col)
+    key = [
+        F.xxhash64(named(id_col), text).alias("ka"),
+        F.xxhash64(F.lit("second"), named(id_col), text).alias("kb"),
+    ]
+    rank = F.struct(named(id_col).isNull().alias("none"), named(id_col).alias("id"), *key)
+    found = near_duplicates(
+        docs.select(rank.alias("rank"), text.alias("text")), "rank", "text", shingle, distance
+    )
+    first = found.where(F.col("rank") == F.col("component_id")).select("rank.ka", "rank.kb").distinct()
+    # the input's columns travel inside a struct, so that none clashes with the keys
+    rows = docs.select(F.struct(*map(named, docs.columns)).alias("row"), *key)
+    kept = rows.join(first, ["ka", "kb"], "left_semi")
+    repeat = F.row_number().over(Window.partitionBy("ka", "kb").orderBy("ka"))
+    return kept.withColumn("repeat", repeat).where("repeat = 1").select(
+        *[F.col("row").getField(n).alias(n) for n in docs.columns]
+    )
