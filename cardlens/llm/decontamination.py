@@ -238,9 +238,11 @@ def find_passages(
             F.concat(
                 F.slice(done, 1, F.size(done) - 1),
                 F.array(
-                    F.struct(
-                        F.element_at(done, -1)["start"].alias("start"),
-                        F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end"),
+                    F.named_struct(
+                        F.lit("start"),
+                        F.element_at(done, -1)["start"],
+                        F.lit("end"),
+                        F.greatest(F.element_at(done, -1)["end"], s["end"]),
                     )
                 ),
             ),
