@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cardlens.llm.byte_bpe import encode_decode, encoder, read_ranks
+from text_tables import by_id, docs  # noqa: F401
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 MIXED = st.text(st.sampled_from("aeioutnhs ,.'\n\t\x85\x1c09éß漢😀"), max_size=120) | st.text(max_size=60)

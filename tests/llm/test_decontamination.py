@@ -5,6 +5,7 @@ import pytest
 
 from cardlens.llm import decontamination
 from cardlens.llm.decontamination import drop_contaminated, find_passages
+from text_tables import docs  # noqa: F401
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

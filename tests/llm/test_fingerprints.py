@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from cardlens.llm.fingerprints import Sampler, fingerprint_edits, likeness, terms
+from text_tables import by_id, docs  # noqa: F401
 
 
 def similarity(a, b):

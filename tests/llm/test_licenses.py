@@ -4,6 +4,7 @@ import re
 import pytest
 
 from cardlens.llm.licenses import BASE_PHRASES, evaluate, scan_licenses
+from text_tables import by_id, docs  # noqa: F401
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardlens.llm import line_dedup
+from text_tables import docs  # noqa: F401
 
 BLANK = re.compile(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cardlens.llm import simhash
 from cardlens.llm.graphs import components
+from text_tables import by_id, docs  # noqa: F401
 
 
 def plain_simhash(text):

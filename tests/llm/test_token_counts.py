@@ -3,6 +3,7 @@ import random
 import public_tokenizers
 
 from cardlens.llm.token_counts import count_tokens, counter
+from text_tables import by_id, docs  # noqa: F401
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 

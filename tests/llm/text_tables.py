@@ -1,3 +1,5 @@
+"""Fixtures of the text tests; a conftest of this name exists one folder up."""
+
 import pytest
 
 SCHEMA = "doc_id long, text string, n_words string, ka int, score array<int>, text_key string"
