@@ -230,16 +230,16 @@ def with_time_index(months: DataFrame) -> DataFrame:
     return months.withColumn("t", F.row_number().over(in_time) - 1)
 
 
-def gender_by_top_category(
-    df: DataFrame, k: int = 6, genders: tuple[str, ...] = ("F", "M")
-) -> DataFrame:
-    """Mean log amount: the ``k`` most frequent categories by gender."""
+def gender_by_top_category(df: DataFrame, k: int = 6) -> DataFrame:
+    """Mean log amount of the ``k`` most frequent categories by gender.
+
+    A row for each gender that occurs, the missing one included: which there are is data.
+    """
     return (
         in_top_groups(df, "category", k)
-        .groupBy("category")
-        .pivot("gender", list(genders))
-        .agg(F.round(F.avg("amount_log1p"), 2))
-        .orderBy("category")
+        .groupBy("category", "gender")
+        .agg(F.round(F.avg("amount_log1p"), 2).alias("avg_amount_log1p"))
+        .orderBy("category", "gender")
     )
 
 

@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 from cardlens.functions import bands as B
 from cardlens.functions import expressions as X
-from cardlens.operators.joins import BROADCAST_ROWS, held_table, lookup_join
+from cardlens.operators.joins import lookup_join
 from cardlens.operators.ranking import number_rows
 from cardlens.operators.selection import select_features
+from cardlens.session import settled
+
+
+#: Parts that a card's rows without a time are joined in.
+MISSING_SLICES = 32
 
 
 def _has(df: DataFrame, *columns: str) -> bool:
@@ -116,17 +121,30 @@ def add_velocity(df: DataFrame, lookback: int = 3600) -> DataFrame:
     """Prior-hour count and amount per row.
 
     The join key is (card, second), and the right side is unique on it, so a busy
-    card is spread over many keys and adaptive skew handling can split the rest.
+    card is spread over many keys and adaptive skew handling can split the rest. Rows
+    without a second see each other, as in a range window; all those of a card share one
+    key, so they are cut into ``MISSING_SLICES`` by their id.
     """
     if not _has(df, "card_id", "tx_unix", "amount", "transaction_id"):
         return df
-    velocity = card_velocity(df, lookback).withColumnsRenamed(
-        {"card_id": "v_card", "tx_unix": "v_second"}
+    missing = F.sequence(F.lit(0), F.lit(MISSING_SLICES - 1))
+    velocity = card_velocity(df, lookback).select(
+        F.col("card_id").alias("v_card"),
+        F.col("tx_unix").alias("v_second"),
+        "card_tx_count_1h",
+        "card_amount_sum_1h",
+        F.explode(F.when(F.col("tx_unix").isNull(), missing).otherwise(F.array(F.lit(0)))).alias(
+            "v_slice"
+        ),
     )
-    same = F.col("card_id").eqNullSafe(F.col("v_card")) & F.col("tx_unix").eqNullSafe(
-        F.col("v_second")
+    anywhere = F.pmod(F.xxhash64("transaction_id"), F.lit(MISSING_SLICES)).cast("int")
+    same = (
+        F.col("card_id").eqNullSafe(F.col("v_card"))
+        & F.col("tx_unix").eqNullSafe(F.col("v_second"))
+        & (F.col("slice") == F.col("v_slice"))
     )
-    return df.join(velocity, same, "left").drop("v_card", "v_second")
+    sliced = df.withColumn("slice", F.when(F.col("tx_unix").isNull(), anywhere).otherwise(0))
+    return sliced.join(velocity, same, "left").drop("v_card", "v_second", "v_slice", "slice")
 
 
 def add_cardholder(df: DataFrame) -> DataFrame:
@@ -146,7 +164,7 @@ def merchant_rates(df: DataFrame) -> DataFrame:
 
 
 def add_merchant_rate(
-    df: DataFrame, learned_from: DataFrame | None = None, max_rows: int = BROADCAST_ROWS
+    df: DataFrame, learned_from: DataFrame | None = None
 ) -> DataFrame:
     """Target encoding over the whole table, the current row included.
 
@@ -156,40 +174,28 @@ def add_merchant_rate(
     if not _has(df, "merchant", "is_fraud"):
         return df
     rates = merchant_rates((learned_from or df).where(F.col("merchant").isNotNull()))
-    return lookup_join(df, rates.drop("merchant_tx_count"), "merchant", max_rows)
-
+    return lookup_join(df, rates.drop("merchant_tx_count"), "merchant")
 
-def category_index(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``category, category_encoded``: 0-based rank by frequency, ties by name.
 
-    A label list that proves small is ranked in one window, a larger one by a
-    distributed sort.
-    """
+def category_index(df: DataFrame) -> DataFrame:
+    """``category, category_encoded``: 0-based rank by frequency, ties by name."""
     counts = (
         df.where(F.col("category").isNotNull())
         .groupBy("category")
         .agg(F.count(F.lit(1)).alias("uses"))
     )
-    order = (F.desc("uses"), F.asc("category"))
-    small = held_table(counts, max_rows)
-    if small is None:
-        ranked = number_rows(counts, "place", *order)
-    else:
-        place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)) - 1
-        ranked = small.withColumn("place", place)
+    ranked = number_rows(counts, "place", F.desc("uses"), F.asc("category"))
     return ranked.select("category", F.col("place").cast("double").alias("category_encoded"))
 
 
-def add_category_index(
-    df: DataFrame, learned_from: DataFrame | None = None, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def add_category_index(df: DataFrame, learned_from: DataFrame | None = None) -> DataFrame:
     """Frequency index of ``category``; rows without one get the number of labels."""
     if not _has(df, "category"):
         return df
-    index = category_index(learned_from or df, max_rows)
+    index = settled(category_index(learned_from or df))
     labels = index.agg(F.count(F.lit(1)).cast("double")).scalar()
-    indexed = lookup_join(df, index, "category", max_rows)
-    return indexed.withColumn("category_encoded", F.coalesce("category_encoded", labels))
+    joined = df.join(index, "category", "left").select(*df.columns, "category_encoded")
+    return joined.withColumn("category_encoded", F.coalesce("category_encoded", labels))
 
 
 def feature_table(transactions: DataFrame) -> DataFrame:

@@ -1,4 +1,9 @@
-"""Enrichment joins and the rules for when a side may be broadcast."""
+"""Enrichment joins.
+
+A lookup table is computed once and stored, so Spark knows its size and broadcasts it below
+``spark.sql.autoBroadcastJoinThreshold``. Beyond that the join shuffles, and adaptive execution
+splits what is skewed. The sliced join does not rely on that: it cuts keys by their volume.
+"""
 
 from __future__ import annotations
 
@@ -6,59 +11,67 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.functions.bands import Bands
+from cardlens.session import settled
+
+
+def lookup_join(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """``facts`` left-joined to a table with one row per ``key``, computed once."""
+    joined = facts.join(settled(dim), key, "left")
+    return joined.select(*facts.columns, *[c for c in dim.columns if c != key])
 
-BROADCAST_ROWS = 50_000
-BROADCAST_BYTES = 16 * 1024 * 1024
 
+def broadcast_lookup(facts: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """Left join against a table whose size has a bound."""
+    joined = facts.join(F.broadcast(small), key, "left")
+    return joined.select(*facts.columns, *[c for c in small.columns if c != key])
 
-def held_table(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """``dim`` computed once and held by the driver if it is small, else None.
 
-    At most ``max_rows + 1`` rows are ever fetched, so the check itself is bounded.
+def key_slices(facts: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
+    """``key, slices`` of every key with more than half the rows of a mean task.
+
+    The missing key counts as one. Rows are counted with partial aggregates; fewer than
+    ``2 * tasks`` keys can be that large, which bounds the result.
     """
-    fetched = dim.limit(max_rows + 1).toArrow()
-    if fetched.num_rows > max_rows or fetched.nbytes > BROADCAST_BYTES:
-        return None
-    return dim.sparkSession.createDataFrame(fetched, dim.schema)
+    if tasks is None:
+        tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = settled(facts.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
+    share = F.col("n") * (2.0 * tasks) / counts.agg(F.sum("n")).scalar()
+    return counts.where(share > 1).select(key, F.ceil(share).cast("int").alias("slices"))
 
 
-def lookup_join(
+def sliced_lookup(
     facts: DataFrame,
     dim: DataFrame,
     key: str,
-    max_rows: int = BROADCAST_ROWS,
     spread_by: str = "transaction_id",
+    tasks: int | None = None,
 ) -> DataFrame:
-    """``facts`` left-joined to a table with one row per ``key``.
+    """The same left join as a sort-merge join, large keys cut into slices.
 
-    A dimension that proves small is broadcast and the facts are not shuffled. A
-    larger one takes the salted shuffle join.
+    A key that holds a third of the facts is spread over a third of the tasks, and only the
+    dimension rows of such keys are repeated, as often as the key is cut. The slice is a hash
+    of the row, not a random number, so a recomputed task yields the same slices.
     """
-    small = held_table(dim, max_rows)
-    if small is not None:
-        return broadcast_lookup(facts, small, key)
-    return salted_lookup(facts, dim, key, spread_by=spread_by)
-
-
-def broadcast_lookup(facts: DataFrame, small: DataFrame, key: str) -> DataFrame:
-    """Left join against a table whose size the caller has checked."""
-    joined = facts.join(F.broadcast(small), key, "left")
-    return joined.select(*facts.columns, *[c for c in small.columns if c != key])
-
-
-def merge_lookup(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """The same left join as a sort-merge join."""
-    joined = facts.join(dim.hint("merge"), key, "left")
+    large = settled(key_slices(facts, key, tasks)).withColumnRenamed(key, "large_key")
+    spread = [spread_by] if spread_by in facts.columns else facts.columns
+    cut = F.coalesce("slices", F.lit(1))
+    sliced = (
+        facts.join(F.broadcast(large), F.col(key).eqNullSafe(F.col("large_key")), "left")
+        .withColumn("slice", F.pmod(F.xxhash64(*spread), cut).cast("int"))
+        .drop("large_key", "slices")
+    )
+    copies = (
+        dim.join(F.broadcast(large), F.col(key).eqNullSafe(F.col("large_key")), "left")
+        .withColumn("slice", F.explode(F.sequence(F.lit(0), cut - 1)))
+        .drop("large_key", "slices")
+    )
+    joined = sliced.join(copies.hint("merge"), [key, "slice"], "left")
     return joined.select(*facts.columns, *[c for c in dim.columns if c != key])
 
 
-def frequent_keys(facts: DataFrame, key: str, support: float) -> list:
-    """Every key that holds more than ``support`` of the rows, and perhaps a few more.
-
-    At most ``1 / support`` keys come back, from one pass over the key column.
-    """
-    found = facts.select(key).stat.freqItems([key], support).first()[0]
-    return [k for k in found or [] if k is not None]
+def merge_lookup(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """The sort-merge join with slices for the session's number of shuffle partitions."""
+    return sliced_lookup(facts, dim, key)
 
 
 def salted_lookup(
@@ -66,23 +79,11 @@ def salted_lookup(
     dim: DataFrame,
     key: str,
     salts: int = 32,
-    support: float = 0.01,
     spread_by: str = "transaction_id",
 ) -> DataFrame:
-    """The same left join with frequent and missing keys cut into ``salts`` slices.
-
-    A key that holds a third of the facts is spread over ``salts`` tasks, and only the
-    dimension rows of such keys are repeated. The slice is a hash of the row, not a
-    random number, so a recomputed task yields the same slices.
-    """
-    hot = F.col(key).isin(frequent_keys(facts, key, support))
-    spread = [spread_by] if spread_by in facts.columns else facts.columns
-    anywhere = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    sliced = facts.withColumn("slice", F.when(hot | F.col(key).isNull(), anywhere).otherwise(0))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    copies = dim.withColumn("slice", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0)))))
-    joined = sliced.join(copies.hint("merge"), [key, "slice"], "left")
-    return joined.select(*facts.columns, *[c for c in dim.columns if c != key])
+    """The sort-merge join with slices for ``salts`` times as many tasks."""
+    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sliced_lookup(facts, dim, key, spread_by, tasks * salts)
 
 
 def in_band_order(groups: DataFrame, bands: Bands, fill: bool = True) -> DataFrame:

@@ -257,7 +257,7 @@ def classification_report(
     ``names`` maps class numbers to display names: a dictionary, or a table
     ``class, label``. An undefined ratio is 0.
     """
-    cells = settled(confusion)
+    cells = settled(confusion)  # the fit behind it must not run once for each branch
     hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
     actual = cells.groupBy(F.col("actual").alias("class")).agg(
         F.sum("n").alias("support"), F.sum(hit).alias("hits")
@@ -350,8 +350,7 @@ def card_profiles(features: DataFrame) -> DataFrame:
     Gender and age are those of the card's first transaction.
     """
     df = rename_for_models(features)
-    first = F.struct("transaction_ts", "transaction_id")
-    profiles = df.groupBy("card_id").agg(
+    measures = df.groupBy("card_id").agg(
         M.rows(),
         M.mean_of("amount_log1p", "avg_amount", 2),
         F.round(F.stddev_samp("amount_log1p"), 2).alias("std_amount"),
@@ -361,10 +360,15 @@ def card_profiles(features: DataFrame) -> DataFrame:
         M.mean_of("merch_dist_km", "avg_dist_km", 2),
         M.mean_of("city_pop", "avg_city_pop", 0),
         M.fraud_rate_pct(digits=3),
-        F.min_by("gender_bin", first).alias("gender_bin"),
-        F.min_by("age", first).alias("age"),
     )
-    return profiles.dropna()
+    # On its own, as its buffer holds text: all measures would be sorted along with it.
+    first = F.struct("transaction_ts", "transaction_id")
+    opening = df.groupBy("card_id").agg(
+        F.min_by(F.struct("gender_bin", "age"), first).alias("person")
+    )
+    own = F.col("card_id").eqNullSafe(F.col("opening_card"))
+    people = opening.select(F.col("card_id").alias("opening_card"), "person.gender_bin", "person.age")
+    return measures.join(people, own).drop("opening_card").dropna()
 
 
 def segment_vectors(profiles: DataFrame) -> DataFrame:

@@ -1,94 +1,75 @@
 """Exact ranks, quantiles and cumulative distributions without a single-task sort.
 
-Equal values are counted first, so a value shared by a third of the rows is one row. The
-distinct values are then cut into buckets at approximate quantiles, ranked inside their
-bucket in parallel, and shifted by the size of the buckets before. The cut points decide only
-how even the buckets are; the ranks are exact for any cut points.
+Equal values are counted first, so a value shared by a third of the rows is one row. Spark
+sorts the distinct values across the cluster, by ranges that it samples itself; each range is
+ranked in parallel and shifted by the size of the ranges before.
 """
 
 from __future__ import annotations
 
-from math import inf
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlens.session import settled
 
-MOST_BUCKETS = 1024
-
 
 def value_counts(
     df: DataFrame, value: str, by: tuple[str, ...] = (), weight: str | None = None
 ) -> DataFrame:
-    """``by..., value, n`` per distinct non-NULL value, ``value`` as double.
+    """``by..., value, n`` per distinct non-NULL value, in the value's own type.
 
     Computed now, in one pass, because ranking reads it several times. With ``weight``
     the rows are already counted and that column holds their number.
     """
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias(value))
-        .agg(n.alias("n"))
-    )
-    return settled(counts)
+    return settled(df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(n.alias("n")))
+
 
+def sorted_parts(df: DataFrame, *order: Column | str) -> DataFrame:
+    """``df`` sorted across the cluster and stored, with ``part`` and ``place`` of each row.
 
-def cut_points(counts: DataFrame, value: str, buckets: int) -> list[float]:
-    """At most ``buckets - 1`` ascending values that cut the distinct values evenly."""
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = counts.agg(F.percentile_approx(value, shares, 10 * buckets)).first()[0]
-    return sorted({c for c in cuts or [] if abs(c) != inf and c == c})
+    Parts are ranges of the order, one for each sorting task; places count from 0 in a part.
+    """
+    mark = F.monotonically_increasing_id()
+    marked = settled(df.orderBy(*order).withColumn("mark", mark))
+    return marked.select(
+        *df.columns,
+        F.shiftright("mark", 33).alias("part"),
+        F.col("mark").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
+    )
 
 
-def running_counts(
-    counts: DataFrame, value: str, by: tuple[str, ...] = (), buckets: int | None = None
-) -> DataFrame:
+def running_counts(counts: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Adds ``before, upto, total`` to the rows of ``value_counts``.
 
     ``before`` and ``upto`` are the rows of the group below the value and up to and
     including it. ``by`` must be a handful of groups (labels); values are unlimited.
     """
-    if buckets is None:
-        partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = min(max(partitions, 16), MOST_BUCKETS)
-    cuts = cut_points(counts, value, buckets)
-    if cuts:
-        bucketed = Bucketizer(
-            splits=[-inf, *cuts, inf], inputCol=value, outputCol="bucket", handleInvalid="keep"
-        ).transform(counts)
-    else:
-        bucketed = counts.withColumn("bucket", F.lit(0.0))
-
-    # One row per group and bucket: at most (groups * buckets) rows are windowed here.
+    parts = sorted_parts(counts, *by, value)
+    # One row per group and part that holds it: groups + parts rows are windowed here.
     keys = [F.col(c) for c in by] or [F.lit(0)]
-    ascending = Window.partitionBy(*keys).orderBy("bucket")
+    ahead = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy(*by, "bucket")
-        .agg(F.sum("n").alias("bucket_n"))
+        parts.groupBy(*by, "part")
+        .agg(F.sum("n").alias("part_n"))
         .select(
-            *[F.col(c).alias(f"{c}_of_bucket") for c in by],
-            F.col("bucket").alias("bucket_id"),
-            F.coalesce(
-                F.sum("bucket_n").over(ascending.rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ).alias("offset"),
-            F.sum("bucket_n").over(Window.partitionBy(*keys)).alias("total"),
+            *[F.col(c).alias(f"{c}_of_part") for c in by],
+            F.col("part").alias("part_id"),
+            F.coalesce(F.sum("part_n").over(ahead), F.lit(0)).alias("offset"),
+            F.sum("part_n").over(Window.partitionBy(*keys)).alias("total"),
         )
     )
-    matches = F.col("bucket") == F.col("bucket_id")
+    matches = F.col("part") == F.col("part_id")
     for c in by:
-        matches = matches & F.col(c).eqNullSafe(F.col(f"{c}_of_bucket"))
+        matches = matches & F.col(c).eqNullSafe(F.col(f"{c}_of_part"))
     inside = (
-        Window.partitionBy(*by, "bucket")
-        .orderBy(value)
+        Window.partitionBy(*by, "part")
+        .orderBy("place")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     upto = F.col("offset") + F.sum("n").over(inside)
     return (
-        bucketed.join(offsets, matches)
+        parts.join(offsets, matches)
         .withColumn("upto", upto)
         .select(*by, value, "n", (F.col("upto") - F.col("n")).alias("before"), "upto", "total")
     )
@@ -106,12 +87,11 @@ def quantiles(
     shares: dict[str, float],
     by: tuple[str, ...] = (),
     discrete: bool = False,
-    buckets: int | None = None,
 ) -> DataFrame:
     """Exact quantiles of counted values: a column per entry of ``shares``, a row per group.
 
-    Linear interpolation between neighbours by default; ``discrete`` gives the
-    smallest value that covers the share instead.
+    Linear interpolation between neighbours by default, as double; ``discrete`` gives the
+    smallest value that covers the share instead, in its own type.
     """
     picks, outputs = [], []
     for i, (name, share) in enumerate(shares.items()):
@@ -125,16 +105,15 @@ def quantiles(
         picks.append(_value_at(F.floor(spot), value).alias(low))
         picks.append(_value_at(F.ceil(spot), value).alias(high))
         picks.append(F.max(spot - F.floor(spot)).alias(part))
-        outputs.append((F.col(low) + (F.col(high) - F.col(low)) * F.col(part)).alias(name))
-    ranked = running_counts(counts, value, by, buckets)
+        first, last = F.col(low).cast("double"), F.col(high).cast("double")
+        outputs.append((first + (last - first) * F.col(part)).alias(name))
+    ranked = running_counts(counts, value, by)
     return ranked.groupBy(*by).agg(*picks).select(*by, *outputs)
 
 
-def cumulative_distribution(
-    counts: DataFrame, value: str, by: tuple[str, ...] = (), buckets: int | None = None
-) -> DataFrame:
+def cumulative_distribution(counts: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Steps of the empirical CDF: share of the group at or below each distinct value."""
-    return running_counts(counts, value, by, buckets).select(
+    return running_counts(counts, value, by).select(
         *by, value, "n", (F.col("upto") / F.col("total")).alias("cdf")
     )
 
@@ -142,21 +121,18 @@ def cumulative_distribution(
 def number_rows(df: DataFrame, name: str, *order: Column | str) -> DataFrame:
     """Adds the 0-based place of each row in a total order, without a one-task window.
 
-    The rows are sorted across the cluster and stored with a (partition, place) mark;
-    the partitions' sizes, one row each, give the offset of every partition. The order
-    must be unique, or equal rows are numbered arbitrarily.
+    The parts' sizes, one row each, give the offset of every part. The order must be unique,
+    or equal rows are numbered arbitrarily.
     """
-    marked = settled(df.orderBy(*order).withColumn("mark", F.monotonically_increasing_id()))
-    part = F.shiftright("mark", 33)
+    parts = sorted_parts(df, *order)
     ahead = Window.partitionBy(F.lit(0)).orderBy("part_id").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        marked.groupBy(part.alias("part_id"))
+        parts.groupBy(F.col("part").alias("part_id"))
         .agg(F.count(F.lit(1)).alias("size"))
         .select("part_id", F.coalesce(F.sum("size").over(ahead), F.lit(0)).alias("offset"))
     )
-    place = F.col("offset") + F.col("mark").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        marked.join(offsets, part == F.col("part_id"))
-        .withColumn(name, place)
+        parts.join(offsets, F.col("part") == F.col("part_id"))
+        .withColumn(name, F.col("offset") + F.col("place"))
         .select(*df.columns, name)
     )

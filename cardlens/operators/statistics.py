@@ -86,26 +86,30 @@ def histogram(
     """Equal-width histogram with density, per label 0/1 over the label's own range, or
     over all rows if ``label`` is None.
 
-    Values are counted first, so the bins are cut from the distinct values of one
-    scan. The ranges are at most two rows, which bounds the broadcast.
+    Two narrow passes: the ranges, then a count per label and bin, so no more rows than
+    that leave a task. The ranges are at most two rows, which bounds the broadcast.
     """
-    if label is None:
-        whole = df.select(value, F.lit(0).alias("whole"))
-        return histogram(whole, value, bins, "whole").drop("whole")
-    counts = value_counts(df.where(F.col(label).isin(0, 1)), value, (label,))
-    ranges = counts.groupBy(label).agg(
+    known = df.where(F.col(value).isNotNull()).withColumn(value, F.col(value).cast("double"))
+    limits = [
         F.min(value).alias("low"),
         ((F.max(value) - F.min(value)) / bins).alias("width"),
-        F.sum("n").alias("total"),
-    )
+        F.count(F.lit(1)).alias("total"),
+    ]
+    if label is None:
+        whole = known.agg(*limits).select(F.struct("low", "width", "total")).scalar()
+        names = ("low", "width", "total")
+        ranged = known.select(value, *[whole.getField(n).alias(n) for n in names])
+    else:
+        points = known.where(F.col(label).isin(0, 1)).select(label, value)
+        ranged = points.join(F.broadcast(points.groupBy(label).agg(*limits)), label)
+    groups = [] if label is None else [label]
     slot = F.floor(F.try_divide(F.col(value) - F.col("low"), F.col("width")))
     return (
-        counts.join(F.broadcast(ranges), label)
-        .withColumn("bin", F.least(F.coalesce(slot, F.lit(0)), F.lit(bins - 1)).cast("int"))
-        .groupBy(label, "bin", "low", "width", "total")
-        .agg(F.sum("n").alias("n"))
+        ranged.withColumn("bin", F.least(F.coalesce(slot, F.lit(0)), F.lit(bins - 1)).cast("int"))
+        .groupBy(*groups, "bin", "low", "width", "total")
+        .agg(F.count(F.lit(1)).alias("n"))
         .select(
-            label,
+            *groups,
             "bin",
             (F.col("low") + F.col("bin") * F.col("width")).alias("bin_start"),
             "n",

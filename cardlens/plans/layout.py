@@ -61,30 +61,33 @@ def under_settings(
 
 
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 40_000
 SCAN_TASK_BYTES = 128 * 1024 * 1024
 LARGEST_SCAN_TASK_BYTES = 1024 * 1024 * 1024
 MOST_SCAN_TASKS = 100_000
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files under ``path``; lists them without reading any."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of the files under ``paths``; lists them without reading any."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
     return files.agg(F.sum("length")).first()[0] or 0
 
 
-def fitting_settings(spark: SparkSession, source: str) -> dict[str, str]:
-    """Session settings for scanning and shuffling all of ``source``.
+def partitions_for(size: int, partition_bytes: int = SHUFFLE_PARTITION_BYTES) -> int:
+    """Partitions of about ``partition_bytes`` for ``size`` bytes, at least one."""
+    return max(1, ceil(size / partition_bytes))
+
+
+def fitting_settings(spark: SparkSession, *sources: str) -> dict[str, str]:
+    """Session settings for scanning and shuffling the tables ``sources``.
 
     Adaptive execution merges small shuffle partitions but never adds any, so their
     number has to follow the input; it is only ever raised. Scan tasks grow beyond
     Spark's default once there would be more of them than the scheduler and the map
     output tracking handle well, unless their size was set by hand.
     """
-    size = stored_bytes(spark, source)
+    size = stored_bytes(spark, *sources)
     shuffle, scan = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
-    needed = min(ceil(size / SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
-    settings = {shuffle: str(max(needed, int(spark.conf.get(shuffle))))}
+    settings = {shuffle: str(max(partitions_for(size), int(spark.conf.get(shuffle))))}
     per_task = min(ceil(size / MOST_SCAN_TASKS), LARGEST_SCAN_TASK_BYTES)
     if per_task > SCAN_TASK_BYTES and spark.conf.get(scan) == f"{SCAN_TASK_BYTES}b":
         settings[scan] = f"{per_task}b"

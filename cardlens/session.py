@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,8 +28,6 @@ def create_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.checkpoint.compress", "true")
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -36,12 +37,14 @@ def create_session(
 
 
 _local_scratch: list[str] = []
+_scratch: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a local master may fall back to a folder of this machine, which goes when the
+    process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -50,21 +53,36 @@ def shared_folder(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     if not _local_scratch:
         _local_scratch.append(tempfile.mkdtemp(prefix="cardlens-"))
+        atexit.register(shutil.rmtree, _local_scratch[0], ignore_errors=True)
     return _local_scratch[0]
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """New path under the shared folder."""
-    return f"{shared_folder(spark)}/cardlens-{uuid.uuid4().hex}/{name}"
+    """New path under the shared folder; :func:`clear_scratch` deletes it."""
+    root = f"{shared_folder(spark)}/cardlens-{uuid.uuid4().hex}"
+    _scratch.add(root)
+    return f"{root}/{name}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes the scratch folders made so far. Tables that read them are of no use afterwards."""
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _scratch:
+        root = _scratch.pop()
+        if urlparse(root).scheme in ("", "file"):
+            shutil.rmtree(urlparse(root).path, ignore_errors=True)
+        else:
+            path = jvm.org.apache.hadoop.fs.Path(root)
+            path.getFileSystem(hadoop).delete(path, True)
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the shared folder.
+    """``df`` computed once into the shared folder, as Parquet.
 
-    For a small result of a large scan that several branches read: a lost executor
-    costs a re-read of the checkpoint, not a second scan.
+    For a small result of a large scan that several branches read: a lost executor costs a
+    re-read of its files, and readers get statistics and only the columns they need.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = scratch_folder(spark, "settled")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

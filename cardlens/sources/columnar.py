@@ -12,6 +12,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is stored at ``path``, in whatever file system it names."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def restore_amount(df: DataFrame) -> DataFrame:
     """Adds ``amount`` to a table that stores only its logarithm."""
     if "amount" in df.columns or "amount_log1p" not in df.columns:

@@ -131,11 +131,14 @@ def test_gender_flag(spark):
     assert [r.gender_encoded for r in df.transform(ops.add_cardholder).collect()] == [1, 1, 0, 0]
 
 
-@pytest.mark.parametrize("max_rows", [0, 100])
-def test_merchant_rate_on_both_join_paths(spark, max_rows):
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_merchant_rate_shuffled_and_broadcast(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     rows = [(str(i), "hot" if i % 3 else "cold", i % 2) for i in range(60)] + [("n", None, 1)]
     df = spark.createDataFrame(rows, "transaction_id string, merchant string, is_fraud int")
-    out = ops.add_merchant_rate(df, max_rows=max_rows).collect()
+    out = ops.add_merchant_rate(df).collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(out) == 61
     for r in out:
         peers = [f for _, m, f in rows if m == r.merchant]
@@ -143,11 +146,10 @@ def test_merchant_rate_on_both_join_paths(spark, max_rows):
         assert r.merchant_fraud_rate == expected
 
 
-@pytest.mark.parametrize("max_rows", [0, 100])
-def test_category_index_on_both_paths(spark, max_rows):
+def test_category_index(spark):
     labels = ["x"] * 3 + ["b"] * 2 + ["a"] * 2 + ["z", "y", None]
     df = spark.createDataFrame([(str(i), c) for i, c in enumerate(labels)], "transaction_id string, category string")
-    out = {r.category: r.category_encoded for r in ops.add_category_index(df, max_rows=max_rows).collect()}
+    out = {r.category: r.category_encoded for r in ops.add_category_index(df).collect()}
     assert out == {"x": 0.0, "a": 1.0, "b": 2.0, "y": 3.0, "z": 4.0, None: 5.0}
 
 
@@ -181,3 +183,11 @@ def test_age_bands(spark):
     bounded = [r[0] for r in df.select(B.AGE_TIERS.of(F.col("v"))).collect()]
     assert open_ended == ["Under 25", "25-34", "55-64", "65+", "65+", "65+"]
     assert bounded == ["Under 25", "25-34", "55-64", "65+", None, None]
+
+
+def test_many_rows_without_a_second_are_joined_in_slices(spark, no_broadcast):
+    rows = [(str(i), "c" if i % 2 else None, None, 1.0) for i in range(400)] + [("x", "c", 100, 1.0)]
+    df = spark.createDataFrame(rows, "transaction_id string, card_id string, tx_unix bigint, amount double")
+    out = {r.transaction_id: (r.card_tx_count_1h, r.card_amount_sum_1h) for r in ops.add_velocity(df).collect()}
+    assert len(out) == 401 and out.pop("x") == (0, None)
+    assert set(out.values()) == {(200, 200.0)}

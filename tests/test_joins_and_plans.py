@@ -29,33 +29,47 @@ def test_all_lookup_joins_agree(facts):
     dim = facts.groupBy("category").agg(F.avg("amount").alias("mean")).where("category <> 'k3'")
     expected = rows(facts.join(dim, "category", "left").select(*facts.columns, "mean"))
     assert rows(joins.lookup_join(facts, dim, "category")) == expected
-    assert rows(joins.lookup_join(facts, dim, "category", max_rows=2)) == expected
     assert rows(joins.merge_lookup(facts, dim, "category")) == expected
     assert rows(joins.salted_lookup(facts, dim, "category", salts=3)) == expected
 
 
-def test_salted_join_repeats_only_frequent_keys(facts):
-    assert "hot" in joins.frequent_keys(facts, "category", 0.2)
-    assert len(joins.frequent_keys(facts, "transaction_id", 0.2)) <= 5
+def test_large_keys_are_cut_by_their_volume(facts):
+    gaps = facts.withColumn("category", F.when(F.col("amount") > 20, F.col("category")))
+    n = Counter(r.category for r in gaps.collect())
+    slices = {r.category: r.slices for r in joins.key_slices(gaps, "category", tasks=10).collect()}
+    share = 2000 / 10 / 2
+    assert slices == {k: -(-v // share) for k, v in n.items() if v > share}
+    assert None in slices and len(slices) < 20
+    assert joins.key_slices(facts, "transaction_id", tasks=10).count() == 0
+    assert joins.key_slices(facts.limit(0), "category").count() == 0
+
+
+@pytest.mark.parametrize("tasks", [1, 10, 500])
+def test_sliced_join_keeps_rows_without_a_key(facts, tasks):
     gaps = facts.withColumn("category", F.when(F.col("amount") > 20, F.col("category")))
     dim = facts.groupBy("category").agg(F.avg("amount").alias("mean"))
     expected = rows(gaps.join(dim, "category", "left").select(*gaps.columns, "mean"))
-    assert rows(joins.salted_lookup(gaps, dim, "category", support=0.2)) == expected
-    assert rows(joins.salted_lookup(gaps.limit(0), dim, "category")) == []
+    assert rows(joins.sliced_lookup(gaps, dim, "category", tasks=tasks)) == expected
+    assert rows(joins.sliced_lookup(gaps.limit(0), dim, "category")) == []
 
 
-def test_join_strategies(facts):
+def test_join_strategies(facts, no_broadcast):
     dim = facts.groupBy("category").agg(F.avg("amount").alias("mean"))
-    assert summarize_plan(joins.lookup_join(facts, dim, "category")).joins == ("BroadcastHashJoin",)
+    assert summarize_plan(joins.lookup_join(facts, dim, "category")).joins == ("SortMergeJoin",)
     for df in (joins.merge_lookup(facts, dim, "category"), joins.salted_lookup(facts, dim, "category")):
-        assert summarize_plan(df).joins == ("SortMergeJoin",)
+        assert "SortMergeJoin" in summarize_plan(df).joins
+
+
+def test_small_lookup_is_broadcast(facts):
+    dim = facts.groupBy("category").agg(F.avg("amount").alias("mean"))
+    assert summarize_plan(joins.lookup_join(facts, dim, "category")).joins == ("BroadcastHashJoin",)
 
 
-def test_table_beyond_the_bound_is_not_held(spark):
-    assert joins.held_table(spark.range(11), max_rows=10) is None
-    assert joins.held_table(spark.range(10), max_rows=10).count() == 10
-    wide = spark.range(20).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
-    assert joins.held_table(wide) is None
+def test_lookup_over_many_partitions_runs_without_a_single_task(spark, no_broadcast):
+    facts = spark.range(0, 3000, 1, 40).select(F.col("id").alias("k"), F.col("id").cast("string").alias("transaction_id"))
+    dim = spark.range(0, 3000, 1, 30).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    joined = joins.lookup_join(facts, dim, "k")
+    assert joined.where("v = 2 * k").count() == 3000
 
 
 def test_band_order_fills_empty_bands(spark):
@@ -134,14 +148,13 @@ def test_partitions_fit_the_input(spark, facts, monkeypatch):
     before = spark.conf.get(shuffle), spark.conf.get(scan)
     assert layout.fitting_settings(spark, path) == {shuffle: before[0]}
 
-    monkeypatch.setattr(layout, "SHUFFLE_PARTITION_BYTES", size / 50.5)
-    assert layout.fitted_to(spark, path, lambda: spark.conf.get(shuffle)) == "51"
-    monkeypatch.setattr(layout, "MOST_SHUFFLE_PARTITIONS", 30)
-    assert layout.fitted_to(spark, path, lambda: spark.conf.get(shuffle)) == "30"
+    assert layout.partitions_for(size, size / 50.5) == 51 and layout.partitions_for(0) == 1
 
-    petabyte = 1 << 50
-    monkeypatch.setattr(layout, "stored_bytes", lambda spark, path: petabyte // 8)
+    large = (1 << 50) // 8
+    monkeypatch.setattr(layout, "stored_bytes", lambda spark, path: large)
     assert layout.fitted_to(spark, path, lambda: spark.conf.get(scan)) == f"{1 << 30}b"
+    needed = str(large // layout.SHUFFLE_PARTITION_BYTES)
+    assert layout.fitted_to(spark, path, lambda: spark.conf.get(shuffle)) == needed
     assert (spark.conf.get(shuffle), spark.conf.get(scan)) == before
 
 

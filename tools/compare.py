@@ -2,8 +2,8 @@
 
     python tools/compare.py /root/testdata/sf0.01 [--large] [name-part ...]
 
-With ``--large`` no table counts as small: joins shuffle and lookups take the salted path, as
-they would on tables beyond every broadcast bound.
+With ``--large`` no table counts as small: joins shuffle, as they would on tables beyond every
+broadcast bound.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from cardlens.catalog import QUERIES  # noqa: E402
-from cardlens.operators import joins  # noqa: E402
 from cardlens.plans.report import summarize_plan  # noqa: E402
 
 SPARK_TO_DUCK = {
@@ -91,7 +90,6 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     if large:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        joins.BROADCAST_BYTES = 0
     db = duck(folder)
     bad = 0
     names = [n for n in QUERIES if not parts or any(p in n for p in parts)]
