@@ -55,6 +55,7 @@ def reports(
         "category_report": models.classification_report(
             category_confusion, models.category_names(features)
         ),
+        "category_scores": models.category_scores(category_confusion),
         "amount_scores": models.regression_scores(amount_predictions),
     }
 

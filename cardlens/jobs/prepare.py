@@ -13,16 +13,17 @@ from pyspark.sql import functions as F
 from cardlens.operators.prepare import prepare
 from cardlens.plans.layout import fitted_to
 from cardlens.session import create_session
-from cardlens.sources.columnar import WRITE_MODES, write_parquet
+from cardlens.sources.columnar import WRITE_MODES, exists, write_parquet
 from cardlens.sources.delimited import read_text_csv
 
 
 def write_counted(df: DataFrame, path: str, mode: str) -> int:
-    """Writes ``df`` and returns its number of rows, counted during the write."""
-    if mode == "ignore":
-        # An existing target skips the write, and then nothing would be observed.
-        write_parquet(df, path, mode)
-        return df.count()
+    """Writes ``df`` and returns the number of rows written, counted during the write.
+
+    An existing target makes mode ``ignore`` write nothing: 0.
+    """
+    if mode == "ignore" and exists(df.sparkSession, path):
+        return 0
     seen = Observation("written")
     write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode)
     return seen.get["rows"]

@@ -12,14 +12,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardlens.operators import exploration, portfolio
+from cardlens.operators import exploration, portfolio, quality
 from cardlens.operators import statistics as stats
 from cardlens.operators.ranking import cumulative_distribution, value_counts
 from cardlens.plans.layout import fitted_to
-from cardlens.session import create_session
+from cardlens.session import clear_scratch, create_session
 from cardlens.sources.columnar import read_parquet, restore_amount, write_parquet
 
+DESCRIBED = ("amount", "amount_log1p", "city_pop", "cardholder_age", "merch_distance_km")
+
+
+def _correlations(report: Callable[[DataFrame, list[str]], DataFrame], df: DataFrame) -> DataFrame:
+    rows = stats.correlation_input(df)
+    return report(rows, rows.columns)
+
+
+def _trends(df: DataFrame) -> DataFrame:
+    """Lines of the monthly spend and fraud rate."""
+    months = exploration.monthly_series(df)
+    lines = [
+        stats.trend(months, value).withColumn("series", F.lit(value))
+        for value in ("total_spend_log1p", "fraud_rate_pct")
+    ]
+    return lines[0].unionByName(lines[1])
+
+
 REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "describe": lambda df: exploration.describe(df, [c for c in DESCRIBED if c in df.columns]),
+    "null_report": quality.null_report,
+    "correlation_matrix": lambda df: _correlations(stats.correlation_matrix, df),
+    "label_correlations": lambda df: _correlations(stats.label_correlations, df),
+    "monthly_trends": _trends,
+    "distance_histogram": lambda df: stats.histogram(df, "merch_distance_km", 60),
+    "card_volume_histogram": lambda df: stats.histogram(
+        portfolio.by_card(df), "tx_count", 60, label=None
+    ),
+    "merchant_rate_histogram": lambda df: stats.histogram(
+        portfolio.by_merchant(df), "fraud_rate", 40, label=None
+    ),
+    "category_lookup": exploration.category_lookup,
+    "state_category_hour": exploration.by_state_category_hour,
+    "card_category_hour": exploration.by_card_category_hour,
+    "riskiest_merchant_rates": exploration.riskiest_merchant_rates,
     "class_balance": exploration.class_balance,
     "amount_by_label": exploration.amount_by_label,
     "hours": exploration.by_hour,
@@ -66,39 +100,70 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-# Columns that a source may lack, and the reports that need them.
-OPTIONAL = {
-    "merch_distance_km": ("distance", "distance_five_bands", "distance_tier_risk"),
-    "cardholder_age": ("age", "age_log_amount", "age_tier_risk"),
-    "gender": ("gender", "gender_by_category", "gender_risk"),
-    "state": (
-        "busiest_states",
-        "category_by_state",
-        "fraud_by_category_and_state",
-        "kpis",
-        "riskiest_states",
-        "most_exposed_states",
-    ),
-    "category": (
-        "categories",
-        "gender_by_category",
-        "category_by_state",
-        "fraud_by_category_and_state",
-        "kpis",
-        "category_risk",
-    ),
+_GROUPED = ("is_fraud",)
+_MONEY = ("is_fraud", "amount")
+
+# Columns without which a report has nothing to say.
+NEEDS: dict[str, tuple[str, ...]] = {
+    "describe": ("amount",),
+    "null_report": (),
+    "correlation_matrix": _MONEY,
+    "label_correlations": _MONEY,
+    "monthly_trends": (*_GROUPED, "transaction_ts", "amount_log1p"),
+    "distance_histogram": (*_GROUPED, "merch_distance_km"),
+    "card_volume_histogram": (*_MONEY, "card_id"),
+    "merchant_rate_histogram": (*_MONEY, "merchant"),
+    "category_lookup": (*_MONEY, "category"),
+    "state_category_hour": ("amount", "state", "category", "transaction_ts"),
+    "card_category_hour": ("amount", "card_id", "category", "transaction_ts"),
+    "riskiest_merchant_rates": (*_GROUPED, "merchant"),
+    "class_balance": _GROUPED,
+    "amount_by_label": _MONEY,
+    "hours": (*_GROUPED, "transaction_ts"),
+    "riskiest_hours": (*_GROUPED, "transaction_ts"),
+    "weekdays": (*_GROUPED, "transaction_ts"),
+    "months": (*_GROUPED, "transaction_ts"),
+    "categories": (*_MONEY, "category"),
+    "riskiest_merchants": (*_MONEY, "merchant"),
+    "busiest_states": (*_MONEY, "state"),
+    "distance": (*_GROUPED, "merch_distance_km"),
+    "distance_five_bands": (*_GROUPED, "merch_distance_km"),
+    "age": (*_MONEY, "cardholder_age"),
+    "age_log_amount": (*_GROUPED, "cardholder_age", "amount_log1p"),
+    "gender": (*_MONEY, "gender"),
+    "gender_by_category": ("gender", "category", "amount_log1p"),
+    "monthly_series": (*_GROUPED, "transaction_ts", "amount_log1p"),
+    "category_by_state": (*_MONEY, "category", "state"),
+    "fraud_by_category_and_state": (*_MONEY, "category", "state"),
+    "amount_histogram": _MONEY,
+    "amount_five_numbers": _MONEY,
+    "amount_cdf": _MONEY,
+    "iqr_outliers": _MONEY,
+    "zscore_outliers": _MONEY,
+    "kpis": (*_MONEY, "transaction_ts", "card_id", "merchant", "state", "category"),
+    "detection_value": _MONEY,
+    "category_risk": (*_MONEY, "category"),
+    "hour_risk": (*_MONEY, "transaction_ts"),
+    "weekday_risk": (*_MONEY, "transaction_ts"),
+    "monthly_risk": (*_MONEY, "transaction_ts"),
+    "riskiest_states": (*_MONEY, "state"),
+    "most_exposed_states": (*_MONEY, "state"),
+    "amount_tier_risk": _MONEY,
+    "age_tier_risk": (*_MONEY, "cardholder_age"),
+    "gender_risk": (*_MONEY, "gender"),
+    "distance_tier_risk": (*_MONEY, "merch_distance_km"),
+    "time_of_day_risk": (*_MONEY, "transaction_ts"),
+    "merchant_risk": (*_MONEY, "merchant"),
+    "merchant_rate_marks": (*_MONEY, "merchant"),
+    "cards": (*_MONEY, "card_id"),
+    "high_velocity_cards": (*_MONEY, "card_id"),
+    "heatmap": (*_GROUPED, "transaction_ts"),
 }
 
 
 def available(features: DataFrame) -> list[str]:
     """Names of the reports for which ``features`` has the columns."""
-    lacking = {
-        name
-        for column, names in OPTIONAL.items()
-        if column not in features.columns
-        for name in names
-    }
-    return [name for name in REPORTS if name not in lacking]
+    return [name for name in REPORTS if set(NEEDS[name]) <= set(features.columns)]
 
 
 def run(
@@ -116,6 +181,7 @@ def run(
             write_parquet(REPORTS[name](features), f"{target}/{name}")
 
     fitted_to(spark, source, write_all)
+    clear_scratch(spark)
     return chosen
 
 

@@ -1,5 +1,6 @@
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from cardlens.jobs import features as features_job
 from cardlens.jobs import models as models_job
@@ -35,13 +36,23 @@ def test_reports_on_features_equal_reports_on_transactions(spark, features, tmp_
     )
 
 
-def test_reports_without_optional_columns(spark, features, tmp_path):
+@pytest.mark.parametrize("column", sorted({c for needs in reports_job.NEEDS.values() for c in needs}))
+def test_reports_left_out_for_each_absent_column(spark, features, column):
+    lacking = reports_job.available(spark.read.parquet(features).drop(column))
+    whole = reports_job.available(spark.read.parquet(features).withColumn("amount", F.lit(1.0)))
+    assert whole == list(reports_job.REPORTS)
+    assert set(lacking) <= {n for n in reports_job.REPORTS if column not in reports_job.NEEDS[n]}
+
+
+def test_reports_without_many_columns(spark, features, tmp_path):
     source, target = str(tmp_path / "narrow"), str(tmp_path / "reports")
-    lacking = list(reports_job.OPTIONAL)
-    spark.read.parquet(features).drop(*lacking, "dob", "lat", "long").write.parquet(source)
+    lacking = ("merchant", "card_id", "transaction_ts", "gender", "state", "category", "cardholder_age")
+    spark.read.parquet(features).drop(*lacking).write.parquet(source)
     names = reports_job.run(spark, source, target)
-    assert {"class_balance", "hours", "merchant_risk", "heatmap"} <= set(names)
-    assert not {n for left_out in reports_job.OPTIONAL.values() for n in left_out} & set(names)
+    assert {"class_balance", "amount_by_label", "distance", "null_report"} <= set(names)
+    for name in names:
+        assert not set(reports_job.NEEDS[name]) & set(lacking)
+        assert spark.read.parquet(f"{target}/{name}").columns
 
 
 def test_empty_tables_give_empty_reports(spark, tmp_path):
