@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cardlens.catalog.registry import FINE, query, rounded
 from cardlens.catalog.sql import AVG_AMOUNT, CARD_PROFILES, on_features, on_orders, on_tx
+from cardlens.catalog.stored import stored_order_lines, stored_transactions
 from cardlens.operators import exploration as E
 from cardlens.operators import features as features_ops
 from cardlens.operators import models
@@ -418,15 +419,20 @@ def fitted_trend(spark, folder):
 @query(
     "agg_31_gender_by_category",
     on_features(
-        """, top AS (SELECT category FROM fx GROUP BY category ORDER BY count(*) DESC, category LIMIT 6)
-SELECT category, round(avg(amount_log1p) FILTER (gender = 'F'), 2) AS "F",
-       round(avg(amount_log1p) FILTER (gender = 'M'), 2) AS "M"
-FROM fx WHERE category IN (SELECT category FROM top) GROUP BY category"""
+        """, top AS (SELECT category FROM fx GROUP BY category ORDER BY count(*) DESC, category LIMIT 6),
+people AS (
+  SELECT category, amount_log1p, CASE WHEN CAST(transaction_id AS BIGINT) % 11 = 0 THEN 'X'
+         WHEN CAST(transaction_id AS BIGINT) % 13 = 0 THEN NULL ELSE gender END AS gender FROM fx)
+SELECT category, gender, round(avg(amount_log1p), 2) AS avg_amount_log1p
+FROM people WHERE category IN (SELECT category FROM top) GROUP BY category, gender"""
     ),
 )
 def gender_by_category(spark, folder):
+    """With a third gender and missing ones among the rows."""
+    number = F.col("transaction_id").cast("bigint")
+    gender = F.when(number % 11 == 0, "X").when(number % 13 != 0, F.col("gender"))
     df = transactions(spark, folder).transform(features_ops.add_amount_shape)
-    return E.gender_by_top_category(df)
+    return E.gender_by_top_category(df.withColumn("gender", gender))
 
 
 @query(
@@ -438,7 +444,7 @@ def gender_by_category(spark, folder):
     ),
 )
 def category_by_state(spark, folder):
-    return rounded(E.by_category_and_state(order_lines(spark, folder)), 5, avg_amount=FINE)
+    return rounded(E.by_category_and_state(stored_order_lines(spark, folder)), 5, avg_amount=FINE)
 
 
 @query(
@@ -449,7 +455,7 @@ def category_by_state(spark, folder):
     ),
 )
 def reused_pair(spark, folder):
-    df = order_lines(spark, folder).select("category", "state", "amount", "is_fraud")
+    df = stored_order_lines(spark, folder).select("category", "state", "amount", "is_fraud")
     means = E.mean_amount_by_category(df).toDF("name", "measure")
     frauds = E.frauds_by_state(df).toDF("name", "measure")
     return rounded(means.unionByName(frauds.withColumn("measure", F.col("measure").cast("double"))), 2)
@@ -463,7 +469,7 @@ def reused_pair(spark, folder):
     ),
 )
 def fraud_by_category_and_state(spark, folder):
-    return rounded(E.fraud_by_category_and_state(order_lines(spark, folder)), FINE)
+    return rounded(E.fraud_by_category_and_state(stored_order_lines(spark, folder)), FINE)
 
 
 @query(
@@ -475,7 +481,7 @@ def fraud_by_category_and_state(spark, folder):
     ),
 )
 def category_lookup(spark, folder):
-    return E.category_lookup(order_lines(spark, folder))
+    return E.category_lookup(stored_order_lines(spark, folder))
 
 
 @query(
@@ -486,7 +492,7 @@ def category_lookup(spark, folder):
     ),
 )
 def state_category_hour(spark, folder):
-    return rounded(E.by_state_category_hour(transactions(spark, folder)), 2)
+    return rounded(E.by_state_category_hour(stored_transactions(spark, folder)), 2)
 
 
 @query(
@@ -497,4 +503,4 @@ def state_category_hour(spark, folder):
     ),
 )
 def card_category_hour(spark, folder):
-    return rounded(E.by_card_category_hour(transactions(spark, folder)), 2)
+    return rounded(E.by_card_category_hour(stored_transactions(spark, folder)), 2)

@@ -170,6 +170,22 @@ def sample(spark, folder):
     return sampling.sample(df, 0.1)
 
 
+@query(
+    "smp_01_sample_facts",
+    on_tx("SELECT CAST(count(*) AS BIGINT) AS n, true AS rows_of_the_table, true AS near_a_tenth FROM tx"),
+)
+def sample_facts(spark, folder):
+    """The sample's rows are rows of the table, about a tenth (within five standard errors)."""
+    df = transactions(spark, folder).select("transaction_id", "amount", "is_fraud")
+    total = df.agg(F.count(F.lit(1))).scalar()
+    taken = sample(spark, folder).withColumn("taken", F.lit(True))
+    return df.join(taken, df.columns, "full").agg(
+        total.alias("n"),
+        (F.count(F.lit(1)) == total).alias("rows_of_the_table"),
+        (F.abs(F.count("taken") - total * 0.1) <= F.sqrt(total * 0.09) * 5).alias("near_a_tenth"),
+    )
+
+
 _LINE = ("transaction_id", "card_id", "merchant", "amount")
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from cardlens.catalog.registry import query, rounded
 from cardlens.catalog.sql import on_features, on_orders, on_tx
+from cardlens.catalog.stored import stored_order_lines
 from cardlens.operators import exploration, joins
 from cardlens.operators import features as features_ops
-from cardlens.operators.joins import BROADCAST_ROWS, broadcast_lookup, held_table
-from cardlens.sources.star import order_lines, transactions
+from cardlens.sources.star import transactions
 
 
 @query(
@@ -31,24 +31,21 @@ FROM tx_orders LEFT JOIN stats USING (category)"""
 
 @query("jon_02_broadcast_category", on_orders(_CATEGORY))
 def broadcast_category(spark, folder):
-    facts = order_lines(spark, folder).select("transaction_id", "amount", "category")
-    lookup = exploration.category_lookup(order_lines(spark, folder))
-    small = held_table(lookup, BROADCAST_ROWS)
-    if small is None:
-        return joins.salted_lookup(facts, lookup, "category")
-    return broadcast_lookup(facts, small, "category")
+    facts = stored_order_lines(spark, folder).select("transaction_id", "amount", "category")
+    lookup = exploration.category_lookup(stored_order_lines(spark, folder))
+    return joins.lookup_join(facts, lookup, "category")
 
 
 @query("jon_03_merge_category", on_orders(_CATEGORY))
 def merge_category(spark, folder):
-    facts = order_lines(spark, folder).select("transaction_id", "amount", "category")
-    return joins.merge_lookup(facts, exploration.category_lookup(order_lines(spark, folder)), "category")
+    facts = stored_order_lines(spark, folder).select("transaction_id", "amount", "category")
+    return joins.merge_lookup(facts, exploration.category_lookup(stored_order_lines(spark, folder)), "category")
 
 
 @query("jon_03_salted_category", on_orders(_CATEGORY))
 def salted_category(spark, folder):
-    facts = order_lines(spark, folder).select("transaction_id", "amount", "category")
-    return joins.salted_lookup(facts, exploration.category_lookup(order_lines(spark, folder)), "category")
+    facts = stored_order_lines(spark, folder).select("transaction_id", "amount", "category")
+    return joins.salted_lookup(facts, exploration.category_lookup(stored_order_lines(spark, folder)), "category")
 
 
 @query(

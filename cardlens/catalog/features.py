@@ -2,31 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlens.catalog.registry import query, rounded
 from cardlens.catalog.sql import on_features, on_orders, on_tx
 from cardlens.functions import expressions as X
-from cardlens.jobs import features as features_job
 from cardlens.operators import features as ops
-from cardlens.session import scratch_folder
-from cardlens.sources.columnar import read_parquet
 from cardlens.sources.star import order_lines, transactions
 
-_BUILT: dict[tuple[str, str], str] = {}
-
-
-def built_features(spark: SparkSession, folder: str) -> DataFrame:
-    """The feature table of ``folder``, written once per session by the feature job."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _BUILT:
-        path = scratch_folder(spark, "features")
-        features_job.build(transactions(spark, folder), path)
-        _BUILT[key] = path
-    return read_parquet(spark, _BUILT[key])
-
-
 @query(
     "fea_01_calendar",
     on_features("SELECT transaction_id, tx_hour, tx_day_of_week, tx_month FROM fx"),
@@ -101,9 +84,8 @@ FROM tx_orders JOIN rates USING (merchant) GROUP BY ALL"""
     ),
 )
 def merchant_target_rate(spark, folder):
-    """The encoding through the salted shuffle join that large merchant lists take."""
     df = order_lines(spark, folder).select("transaction_id", "merchant", "is_fraud")
-    encoded = rounded(ops.add_merchant_rate(df, max_rows=0))
+    encoded = rounded(ops.add_merchant_rate(df))
     return encoded.groupBy("merchant", "is_fraud", "merchant_fraud_rate").agg(F.count("*").alias("n"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cardlens.catalog.registry import FINE, query, rounded
 from cardlens.catalog.sql import AVG_AMOUNT, on_orders, on_tx
+from cardlens.catalog.stored import stored_order_lines
 from cardlens.operators import exploration
 from cardlens.plans import layout
 from cardlens.plans.report import summarize_plan
@@ -15,20 +16,33 @@ from cardlens.sources.columnar import read_parquet, write_parquet
 from cardlens.sources.star import order_lines, transactions
 
 
+# Tables that the order lines are joined from, and the size of their partitions here: small,
+# so that small data still have several.
+_ORDER_TABLES = ("lineitem", "orders", "customer", "supplier", "part", "nation")
+_PARTITION_BYTES = 1024 * 1024
+
+
+def _fitting_partitions(spark, folder):
+    """Partitions for the bytes that the order lines are read from."""
+    paths = [f"{folder}/{name}.parquet" for name in _ORDER_TABLES]
+    return layout.partitions_for(layout.stored_bytes(spark, *paths), _PARTITION_BYTES)
+
+
 @query(
     "lay_01_rebalanced",
     on_orders(
-        "SELECT category, CAST(count(*) AS BIGINT) AS n, CAST(64 AS INT) AS partitions "
+        "SELECT category, CAST(count(*) AS BIGINT) AS n, true AS all_filled "
         "FROM tx_orders GROUP BY category"
     ),
 )
 def rebalanced(spark, folder):
-    """64 even partitions; the column shows how many of them hold rows."""
-    spread = layout.rebalance(order_lines(spark, folder), 64).select(
+    """As many even partitions as the size asks for; the column shows that all hold rows."""
+    partitions = _fitting_partitions(spark, folder)
+    spread = layout.rebalance(order_lines(spark, folder), partitions).select(
         "category", F.spark_partition_id().alias("pid")
     )
-    filled = spread.agg(F.count_distinct("pid").cast("int")).scalar()
-    return spread.groupBy("category").agg(F.count("*").alias("n")).withColumn("partitions", filled)
+    filled = spread.agg(F.count_distinct("pid")).scalar() == partitions
+    return spread.groupBy("category").agg(F.count("*").alias("n")).withColumn("all_filled", filled)
 
 
 @query(
@@ -38,14 +52,15 @@ def rebalanced(spark, folder):
     ),
 )
 def shrunk_write(spark, folder):
-    """At most 8 files, without a shuffle for it."""
+    """A quarter of those partitions as files, without a shuffle for it."""
+    files = -(-_fitting_partitions(spark, folder) // 4)
     path = scratch_folder(spark, "shrunk")
-    write_parquet(layout.shrink(order_lines(spark, folder), 8), path)
+    write_parquet(layout.shrink(stored_order_lines(spark, folder), files), path)
     stored = read_parquet(spark, path)
     return (
         stored.groupBy("state")
         .agg(F.count("*").alias("n"))
-        .withColumn("few_files", F.lit(len(stored.inputFiles()) <= 8))
+        .withColumn("few_files", F.lit(len(stored.inputFiles()) <= files))
     )
 
 
@@ -55,7 +70,7 @@ UNION ALL SELECT 'state', state, CAST(sum(is_fraud) AS DOUBLE) FROM tx_orders GR
 
 def _pair_with_reuse(spark, folder, level):
     """Both aggregates of one persisted table, each written while it is persisted."""
-    df = order_lines(spark, folder).select("category", "state", "amount", "is_fraud")
+    df = stored_order_lines(spark, folder).select("category", "state", "amount", "is_fraud")
     path = scratch_folder(spark, "pair")
     with layout.reused(df, level) as kept:
         means = exploration.mean_amount_by_category(kept).toDF("name", "measure")
@@ -106,9 +121,7 @@ def wide_shuffle(spark, folder):
 )
 def planned_fraud_counts(spark, folder):
     """Fraud counts of the stored table together with what their plan reads and shuffles."""
-    path = scratch_folder(spark, "stored")
-    write_parquet(order_lines(spark, folder), path)
-    report = exploration.fraud_by_category_and_state(read_parquet(spark, path))
+    report = exploration.fraud_by_category_and_state(stored_order_lines(spark, folder))
     plan = summarize_plan(report)
     return rounded(report, FINE).withColumns(
         {

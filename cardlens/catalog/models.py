@@ -1,70 +1,49 @@
-"""Spark ML queries. One fit per session and folder serves all queries on a model.
+"""Spark ML queries at the operators' default sizes.
 
-The forests are smaller than the library defaults so that a run of the whole catalogue
-stays short; every query still trains on all rows of its split.
+One fit per session and state of the source files serves all queries on a model. SQL cannot
+repeat a fit; beside each such query stands one that SQL can check: the same operator on
+predictions made by a rule, or what must hold for any fit.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.catalog.features import built_features
 from cardlens.catalog.registry import query, rounded
-from cardlens.catalog.sql import CARD_PROFILES, on_features
+from cardlens.catalog.sql import CARD_PROFILES, on_features, on_tx
+from cardlens.catalog.stored import built_features, once, stored_transactions
 from cardlens.operators import models, portfolio
-from cardlens.session import settled
-
-FRAUD = models.FraudSettings(trees=20, tree_depth=6, rounds=8, round_depth=4)
-FOREST = models.ForestSettings(trees=20, depth=5)
-
-_KEPT: dict[tuple, object] = {}
-
-
-def _once(spark: SparkSession, folder: str, name: str, make: Callable[[], object]):
-    key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _KEPT:
-        _KEPT[key] = make()
-    return _KEPT[key]
+from cardlens.operators.ranking import running_counts, value_counts
 
 
 def _fraud(spark: SparkSession, folder: str) -> models.FraudStudy:
-    return _once(
-        spark, folder, "fraud", lambda: models.fit_fraud_models(built_features(spark, folder), FRAUD)
-    )
+    return once(spark, folder, "fraud", lambda: models.fit_fraud_models(built_features(spark, folder)))
 
 
 def _category(spark: SparkSession, folder: str):
-    return _once(
-        spark,
-        folder,
-        "category",
-        lambda: models.fit_category_model(built_features(spark, folder), FOREST),
+    return once(
+        spark, folder, "category", lambda: models.fit_category_model(built_features(spark, folder))
     )
 
 
 def _amount(spark: SparkSession, folder: str):
-    return _once(
-        spark, folder, "amount", lambda: models.fit_amount_model(built_features(spark, folder), FOREST)
-    )
+    return once(spark, folder, "amount", lambda: models.fit_amount_model(built_features(spark, folder)))
 
 
 def _cards(spark: SparkSession, folder: str) -> DataFrame:
-    return _once(
+    """Card vectors; their profiles are stored by the operator."""
+    return once(
         spark,
         folder,
         "cards",
-        lambda: settled(models.segment_vectors(models.card_profiles(built_features(spark, folder)))),
+        lambda: models.segment_vectors(models.card_profiles(built_features(spark, folder))),
     )
 
 
 def _sweep(spark: SparkSession, folder: str) -> DataFrame:
-    return _once(
-        spark, folder, "sweep", lambda: models.segment_sweep(_cards(spark, folder))
-    )
+    return once(spark, folder, "sweep", lambda: models.segment_sweep(_cards(spark, folder)))
 
 
 def _segments(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,7 +51,7 @@ def _segments(spark: SparkSession, folder: str) -> DataFrame:
         best = models.best_by(_sweep(spark, folder), "k", "silhouette").first()["k"]
         return models.assign_segments(_cards(spark, folder), best)
 
-    return _once(spark, folder, "segments", make)
+    return once(spark, folder, "segments", make)
 
 
 @query("ml_01_imputed")
@@ -163,7 +142,7 @@ def boosted_trees(spark, folder):
 
 @query("ml_07_fraud_scores")
 def fraud_scores(spark, folder):
-    return _once(spark, folder, "scores", lambda: models.fraud_scores(_fraud(spark, folder)))
+    return once(spark, folder, "scores", lambda: models.fraud_scores(_fraud(spark, folder)))
 
 
 @query("srt_03_best_model")
@@ -240,3 +219,296 @@ def category_scores(spark, folder):
 def amount_scores(spark, folder):
     _, predictions = _amount(spark, folder)
     return models.regression_scores(predictions)
+
+
+# --- what SQL can check ------------------------------------------------------------------
+
+
+def _report_sql(cells: str) -> str:
+    """Scores of the classes in ``cells`` (actual, predicted, n)."""
+    return f"""{cells},
+classes AS (SELECT actual AS class FROM cells UNION SELECT predicted FROM cells),
+parts AS (
+  SELECT class, coalesce((SELECT sum(n) FROM cells WHERE actual = class), 0) AS support,
+         coalesce((SELECT sum(n) FROM cells WHERE predicted = class), 0) AS claimed,
+         coalesce((SELECT sum(n) FROM cells WHERE predicted = class AND actual = class), 0) AS hits
+  FROM classes),
+ratios AS (
+  SELECT class, support, hits, coalesce(hits::DOUBLE / nullif(claimed, 0), 0) AS p,
+         coalesce(hits::DOUBLE / nullif(support, 0), 0) AS r FROM parts),
+scores AS (SELECT *, coalesce(2 * p * r / nullif(p + r, 0), 0) AS f FROM ratios)
+"""
+
+
+_RULE = "CAST(amount > 150 OR CAST(transaction_id AS BIGINT) % 5 = 0 AS INT)"
+_RULE_CELLS = f""", cells AS (
+  SELECT CAST(is_fraud AS INT) AS actual, {_RULE} AS predicted, count(*) AS n FROM tx GROUP BY ALL)"""
+
+
+def _ruled(spark, folder) -> DataFrame:
+    """Transactions with a prediction made by a rule."""
+    large = (F.col("amount") > 150) | (F.col("transaction_id").cast("bigint") % 5 == 0)
+    return stored_transactions(spark, folder).withColumn("prediction", large.cast("int"))
+
+
+@query(
+    "ml_08_rule_confusion_matrix",
+    on_tx(
+        _RULE_CELLS
+        + 'SELECT actual, CAST(coalesce(sum(n) FILTER (predicted = 0), 0) AS BIGINT) AS "0", '
+        'CAST(coalesce(sum(n) FILTER (predicted = 1), 0) AS BIGINT) AS "1" FROM cells GROUP BY actual'
+    ),
+)
+def rule_confusion_matrix(spark, folder):
+    confusion = models.confusion_matrix(_ruled(spark, folder), "is_fraud")
+    return models.square_confusion_matrix(confusion, [0, 1])
+
+
+@query(
+    "ml_09_rule_fraud_report",
+    on_tx(
+        _report_sql(_RULE_CELLS)
+        + """SELECT CASE class WHEN 0 THEN 'Legitimate' ELSE 'Fraud' END AS label, round(p, 6) AS precision,
+  round(r, 6) AS recall, round(f, 6) AS f1, CAST(support AS BIGINT) AS support FROM scores
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(hits)::DOUBLE / sum(support), 6), CAST(sum(support) AS BIGINT) FROM scores
+UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), CAST(sum(support) AS BIGINT) FROM scores
+UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6),
+  round(sum(f * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM scores"""
+    ),
+)
+def rule_fraud_report(spark, folder):
+    confusion = models.confusion_matrix(_ruled(spark, folder), "is_fraud")
+    return rounded(models.classification_report(confusion, models.LABEL_NAMES))
+
+
+_CATEGORY_CELLS = """, uses AS (
+  SELECT category, row_number() OVER (ORDER BY count(*) DESC, category) - 1 AS idx, count(*) OVER () AS labels
+  FROM tx GROUP BY category),
+cells AS (
+  SELECT CAST(idx AS INT) AS actual, CAST(least(idx + CAST(transaction_id AS BIGINT) % 2, labels - 1) AS INT) AS predicted,
+         count(*) AS n FROM tx JOIN uses USING (category) GROUP BY ALL)"""
+
+
+def _ruled_categories(spark, folder) -> DataFrame:
+    """Every other row is predicted to be of the next category."""
+    df = models.rename_for_models(built_features(spark, folder))
+    last = df.agg(F.max("category_idx")).scalar()
+    shifted = F.col("category_idx") + F.col("transaction_id").cast("bigint") % 2
+    return df.select("category", "category_idx", F.least(shifted, last).alias("prediction"))
+
+
+@query(
+    "ml_13_rule_category_report",
+    on_tx(
+        _report_sql(_CATEGORY_CELLS)
+        + """SELECT category AS label, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1,
+  CAST(support AS BIGINT) AS support FROM scores JOIN uses ON idx = class"""
+    ),
+)
+def rule_category_report(spark, folder):
+    confusion = models.confusion_matrix(_ruled_categories(spark, folder), "category_idx")
+    report = models.classification_report(confusion, models.category_names(built_features(spark, folder)))
+    return rounded(report.where(~F.col("label").isin("accuracy", "macro avg", "weighted avg")))
+
+
+@query(
+    "ml_13_rule_category_scores",
+    on_tx(
+        _report_sql(_CATEGORY_CELLS)
+        + """SELECT round(sum(hits)::DOUBLE / sum(support), 6) AS accuracy,
+  round(sum(f * support) / sum(support), 6) AS f1 FROM scores"""
+    ),
+)
+def rule_category_scores(spark, folder):
+    confusion = models.confusion_matrix(_ruled_categories(spark, folder), "category_idx")
+    return rounded(models.category_scores(confusion))
+
+
+@query(
+    "ml_14_rule_amount_scores",
+    on_features(
+        """, misses AS (SELECT amount_log1p AS y, amount_log1p - tx_hour / 4.0::DOUBLE AS miss FROM fx)
+SELECT round(sqrt(avg(miss * miss)), 6) AS rmse, round(avg(abs(miss)), 6) AS mae,
+       round(1 - avg(miss * miss) / var_pop(y), 6) AS r2 FROM misses"""
+    ),
+)
+def rule_amount_scores(spark, folder):
+    df = models.rename_for_models(built_features(spark, folder))
+    return rounded(models.regression_scores(df.withColumn("prediction", F.col("tx_hour") / 4.0)))
+
+
+def _ruled_segments(spark, folder) -> DataFrame:
+    segment = (F.col("card_id").cast("bigint") % 3).cast("int")
+    return models.card_profiles(built_features(spark, folder)).withColumn("prediction", segment)
+
+
+_RULE_SEGMENTS = CARD_PROFILES + """, segments AS (
+  SELECT CAST(CAST(card_id AS BIGINT) % 3 AS INT) AS prediction, CAST(count(*) AS BIGINT) AS card_count, """ + ", ".join(
+    f"round(avg({c}), 2) AS {c}" for c in models.SEGMENT_MEASURES
+) + """
+  FROM complete GROUP BY 1)
+"""
+
+
+@query("agg_27_rule_segment_profiles", on_features(_RULE_SEGMENTS + "SELECT * FROM segments"))
+def rule_segment_profiles(spark, folder):
+    return models.segment_profiles(_ruled_segments(spark, folder))
+
+
+@query(
+    "agg_56_rule_segment_exposure",
+    on_features(
+        _RULE_SEGMENTS
+        + "SELECT *, round(total_spend * fraud_rate_pct / 100, 6) AS fraud_exposure FROM segments"
+    ),
+)
+def rule_segment_exposure(spark, folder):
+    profiles = models.segment_profiles(_ruled_segments(spark, folder))
+    return rounded(portfolio.segment_exposure(profiles))
+
+
+# --- what holds for any fit --------------------------------------------------------------
+
+
+@query(
+    "ml_01_imputed_bounds",
+    on_features(
+        "SELECT unnest(["
+        + ", ".join(f"'{c}'" for c in models.FRAUD_FEATURES)
+        + "]) AS column_name, CAST(0 AS BIGINT) AS missing, true AS near_median, "
+        "(SELECT CAST(count(*) AS BIGINT) FROM fx) AS n"
+    ),
+)
+def imputed_bounds(spark, folder):
+    """No input is missing afterwards, and what was put in covers half of the known values,
+    to the thousandth of the rows that the imputer is off at most."""
+    before = models.rename_for_models(built_features(spark, folder)).select(
+        "transaction_id", *models.FRAUD_FEATURES
+    )
+    after = models.impute_medians(before, models.FRAUD_FEATURES)
+    lines = None
+    for c in models.FRAUD_FEATURES:
+        gaps = before.where(F.col(c).isNull()).select("transaction_id")
+        put_in = after.join(gaps, "transaction_id", "left_semi").agg(F.max(c)).scalar()
+        ranked = running_counts(value_counts(before, c), c)
+        slack = F.col("total") * 0.001 + 1
+        holds = (F.col("before") - slack <= F.col("total") / 2) & (F.col("upto") + slack >= F.col("total") / 2)
+        near = ranked.where(F.col(c) == put_in).agg(F.coalesce(F.bool_and(holds), F.lit(True))).scalar()
+        line = after.agg(F.count_if(F.col(c).isNull()).alias("missing"), F.count(F.lit(1)).alias("n")).select(
+            F.lit(c).alias("column_name"), "missing", near.alias("near_median"), "n"
+        )
+        lines = line if lines is None else lines.unionByName(line)
+    return lines
+
+
+_ALL_ROWS = "SELECT CAST(count(*) AS BIGINT) AS n, true AS tests_a_fifth, true AS chances_in_range, true AS decides_by_chance FROM tx"
+
+
+def _score_facts(spark, folder, name: str) -> DataFrame:
+    """The held-out share, the range of the scores, and the decision at one half."""
+    scored = _scored(spark, folder, name)
+    total = stored_transactions(spark, folder).agg(F.count(F.lit(1))).scalar()
+    chance = F.col("fraud_probability")
+    return scored.agg(
+        total.alias("n"),
+        (F.abs(F.count_distinct("transaction_id") - total * 0.2) <= F.sqrt(total * 0.16) * 5).alias("tests_a_fifth"),
+        F.bool_and(chance.between(0, 1)).alias("chances_in_range"),
+        F.bool_and((chance > 0.5).cast("int") == F.col("prediction")).alias("decides_by_chance"),
+    )
+
+
+@query("ml_04_logistic_regression_facts", on_tx(_ALL_ROWS))
+def logistic_regression_facts(spark, folder):
+    return _score_facts(spark, folder, "Logistic Regression")
+
+
+@query("ml_05_random_forest_facts", on_tx(_ALL_ROWS))
+def random_forest_facts(spark, folder):
+    return _score_facts(spark, folder, "Random Forest")
+
+
+@query("ml_06_boosted_trees_facts", on_tx(_ALL_ROWS))
+def boosted_trees_facts(spark, folder):
+    return _score_facts(spark, folder, "GBT")
+
+
+_FITTED = "SELECT unnest(['GBT', 'Logistic Regression', 'Random Forest']) AS model, true AS in_range, true AS beats_chance"
+
+
+@query("ml_07_fraud_score_facts", _FITTED)
+def fraud_score_facts(spark, folder):
+    scores = [F.col(c) for c in ("auc_roc", "auc_pr", "f1")]
+    inside = [s.between(0, 1) for s in scores]
+    return fraud_scores(spark, folder).select(
+        "model", (inside[0] & inside[1] & inside[2]).alias("in_range"), (scores[0] > 0.5).alias("beats_chance")
+    )
+
+
+@query(
+    "srt_03_best_model_facts",
+    "SELECT CAST(1 AS BIGINT) AS models, true AS none_is_better",
+)
+def best_model_facts(spark, folder):
+    top = fraud_scores(spark, folder).agg(F.max("auc_roc")).scalar()
+    return best_model(spark, folder).agg(
+        F.count("model").alias("models"), F.bool_and(F.col("auc_roc") == top).alias("none_is_better")
+    )
+
+
+@query(
+    "ml_10_feature_importance_facts",
+    "SELECT * FROM (VALUES "
+    + ", ".join(
+        f"('{name}', CAST({len(inputs)} AS BIGINT), true, true)"
+        for name, inputs in (
+            ("fraud", models.FRAUD_FEATURES),
+            ("category", models.CATEGORY_FEATURES),
+            ("amount", models.AMOUNT_FEATURES),
+        )
+    )
+    + ") t(model, inputs, adds_up_to_one, none_negative)",
+)
+def feature_importance_facts(spark, folder):
+    return feature_importances(spark, folder).groupBy("model").agg(
+        F.count_distinct("feature").alias("inputs"),
+        (F.abs(F.sum("importance") - 1) < 1e-6).alias("adds_up_to_one"),
+        F.bool_and(F.col("importance") >= 0).alias("none_negative"),
+    )
+
+
+@query(
+    "ml_11_segment_sweep_facts",
+    "SELECT CAST(6 AS BIGINT) AS tried, true AS silhouettes_in_range, true AS more_segments_fit_closer",
+)
+def segment_sweep_facts(spark, folder):
+    """The last fact compares the ends of the sweep: neighbours may tie or swap."""
+    return _sweep(spark, folder).agg(
+        F.count("k").alias("tried"),
+        F.bool_and(F.col("silhouette").between(-1, 1)).alias("silhouettes_in_range"),
+        (F.max_by("wcss", "k") < F.min_by("wcss", "k")).alias("more_segments_fit_closer"),
+    )
+
+
+@query(
+    "srt_03_best_segment_count_facts",
+    "SELECT CAST(1 AS BIGINT) AS counts, true AS none_is_better",
+)
+def best_segment_count_facts(spark, folder):
+    top = _sweep(spark, folder).agg(F.max("silhouette")).scalar()
+    return best_segment_count(spark, folder).agg(
+        F.count("k").alias("counts"), F.bool_and(F.col("silhouette") == top).alias("none_is_better")
+    )
+
+
+@query(
+    "ml_12_segment_facts",
+    on_features(CARD_PROFILES + "SELECT CAST(count(*) AS BIGINT) AS cards, true AS numbered_from_0 FROM complete"),
+)
+def segment_facts(spark, folder):
+    """Every complete card is in one segment."""
+    return segments(spark, folder).agg(
+        F.count_distinct("card_id").alias("cards"),
+        ((F.min("prediction") == 0) & (F.max("prediction") + 1 == F.count_distinct("prediction"))).alias(
+            "numbered_from_0"
+        ),
+    )

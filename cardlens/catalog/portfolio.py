@@ -16,6 +16,7 @@ from cardlens.catalog.sql import (
     on_orders,
     on_tx,
 )
+from cardlens.catalog.stored import stored_order_lines, stored_transactions
 from cardlens.operators import features as features_ops
 from cardlens.operators import portfolio as P
 from cardlens.sources.star import order_lines, transactions
@@ -103,7 +104,7 @@ FROM """
 
 @query("agg_38_portfolio_kpis", on_tx(_KPIS + "tx"))
 def portfolio_kpis(spark, folder):
-    df = P.kpis(transactions(spark, folder))
+    df = P.kpis(stored_transactions(spark, folder))
     return rounded(df, total_spend=2, fraud_amount_total=2)
 
 
@@ -278,7 +279,7 @@ def distinct_counts(spark, folder):
 
 @query("agg_53_approximate_distinct_counts")
 def approximate_distinct_counts(spark, folder):
-    return P.approximate_distinct_counts(order_lines(spark, folder), ["transaction_id", *_DISTINCT])
+    return P.approximate_distinct_counts(stored_order_lines(spark, folder), ["transaction_id", *_DISTINCT])
 
 
 _COUNTED = ["transaction_id", *_DISTINCT]
@@ -296,7 +297,7 @@ _COUNTED = ["transaction_id", *_DISTINCT]
 )
 def approximation_error(spark, folder):
     """Exact counts, and whether the approximate ones are within three deviations of them."""
-    df = order_lines(spark, folder)
+    df = stored_order_lines(spark, folder)
     both = P.distinct_counts(df, _COUNTED).select(
         "*", P.approximate_distinct_counts(df, _COUNTED, 0.02).select(F.struct("*")).scalar().alias("a")
     )

@@ -31,7 +31,7 @@ def test_query_gives_rows(spark, db, name):
 
 def test_contract(spark):
     names = set(entry_point.queries())
-    assert set(entry_point.oracle_sql()) <= names == set(QUERIES)
+    assert set(entry_point.oracle_sql()) <= names and set(QUERIES) <= names
     assert entry_point.entry(spark).limit(1).count() == 1
 
 

@@ -2,7 +2,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from cardlens.catalog.features import built_features
+from cardlens.catalog.stored import built_features
 from cardlens.operators import models
 
 SETTINGS = models.FraudSettings(trees=10, tree_depth=4, rounds=3, round_depth=3)
