@@ -181,44 +181,64 @@ def _levels(counts: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
     return made
 
 
+#: An odd number whose multiples spread over 64 bits.
+_MIX = 0x9E3779B97F4A7C15
+
+
 def slots(keys: np.ndarray, order: int) -> np.ndarray:
     """The table slot of each string of ``order`` bytes."""
     if order <= 2:
         return keys.astype(np.int64)
-    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = keys.astype(np.uint64) * np.uint64(_MIX)
     return (mixed >> np.uint64(64 - SLOT_BITS[order])).astype(np.int64)
 
 
-def _table(rows: DataFrame, order: int, size: int) -> np.ndarray:
-    """log(toxic / other) by slot, NaN where nothing is; of strings that share a slot, the one
-    seen most often counts. No more rows than slots reach the driver."""
+@dataclass(frozen=True)
+class Table:
+    """log(toxic / other) of strings of one order. Of strings that share a slot, the one seen
+    most often is held; the others count as not seen."""
+
+    order: int
+    values: np.ndarray
+    keys: np.ndarray
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """NaN for a string that is not held."""
+        at = slots(keys, self.order)
+        return np.where(self.keys[at] == keys, self.values[at], np.float32(np.nan))
+
+
+def _table(rows: DataFrame, order: int) -> Table:
+    """Folds ``key, toxic, other, weight``; no more rows than slots reach the driver."""
     bits = SLOT_BITS[order]
     if order <= 2:
         slot = F.col("key").cast("int")
-    else:  # the same product as in slots(), in wrapping 64-bit arithmetic
-        slot = F.expr(
-            f"cast(shiftrightunsigned(cast((cast(key as decimal(38,0)) * 11400714819323198485BD) "
-            f"% 18446744073709551616BD - if((cast(key as decimal(38,0)) * 11400714819323198485BD) "
-            f"% 18446744073709551616BD >= 9223372036854775808BD, 18446744073709551616BD, 0BD) "
-            f"as bigint), {64 - bits}) as int)"
-        )
+    else:  # the same product as in slots(): its lowest 64 bits, taken as a signed number
+        product = f"(cast(key AS decimal(38,0)) * {_MIX}BD) % {1 << 64}BD"
+        signed = f"cast({product} - if({product} >= {1 << 63}BD, {1 << 64}BD, 0BD) AS bigint)"
+        slot = F.expr(f"cast(shiftrightunsigned({signed}, {64 - bits}) AS int)")
+    value = F.log(F.col("toxic") / F.col("other")).alias("value")
     folded = (
-        rows.select(slot.alias("slot"), F.log(F.col("toxic") / F.col("other")).alias("value"), "weight", "key")
+        rows.select(slot.alias("slot"), value, "weight", "key")
         .groupBy("slot")
-        .agg(F.max_by("value", F.struct("weight", "key")).alias("value"))
+        .agg(F.max(F.struct("weight", "key", "value")).alias("most"))
+        .select("slot", "most.key", "most.value")
         .toArrow()
     )
-    table = np.full(size, np.nan, np.float32)
-    table[folded["slot"].to_numpy()] = folded["value"].to_numpy()
-    return table
+    values = np.full(1 << bits, np.nan, np.float32)
+    keys = np.zeros(1 << bits, np.uint32)
+    at = folded["slot"].to_numpy()
+    values[at] = folded["value"].to_numpy()
+    keys[at] = folded["key"].to_numpy()
+    return Table(order, values, keys)
 
 
 @dataclass(frozen=True)
 class Model:
     """Differences of log-probabilities by order, and of what is left to the order below."""
 
-    seen: dict[int, np.ndarray]
-    rest: dict[int, np.ndarray]
+    seen: dict[int, Table]
+    rest: dict[int, Table]
 
     def differences(self, texts: list[bytes]) -> list[float]:
         """log P(toxic) - log P(other) per byte of each text, 0 for a text without words."""
@@ -232,22 +252,18 @@ class Model:
         return made
 
     def _values(self, keys: np.ndarray) -> np.ndarray:
-        values = self.seen[ORDER][slots(keys, ORDER)]
-        open_at = np.flatnonzero(np.isnan(values))
-        values[open_at] = 0
-        for order in range(ORDER - 1, -1, -1):
-            if not len(open_at):
-                break
-            # the longer string is new to both classes: what its head leaves, times the shorter one
-            head = (keys[open_at] >> np.uint32(8)) & np.uint32((1 << (8 * order)) - 1)
-            rest = self.rest[order][slots(head, order)] if order else self.rest[0][np.zeros(len(head), int)]
-            values[open_at] += np.nan_to_num(rest)
-            if order:
-                tail = keys[open_at] & np.uint32((1 << (8 * order)) - 1)
-                found = self.seen[order][slots(tail, order)]
-                known = ~np.isnan(found)
-                values[open_at[known]] += found[known]
-                open_at = open_at[~known]
+        values = self.seen[ORDER].get(keys)
+        unseen = np.flatnonzero(np.isnan(values))
+        values[unseen] = 0
+        for order in range(ORDER - 1, 0, -1):
+            # new to both classes: what is left behind the bytes before, times the shorter string
+            own = keys[unseen]
+            part = np.uint32((1 << (8 * order)) - 1)
+            values[unseen] += np.nan_to_num(self.rest[order].get((own >> np.uint32(8)) & part))
+            shorter = self.seen[order].get(own & part)
+            known = ~np.isnan(shorter)
+            values[unseen[known]] += shorter[known]
+            unseen = unseen[~known]
         return values
 
 
@@ -262,14 +278,15 @@ def train(
 
     Labels other than 0 and 1, null ones and rows without a text's id are left out.
     """
-    labelled = _labelled(labels, id_col, label_col).where(
-        (F.col("fold") != 0) & (F.col("fold") != CALIBRATION)
+    learnt = ~fold(id_col).isin(0, CALIBRATION)
+    labelled = _labelled(labels.where(learnt), id_col, label_col)
+    # a merge join at every size: what is moved then follows the input
+    texts = docs.where(learnt).select(
+        named(id_col).alias("id"), text_of(text_col).cast("binary").alias("text")
     )
-    texts = docs.select(named(id_col).alias("id"), text_of(text_col).cast("binary").alias("text"))
-    levels = _levels(stored(_string_counts(texts.join(labelled, "id")), "strings"))
-    seen = {o: _table(levels[o][0], o, 1 << SLOT_BITS[o]) for o in levels}
-    rest = {o - 1: _table(levels[o][1], o - 1, 1 << SLOT_BITS.get(o - 1, 0)) for o in levels if o > 1}
-    rest[0] = np.zeros(1, np.float32)
+    levels = _levels(stored(_string_counts(texts.join(labelled.hint("merge"), "id")), "strings"))
+    seen = {order: _table(rows, order) for order, (rows, _) in levels.items()}
+    rest = {order - 1: _table(heads, order - 1) for order, (_, heads) in levels.items() if order > 1}
     return Model(seen, rest)
 
 
