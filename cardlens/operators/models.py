@@ -178,8 +178,11 @@ class FraudStudy:
 def fit_fraud_models(
     features: DataFrame, settings: FraudSettings = FraudSettings()
 ) -> FraudStudy:
-    """Trains the three classifiers on a stratified 80 % of the rows."""
-    train, test = stratified_split(fraud_vectors(features), seed=settings.seed)
+    """Trains the three classifiers on a stratified 80 % of the rows.
+
+    The vectors are stored once: fits and scores read them, not the features again.
+    """
+    train, test = stratified_split(settled(fraud_vectors(features)), seed=settings.seed)
     estimators = fraud_estimators(settings)
     with reused(train, StorageLevel.MEMORY_AND_DISK) as rows:
         fitted = at_once(
@@ -437,9 +440,8 @@ def fit_category_model(
     features: DataFrame, settings: ForestSettings = ForestSettings()
 ) -> tuple[Model, DataFrame]:
     """Random forest for the category index, and its predictions on the held-out 20 %."""
-    train, test = split(
-        _vectors(features, CATEGORY_FEATURES, "category_idx"), seed=settings.seed
-    )
+    vectors = settled(_vectors(features, CATEGORY_FEATURES, "category_idx"))
+    train, test = split(vectors, seed=settings.seed)
     forest = RandomForestClassifier(
         featuresCol="features",
         labelCol="category_idx",
@@ -475,7 +477,8 @@ def fit_amount_model(
     features: DataFrame, settings: ForestSettings = ForestSettings()
 ) -> tuple[Model, DataFrame]:
     """Random forest for the log amount, and its predictions on the held-out 20 %."""
-    train, test = split(_vectors(features, AMOUNT_FEATURES, "amount_log1p"), seed=settings.seed)
+    vectors = settled(_vectors(features, AMOUNT_FEATURES, "amount_log1p"))
+    train, test = split(vectors, seed=settings.seed)
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol="amount_log1p",
