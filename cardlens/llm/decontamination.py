@@ -1,29 +1,36 @@
-"""Benchmark passages in training texts, by a positional inverted index.
-
-The index is distributed by document: each task indexes some whole documents at a time as
-sorted (term, position) postings of those terms that the benchmark has. A window of benchmark
-words is looked up from the term with the shortest list here; a window with a term that has
-no postings is out at once. The other lists, in order of length, are intersected at their
-offsets from the first. Texts never move; what tasks get besides is a block of the benchmark
-of bounded size, and a larger benchmark is taken block by block.
+"""Benchmark passages in training texts, by a stored positional inverted index.
+
+The index is distributed by document: a row holds a block of whole documents, its distinct words
+and the sorted positions of each. It is stored once, whatever is searched in it. A window of
+benchmark words is looked up in each block from the word with the shortest list there; a window
+with a word that has no postings is out at once. The other lists, in order of length, are
+intersected at their offsets from the first. Texts and postings never move; what tasks get
+besides is a part of the benchmark of bounded size, and a larger benchmark is taken part by part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, StructField, StructType
 
-from cardlens.llm.tables import ascii_words, filter_texts, map_texts, named, text_key, text_of
+from cardlens.llm.graphs import stored
+from cardlens.llm.tables import STEP, ascii_words, filter_texts, map_batches, named, text_of
+from cardlens.plans.layout import under_settings
+from cardlens.session import scratch_folder
 
 #: Bytes of benchmark text that are sent to the tasks at a time.
-BLOCK_BYTES = 8 << 20
-#: Bytes of training text indexed at a time (a longer text on its own), and candidates probed.
-INDEX_BYTES, PROBES = 2 << 20, 1 << 19
+PART_BYTES = 8 << 20
+#: Bytes of training text in a block (a longer text on its own), and candidates probed at a time.
+BLOCK_BYTES, PROBES = 2 << 20, 1 << 19
+#: Blocks that a task reads at a time.
+BLOCKS_READ = 4
 
 _PLACE = np.int64(40)  # a posting is term << 40 | position
 
@@ -50,20 +57,67 @@ class Passages:
         return cls(terms, windows, [tuple(sorted(items)) for items in found.values()])
 
 
-class Index:
-    """Postings of some documents, one after the other with gaps between."""
+@dataclass(frozen=True)
+class Block:
+    """The positional index of some documents: positions count through all their words."""
+
+    lengths: np.ndarray
+    words: list[bytes]
+    heads: np.ndarray
+    places: np.ndarray
 
-    def __init__(self, documents: list[list[bytes]], passages: Passages, gap: int) -> None:
+    @classmethod
+    def of(cls, documents: list[list[bytes]]) -> Block:
+        numbers: dict[bytes, int] = {}
         lengths = np.array([len(words) for words in documents], np.int64)
-        self.begins = np.concatenate([[0], np.cumsum(lengths + gap)])[:-1]
-        self.lengths = lengths
-        self.stream = np.full(int((lengths + gap).sum()), -1, np.int64)
-        for begin, words in zip(self.begins, documents):
-            known = map(passages.terms.get, words, repeat(-1))
-            self.stream[begin : begin + len(words)] = np.fromiter(known, np.int64, len(words))
-        places = np.flatnonzero(self.stream >= 0)
-        self.postings = np.sort((self.stream[places] << _PLACE) | places)
-        self.sizes = np.bincount(self.stream[places], minlength=len(passages.terms))
+        number = numbers.setdefault
+        stream = np.fromiter(
+            (number(word, len(numbers)) for words in documents for word in words),
+            np.int32,
+            int(lengths.sum()),
+        )
+        places = np.argsort(stream, kind="stable").astype(np.int32)
+        counts = np.bincount(stream, minlength=len(numbers))
+        return cls(lengths, list(numbers), np.concatenate([[0], np.cumsum(counts)]), places)
+
+    def steps(self) -> np.ndarray:
+        """The places as distances from the one before in the same list, which store small."""
+        made = np.diff(self.places, prepend=np.int32(0))
+        first = self.heads[:-1]
+        made[first] = self.places[first]
+        return made
+
+    @classmethod
+    def read(cls, lengths: list[int], words: bytes, heads: bytes, steps: bytes) -> Block:
+        starts = np.frombuffer(heads, np.int64)
+        made = np.frombuffer(steps, np.int32)
+        reached = np.cumsum(made, dtype=np.int64)
+        first = starts[:-1]
+        base = np.repeat(reached[first] - made[first], np.diff(starts))
+        places = (reached - base).astype(np.int32)
+        return cls(np.array(lengths, np.int64), words.split(), starts, places)
+
+
+class Search:
+    """The postings of one block that the windows of some passages have."""
+
+    def __init__(self, block: Block, passages: Passages, slop: int) -> None:
+        gap = passages.windows.shape[1] + slop + 1  # no match runs over the end of a document
+        ends = np.cumsum(block.lengths)
+        self.lengths = block.lengths
+        self.begins = ends - block.lengths + gap * np.arange(len(ends))
+        self.end = int(ends[-1] if len(ends) else 0) + gap * len(ends)
+        own = {word: i for i, word in enumerate(block.words)}
+        both = [(t, own[word]) for word, t in passages.terms.items() if word in own]
+        lists = [block.places[block.heads[i] : block.heads[i + 1]] for _, i in both]
+        self.sizes = np.zeros(len(passages.terms), np.int64)
+        self.postings = np.zeros(0, np.int64)
+        if lists:
+            terms = np.array([t for t, _ in both], np.int64)
+            self.sizes[terms] = [len(x) for x in lists]
+            places = np.concatenate(lists).astype(np.int64)
+            places += gap * np.searchsorted(ends, places, side="right")
+            self.postings = (np.repeat(terms, self.sizes[terms]) << _PLACE) | places
         self.heads = np.concatenate([[0], np.cumsum(self.sizes)])
         self.passages = passages
 
@@ -102,14 +156,13 @@ class Index:
             exact = np.ones(len(row), bool)
             for k in range(windows.shape[1]):
                 terms = windows[live[row], k]
-                place = np.minimum(starts + k, len(self.stream) - 1)
-                exact &= (terms < 0) | (self.stream[place] == terms)
+                exact &= (terms < 0) | self._near(np.maximum(terms, 0), starts + k, 0)
             yield live[row], starts, exact
 
     def found(self, slop: int) -> list[dict[str, object]]:
         """A row for each document."""
         n = len(self.begins)
-        edges = np.zeros(len(self.stream) + 1, np.int64)
+        edges = np.zeros(self.end + 1, np.int64)
         items: list[set[str]] = [set() for _ in range(n)]
         near: list[set[str]] = [set() for _ in range(n)]
         sizes = (self.passages.windows >= 0).sum(axis=1)
@@ -139,123 +192,183 @@ class Index:
         ]
 
 
-def search(texts: list[bytes], passages: Passages, slop: int) -> list[dict[str, object]]:
-    """A row for each text, indexing a bounded amount at a time."""
-    rows: list[dict[str, object]] = []
-    held: list[list[bytes]] = []
+def blocks_of(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Texts in runs of about ``BLOCK_BYTES``; a longer one alone."""
+    held: list[bytes] = []
     size = 0
-    gap = passages.windows.shape[1] + slop + 1
     for text in texts:
-        if held and size + len(text) > INDEX_BYTES:
-            rows += Index(held, passages, gap).found(slop)
+        if held and size + len(text) > BLOCK_BYTES:
+            yield held
             held, size = [], 0
-        held.append(ascii_words(text))
+        held.append(text)
         size += len(text)
     if held:
-        rows += Index(held, passages, gap).found(slop)
-    return rows
-
-
-def passage_blocks(
-    benchmark: DataFrame, id_col: str, text_col: str, window: int, block_bytes: int
+        yield held
+
+
+def write_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
+    """Stores the positional index of all texts under ``path``, a row for each block."""
+    rows = docs.select(named(id_col).alias("id"), text_of(text_col).cast("binary").alias("text"))
+    ids = StructField("ids", ArrayType(rows.schema["id"].dataType))
+    fields = StructType.fromDDL("lengths array<int>, words binary, heads binary, steps binary")
+    schema = StructType([ids, *fields.fields])
+    arrow = to_arrow_schema(schema)
+
+    def packed(names: list, documents: list[list[bytes]]) -> pa.RecordBatch:
+        block = Block.of(documents)
+        heads = block.heads.astype(np.int64).tobytes()
+        row = (names, block.lengths.tolist(), b" ".join(block.words), heads, block.steps().tobytes())
+        arrays = [pa.array([value], f.type) for value, f in zip(row, arrow)]
+        return pa.RecordBatch.from_arrays(arrays, schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: list = []
+        documents: list[list[bytes]] = []
+        size = 0
+        for batch in batches:
+            for begin in range(0, batch.num_rows, STEP):
+                part = batch.slice(begin, STEP)
+                for name, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    if names and size + len(text) > BLOCK_BYTES:
+                        yield packed(names, documents)
+                        names, documents, size = [], [], 0
+                    names.append(name)
+                    documents.append(ascii_words(text))
+                    size += len(text)
+        if names:
+            yield packed(names, documents)
+
+    blocks = map_batches(rows, run, schema)
+    blocks.withColumn("block", F.monotonically_increasing_id()).write.parquet(path)
+
+
+def passage_parts(
+    benchmark: DataFrame, id_col: str, text_col: str, window: int, part_bytes: int
 ) -> Iterator[Passages]:
-    """The benchmark in blocks of about ``block_bytes``, none of which outlives its use here.
+    """The benchmark in parts of about ``part_bytes``, none of which outlives its use here.
 
-    Items are dealt to blocks by a hash; at least one block comes, also without any item.
+    Items are dealt to parts by a hash; at least one part comes, also without any item.
     """
     rows = benchmark.select(
         named(id_col).cast("string").alias("item"), text_of(text_col).cast("binary").alias("text")
     ).where(F.col("item").isNotNull())
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = size // block_bytes + 1
-    for block in range(blocks):
-        mine = rows.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block) if blocks > 1 else rows
+    parts = size // part_bytes + 1
+    for part in range(parts):
+        mine = rows.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part) if parts > 1 else rows
         yield Passages.of([(r.item, bytes(r.text)) for r in mine.collect()], window)
 
 
-def find_passages(
-    docs: DataFrame,
+_FOUND = (
+    "n_words long, spans array<struct<start:int,end:int>>, "
+    "items array<string>, near_items array<string>"
+)
+
+
+def search_index(
+    spark: SparkSession,
+    path: str,
     benchmark: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = 10,
     slop: int = 2,
-    block_bytes: int = BLOCK_BYTES,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    """Per row: ``n_words``, ``spans`` of words in exact passages (end exclusive), ``items``
-    that they come from and ``near_items`` with proximity matches only.
-
-    A passage is ``window`` consecutive words of an item, or all words of a shorter one. Items
-    without words or without an id, and null texts, match nothing. Rows that repeat an id are
-    searched one by one; if the benchmark takes several blocks, rows of equal id and text come
-    out alike.
-    """
-    spark = docs.sparkSession
-    fields = (
-        "n_words long, spans array<struct<start:int,end:int>>, "
-        "items array<string>, near_items array<string>"
-    )
-    parts = []
-    for passages in passage_blocks(benchmark, item_col, item_text_col, window, block_bytes):
-        shared = spark.sparkContext.broadcast(passages)
-
-        def start(shared=shared):
-            def work(texts: list[bytes]) -> dict[str, list]:
-                rows = search(texts, shared.value, slop)
-                names = ("n_words", "spans", "items", "near_items")
-                return {name: [row[name] for row in rows] for name in names}
-
-            return work
+    """``block, place, id`` of every indexed text and what :func:`find_passages` says of it."""
+    index = spark.read.parquet(path)
+    ids = StructField("id", index.schema["ids"].dataType.elementType)
+    fields = StructType.fromDDL("block long, place int")
+    schema = StructType([*fields.fields, ids, *StructType.fromDDL(_FOUND).fields])
+    arrow = to_arrow_schema(schema)
+    names = [f.name for f in arrow][3:]
+
+    def run_with(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    number, texts, *stored_block = (c[row].as_py() for c in batch.columns)
+                    found = Search(Block.read(*stored_block), shared.value, slop).found(slop)
+                    columns = [
+                        [number] * len(texts), list(range(len(texts))), texts,
+                        *([f[name] for f in found] for name in names),
+                    ]
+                    arrays = [pa.array(c, f.type) for c, f in zip(columns, arrow)]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+
+        return run
 
-        parts.append(start)
-    if len(parts) == 1:
-        return map_texts(docs, id_col, text_col, parts[0], fields)
-    # several blocks: a row's finds meet under a key that is unique but for equal rows
-    keyed = docs.select(
-        F.struct(named(id_col).alias("id"), text_key(text_col).alias("text")).alias("key"),
-        text_of(text_col).alias("text"),
-    )
     made = None
-    for block, start in enumerate(parts):
-        found = map_texts(keyed, "key", "text", start, fields).withColumn("block", F.lit(block))
-        if block:
+    # a row is megabytes: few of them at a time
+    few = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BLOCKS_READ)}
+    for number, passages in enumerate(
+        passage_parts(benchmark, item_col, item_text_col, window, part_bytes)
+    ):
+        shared = spark.sparkContext.broadcast(passages)
+        rows = index.select("block", "ids", "lengths", "words", "heads", "steps")
+        found = map_batches(rows, run_with(shared), schema)
+        if number:
             found = found.where((F.size("spans") > 0) | (F.size("near_items") > 0))
+        found = under_settings(spark, few, lambda found=found: stored(found, "found"))
         made = found if made is None else made.unionByName(found)
-    merged = made.groupBy("key").agg(
-        F.max(F.when(F.col("block") == 0, F.col("n_words"))).alias("n_words"),
-        F.flatten(F.collect_list("spans")).alias("spans"),
+        shared.unpersist()
+    if number == 0:
+        return made
+    merged = made.groupBy("block", "place").agg(
+        F.first("id").alias("id"),
+        F.max("n_words").alias("n_words"),
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("near_items")))).alias("near"),
-        F.count_if(F.col("block") == 0).alias("copies"),
     )
     touching = F.aggregate(
-        F.array_sort("spans"),
+        F.col("spans"),
         F.array().cast("array<struct<start:int,end:int>>"),
         lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s["start"]),
+            (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] >= s["start"]),
             F.concat(
                 F.slice(done, 1, F.size(done) - 1),
                 F.array(
                     F.named_struct(
                         F.lit("start"),
-                        F.element_at(done, -1)["start"],
+                        F.try_element_at(done, F.lit(-1))["start"],
                         F.lit("end"),
-                        F.greatest(F.element_at(done, -1)["end"], s["end"]),
+                        F.greatest(F.try_element_at(done, F.lit(-1))["end"], s["end"]),
                     )
                 ),
             ),
         ).otherwise(F.concat(done, F.array(s))),
     )
     return merged.select(
-        F.col("key.id").alias(id_col),
-        "n_words",
-        F.when(F.size("spans") > 0, touching).otherwise(F.col("spans")).alias("spans"),
-        "items",
+        "block", "place", "id", "n_words", touching.alias("spans"), "items",
         F.array_except("near", "items").alias("near_items"),
-        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
-    ).drop("copy")
+    )
+
+
+def find_passages(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = 10,
+    slop: int = 2,
+    part_bytes: int = PART_BYTES,
+) -> DataFrame:
+    """Per row: ``n_words``, ``spans`` of words in exact passages (end exclusive), ``items``
+    that they come from and ``near_items`` with proximity matches only.
+
+    A passage is ``window`` consecutive words of an item, or all words of a shorter one. Items
+    without words or without an id, and null texts, match nothing. Rows that repeat an id are
+    searched one by one.
+    """
+    path = scratch_folder(docs.sparkSession, "index")
+    write_index(docs, path, id_col, text_col)
+    found = search_index(
+        docs.sparkSession, path, benchmark, item_col, item_text_col, window, slop, part_bytes
+    )
+    return found.select(named("id").alias(id_col), "n_words", "spans", "items", "near_items")
 
 
 def drop_contaminated(
@@ -265,16 +378,23 @@ def drop_contaminated(
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = 10,
-    block_bytes: int = BLOCK_BYTES,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    """The rows of ``docs`` that hold no passage of the benchmark, all columns as they are."""
+    """The rows of ``docs`` that hold no passage of the benchmark, all columns as they are.
+
+    Blocks are indexed and searched where the rows are, so that no join has to find them again.
+    """
     kept = docs
-    for passages in passage_blocks(benchmark, item_col, item_text_col, window, block_bytes):
+    for passages in passage_parts(benchmark, item_col, item_text_col, window, part_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(passages)
 
         def start(shared=shared):
             def work(texts: list[bytes]) -> list[bool]:
-                return [not row["spans"] for row in search(texts, shared.value, 0)]
+                clean: list[bool] = []
+                for some in blocks_of(texts):
+                    block = Block.of([ascii_words(t) for t in some])
+                    clean += [not row["spans"] for row in Search(block, shared.value, 0).found(0)]
+                return clean
 
             return work
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardlens.llm import byte_bpe, decontamination, line_dedup, simhash, toxicity
 from cardlens.llm.graphs import stored
@@ -19,8 +20,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that one of a smaller id has."""
-    return line_dedup.keep_first_lines(docs)
+    """All documents, without the lines that one of a smaller id has; ``n_chars`` follows the text."""
+    kept = line_dedup.keep_first_lines(docs)
+    if "n_chars" not in kept.columns:
+        return kept
+    length = F.coalesce(F.char_length("text"), F.lit(0)).cast(kept.schema["n_chars"].dataType)
+    return kept.withColumn("n_chars", length)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -74,18 +74,18 @@ def corpus(seed):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_brute_force(docs, bench, monkeypatch, seed):
-    monkeypatch.setattr(decontamination, "INDEX_BYTES", 300 * seed)
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 300 * seed)
     monkeypatch.setattr(decontamination, "PROBES", 50)
     rows, items = corpus(seed)
     assert found(docs(rows), bench(items)) == plain(rows, items)
 
 
-def test_a_benchmark_in_blocks(docs, bench):
+def test_a_benchmark_in_parts(docs, bench):
     rows, items = corpus(3)
     rows.append(rows[5])
     table, items_table = docs(rows), bench(items)
-    assert found(table, items_table, block_bytes=200) == plain(rows, items)
-    kept = drop_contaminated(table, items_table, block_bytes=200)
+    assert found(table, items_table, part_bytes=200) == plain(rows, items)
+    kept = drop_contaminated(table, items_table, part_bytes=200)
     clean = sorted((d for d, _, hit, _ in plain(rows, items) if not hit), key=str)
     assert sorted((r.doc_id for r in kept.collect()), key=str) == clean
 
@@ -118,3 +118,24 @@ def test_nothing_to_find(docs, bench):
     table = docs(rows)
     kept = drop_contaminated(table, bench([(1, "x")]))
     assert kept.columns == table.columns and kept.count() == 2
+
+
+def test_an_index_is_searched_again(spark, docs, bench, tmp_path):
+    rows, items = corpus(4)
+    path = f"{tmp_path}/index"
+    decontamination.write_index(docs(rows), path)
+    for some in (items[:20], items[20:]):
+        result = decontamination.search_index(spark, path, bench(some))
+        got = sorted(((r.id, r.n_words, r["items"]) for r in result.collect()), key=str)
+        assert got == sorted(((d, n, i) for d, n, _, i in plain(rows, some)), key=str)
+
+
+def test_blocks_read_as_written():
+    texts = [words(t) for t in ("a b a c", "", "c a é", "a")]
+    block = decontamination.Block.of([[w.encode() for w in t] for t in texts])
+    again = decontamination.Block.read(
+        block.lengths.tolist(), b" ".join(block.words), block.heads.astype("int64").tobytes(), block.steps().tobytes()
+    )
+    assert again.words == block.words and (again.places == block.places).all()
+    lists = {w: again.places[again.heads[i] : again.heads[i + 1]].tolist() for i, w in enumerate(again.words)}
+    assert lists == {b"a": [0, 2, 5, 7], b"b": [1], b"c": [3, 4], "é".encode(): [6]}
