@@ -11,6 +11,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardlens.session import scratch_released
+
 Result = TypeVar("Result")
 
 
@@ -95,8 +97,10 @@ def fitting_settings(spark: SparkSession, *sources: str) -> dict[str, str]:
 
 
 def fitted_to(spark: SparkSession, source: str, work: Callable[[], Result]) -> Result:
-    """Runs ``work`` under settings that fit the size of ``source``."""
-    return under_settings(spark, fitting_settings(spark, source), work)
+    """Runs ``work`` under settings that fit the size of ``source``, and deletes the
+    intermediate tables that it has stored."""
+    with scratch_released(spark):
+        return under_settings(spark, fitting_settings(spark, source), work)
 
 
 def with_adaptive_execution(

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,22 +60,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """New path under the shared folder; :func:`clear_scratch` deletes it."""
+    """New path under the shared folder."""
     root = f"{shared_folder(spark)}/cardlens-{uuid.uuid4().hex}"
     _scratch.add(root)
     return f"{root}/{name}"
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Deletes the scratch folders made so far. Tables that read them are of no use afterwards."""
-    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _scratch:
-        root = _scratch.pop()
-        if urlparse(root).scheme in ("", "file"):
-            shutil.rmtree(urlparse(root).path, ignore_errors=True)
-        else:
-            path = jvm.org.apache.hadoop.fs.Path(root)
-            path.getFileSystem(hadoop).delete(path, True)
+@contextmanager
+def scratch_released(spark: SparkSession) -> Iterator[None]:
+    """Deletes the scratch folders made inside the block, which has to finish its actions."""
+    before = set(_scratch)
+    try:
+        yield
+    finally:
+        for root in _scratch - before:
+            _delete(spark, root)
+
+
+def _delete(spark: SparkSession, root: str) -> None:
+    if urlparse(root).scheme in ("", "file"):
+        shutil.rmtree(urlparse(root).path, ignore_errors=True)
+    else:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _scratch.discard(root)
 
 
 def settled(df: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
@@ -72,3 +74,16 @@ def test_model_job(spark, features, tmp_path):
     names = models_job.run(spark, features, str(tmp_path), small, ForestSettings(trees=4, depth=3))
     for name in names:
         assert spark.read.parquet(f"{tmp_path}/{name}").count() > 0, name
+
+
+def test_jobs_leave_no_scratch_behind(spark, features, tmp_path):
+    from cardlens import session
+
+    before = set(session._scratch)
+    reports_job.run(spark, features, str(tmp_path), ["amount_by_label", "iqr_outliers"])
+    assert session._scratch == before
+    made = set(os.listdir(session.shared_folder(spark)))
+    with session.scratch_released(spark):
+        session.settled(spark.range(3)).count()
+        assert set(os.listdir(session.shared_folder(spark))) - made
+    assert set(os.listdir(session.shared_folder(spark))) == made
