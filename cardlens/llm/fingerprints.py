@@ -27,7 +27,7 @@ from cardlens.llm.tables import STEP, map_batches, named, text_of
 
 SAMPLES = 128
 #: (word, weight) pairs whose values a task remembers: 1 KB each.
-KEPT = 1 << 16
+KEPT = 1 << 17
 #: (word, weight) pairs taken at a time.
 BLOCK = 1 << 13
 #: The sample of a text without words; no other sample has this value.
@@ -93,8 +93,8 @@ class Sampler:
                 self.place.clear()
                 new = list(dict.fromkeys(keys))
             first = len(self.place)
-            for begin in range(0, len(new), 1024):
-                some = new[begin : begin + 1024]
+            for begin in range(0, len(new), 256):
+                some = new[begin : begin + 256]
                 self.values[first + begin : first + begin + len(some)] = self.draw(some)
             self.place.update(zip(new, range(first, first + len(new))))
             rows = list(map(self.place.__getitem__, keys))
