@@ -7,7 +7,7 @@ of its two log-likelihoods per byte, turned into a probability on labelled rows
 models have not seen.
 
 All counts are taken over all labelled rows, as Spark aggregates. What tasks need to score a
-text, the differences of the logarithms, is folded into tables of a fixed number of slots.
+text, the differences of the logarithms, is a sorted table of all strings of each order.
 """
 
 from __future__ import annotations
@@ -28,8 +28,6 @@ from cardlens.llm.tables import ascii_words, filter_texts, map_batches, map_text
 ORDER = 4
 #: Orders whose counts the two classes share.
 SHARED = 2
-#: Slots of the tables of differences by order; strings of up to two bytes have their own.
-SLOT_BITS = {4: 21, 3: 19, 2: 16, 1: 8}
 #: Folds of labelled rows by crc32(id) mod 5: 0 is held out, the last one calibrates.
 FOLDS, CALIBRATION = 5, 4
 #: Bins of the differences that calibration counts, and the range they cover.
@@ -170,67 +168,37 @@ def _levels(counts: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
             + left[c] * below[c]
             for c in _CLASSES
         }
-        weight = (F.col("toxic") + F.col("other")).alias("weight")
-        probabilities = rows.select("key", *[chance[c].alias(c) for c in _CLASSES], weight)
+        probabilities = rows.select("key", *[chance[c].alias(c) for c in _CLASSES])
         rests = heads.select(
             F.col("head").alias("key"),
             *[left[c].alias(c) for c in _CLASSES],
-            (F.col("n_toxic") + F.col("n_other")).alias("weight"),
         )
         made[order] = (stored(probabilities, f"order{order}"), rests)
     return made
 
 
-#: An odd number whose multiples spread over 64 bits.
-_MIX = 0x9E3779B97F4A7C15
-
-
-def slots(keys: np.ndarray, order: int) -> np.ndarray:
-    """The table slot of each string of ``order`` bytes."""
-    if order <= 2:
-        return keys.astype(np.int64)
-    mixed = keys.astype(np.uint64) * np.uint64(_MIX)
-    return (mixed >> np.uint64(64 - SLOT_BITS[order])).astype(np.int64)
-
-
 @dataclass(frozen=True)
 class Table:
-    """log(toxic / other) of strings of one order. Of strings that share a slot, the one seen
-    most often is held; the others count as not seen."""
+    """log(toxic / other) of all strings of one order, sorted by key."""
 
-    order: int
-    values: np.ndarray
     keys: np.ndarray
+    values: np.ndarray
 
     def get(self, keys: np.ndarray) -> np.ndarray:
-        """NaN for a string that is not held."""
-        at = slots(keys, self.order)
+        """NaN for a string that neither class has."""
+        if not len(self.keys):
+            return np.full(len(keys), np.nan, np.float32)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.values[at], np.float32(np.nan))
 
 
 def _table(rows: DataFrame, order: int) -> Table:
-    """Folds ``key, toxic, other, weight``; no more rows than slots reach the driver."""
-    bits = SLOT_BITS[order]
-    if order <= 2:
-        slot = F.col("key").cast("int")
-    else:  # the same product as in slots(): its lowest 64 bits, taken as a signed number
-        product = f"(cast(key AS decimal(38,0)) * {_MIX}BD) % {1 << 64}BD"
-        signed = f"cast({product} - if({product} >= {1 << 63}BD, {1 << 64}BD, 0BD) AS bigint)"
-        slot = F.expr(f"cast(shiftrightunsigned({signed}, {64 - bits}) AS int)")
-    value = F.log(F.col("toxic") / F.col("other")).alias("value")
-    folded = (
-        rows.select(slot.alias("slot"), value, "weight", "key")
-        .groupBy("slot")
-        .agg(F.max(F.struct("weight", "key", "value")).alias("most"))
-        .select("slot", "most.key", "most.value")
-        .toArrow()
-    )
-    values = np.full(1 << bits, np.nan, np.float32)
-    keys = np.zeros(1 << bits, np.uint32)
-    at = folded["slot"].to_numpy()
-    values[at] = folded["value"].to_numpy()
-    keys[at] = folded["key"].to_numpy()
-    return Table(order, values, keys)
+    """All of ``key, toxic, other``: no string of ``order`` bytes is left out."""
+    value = F.log(F.col("toxic") / F.col("other")).cast("float").alias("value")
+    held = rows.select("key", value).toArrow()
+    keys = held["key"].to_numpy().astype(np.uint32)
+    by_key = np.argsort(keys)
+    return Table(keys[by_key], held["value"].to_numpy()[by_key])
 
 
 @dataclass(frozen=True)

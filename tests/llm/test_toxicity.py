@@ -146,3 +146,11 @@ def test_slots_are_the_same_in_spark(spark):
         table = toxicity._table(rows, order)
         assert np.allclose(table.get(keys), np.log(0.5))
         assert np.isnan(table.get(keys - np.uint32(1))).all()
+
+
+def test_no_string_is_lost(spark):
+    keys = np.random.default_rng(1).choice(2**32, 40000, replace=False).astype(np.uint32)
+    rows = spark.createDataFrame(
+        [(int(k), 1.0, 2.0, 1) for k in keys], "key long, toxic double, other double, weight long"
+    )
+    assert np.allclose(toxicity._table(rows, toxicity.ORDER).get(keys), np.log(0.5))
