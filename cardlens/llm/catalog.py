@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlens.llm import (
+    alignment,
     byte_bpe,
+    conversations,
     decontamination,
     fingerprints,
     licenses,
@@ -21,6 +23,7 @@ from cardlens.llm import (
     pii,
     simhash,
     token_counts,
+    token_ids,
     toxicity,
     warc,
 )
@@ -32,6 +35,7 @@ QUERIES: dict[str, Build] = {}
 SQL: dict[str, str] = {}
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_LEVEL, PIECES = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 
 
 def query(sql: str | None = None) -> Callable[[Build], Build]:
@@ -200,3 +204,31 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return alignment.align_and_weigh(docs, BYTE_LEVEL, PIECES)
+
+
+@query()
+def op12_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_folder(spark, "token_ids")
+    token_ids.write_ids(table(spark, folder, "documents"), path, BYTE_LEVEL)
+    return token_ids.read_ids(spark, path).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    found = conversations.repair(conversations.damage(turns), "conv")
+    known = turns.select("conv_id").distinct()
+    joined = known.join(found, known.conv_id.eqNullSafe(found.conv), "left")
+    nothing = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit("").cast("binary"), 256)}
+    return joined.select(
+        "conv_id",
+        *[F.coalesce(c, nothing.get(c, F.lit(0))).alias(c) for c in found.columns if c != "conv"],
+    )

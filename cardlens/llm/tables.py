@@ -53,6 +53,18 @@ def ascii_words(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
+def steps(texts: list[str], most: int) -> Iterator[slice]:
+    """Slices of texts with about ``most`` characters, at least one text each."""
+    begin = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > most:
+            yield slice(begin, i)
+            begin, size = i, 0
+        size += len(text)
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 

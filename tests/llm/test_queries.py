@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.01"
 
 
 def test_all_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
     assert set(SQL) <= set(__spark_entry__.oracle_sql())
 
@@ -32,8 +32,8 @@ def test_against_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_a_row_for_every_row(spark, name):
-    table = "pages" if name.startswith("op3_") else "documents"
-    key = "page_id" if name.startswith("op3_") else "doc_id"
+    tables = {"op3_": ("pages", "page_id"), "op13": ("conversations", "conv_id")}
+    table, key = tables.get(name[:4], ("documents", "doc_id"))
     ids = {r[0] for r in spark.read.parquet(f"{SMALL}/{table}.parquet").select(key).collect()}
     found = [r[0] for r in QUERIES[name](spark, SMALL).select(key).collect()]
     assert len(found) == len(ids) and set(found) == ids
