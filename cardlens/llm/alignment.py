@@ -13,7 +13,6 @@ for each pair, and a document's pairs once each with how often they occur.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
@@ -27,68 +26,20 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from cardlens.llm.skew import join_counted
+from cardlens.llm.stretches import ByteLevel, Memory, Pieces
 from cardlens.llm.tables import map_batches, named, steps, text_of
 from cardlens.session import scratch_folder
 
 #: Characters of texts that are merged together, or tokenized together (if they are several).
-STEP_CHARS, ENCODE_CHARS = 1 << 21, 1 << 18
+STEP_CHARS, ENCODE_CHARS = 1 << 21, 1 << 20
 #: Tokens of A in a lane of a long text.
 LANE = 512
+#: Most stretches whose tokens a worker process remembers.
+MOST_KEPT = 500_000
 #: A pair of ids is ``a * ID_SPACE + b``.
 ID_SPACE = 1 << 31
 
 
-def byte_values() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for.
-
-    Printable bytes of Latin-1 stand for themselves, the others for the characters from U+0100
-    on, in their order.
-    """
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(printable)]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
-class ByteLevel:
-    """A byte-level vocabulary of the ``tokenizers`` library."""
-
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
-        value = byte_values()
-        names = {i: t for t, i in self.model.get_vocab(with_added_tokens=True).items()}
-        self.tokens = [
-            bytes(value[c] for c in names.get(i, "") if c in value) for i in range(max(names) + 1)
-        ]
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of a space and each text."""
-        found = self.model.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in found]
-
-
-class Pieces:
-    """A vocabulary of the ``sentencepiece`` library, which itself puts a space before a text."""
-
-    def __init__(self, path: str) -> None:
-        from sentencepiece import SentencePieceProcessor
-
-        self.model = SentencePieceProcessor(model_file=path)
-        self.tokens = [self._bytes(i) for i in range(self.model.get_piece_size())]
-
-    def _bytes(self, i: int) -> bytes:
-        piece = self.model.id_to_piece(i)
-        if self.model.is_byte(i):
-            return bytes([int(piece[3:5], 16)])
-        return piece.replace("▁", " ").encode()
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
-
-
 def lockstep(
     ends_a: np.ndarray, ends_b: np.ndarray, starts_a: np.ndarray, starts_b: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -134,32 +85,33 @@ class Aligner:
     """Both tokenizers and the texts of their ids, for one worker process."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
-        self.a, self.b = ByteLevel(path_a), Pieces(path_b)
-        self.sizes_a = np.array([len(t) for t in self.a.tokens], np.int64)
-        self.sizes_b = np.array([len(t) for t in self.b.tokens], np.int64)
+        self.a, self.b = ByteLevel(path_a, plain=True), Pieces(path_b)
         # an id as text with what follows it: the next of its side, the other side, a new group
         self.written = [
             f"{i}{mark}" for tokens, turn in ((self.a.tokens, "|"), (self.b.tokens, ";"))
             for i in range(len(tokens)) for mark in (",", turn)
         ]
+        self.memory = Memory(self.stretches, MOST_KEPT)
 
-    def _whole(self, text: str, a: list[int], b: list[int]) -> bool:
-        """Whether both rows of tokens spell the space and the text."""
-        spelt = (" " + text).encode()
-        return spelt == b"".join(map(self.a.tokens.__getitem__, a)) and spelt == b"".join(
-            map(self.b.tokens.__getitem__, b)
-        )
+    def stretches(self, some: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of A and of B for stretches; None where either don't spell it byte by byte."""
+        pairs = zip(self.a.stretches(some), self.b.stretches(some))
+        return [None if a is None or b is None else (a, b) for a, b in pairs]
 
     def rows(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of A and of B for each text; none where the tokens don't spell the text."""
         none = np.zeros(0, np.int64)
         rows_a, rows_b = [none] * len(texts), [none] * len(texts)
         filled = [k for k, text in enumerate(texts) if text]
-        some = [texts[k] for k in filled]
-        for part in steps(some, ENCODE_CHARS):
-            for k, a, b in zip(filled[part], self.a.encode(some[part]), self.b.encode(some[part])):
-                if self._whole(texts[k], a, b):
-                    rows_a[k], rows_b[k] = np.array(a, np.int64), np.array(b, np.int64)
+        spaced = [" " + texts[k] for k in filled]
+        for part in steps(spaced, ENCODE_CHARS):
+            if self.a.cuttable and self.b.cuttable:
+                rows = self.memory.rows(spaced[part])
+            else:
+                rows = [self.stretches([text]) for text in spaced[part]]
+            for k, row in zip(filled[part], map(list, rows)):
+                if None not in row:
+                    rows_a[k], rows_b[k] = (np.frombuffer(b"".join(x), "<u4") for x in zip(*row))
         return rows_a, rows_b
 
     def groups(self, a, b, last_a, last_b, first_a, first_b) -> list[str]:
@@ -171,7 +123,7 @@ class Aligner:
         # tokens of B in the groups before one's own; tokens of A up to one's own group
         before = np.concatenate([[0], upto_b])
         order[np.arange(len(a)) + before[group_a]] = a * 2 + last_a
-        order[np.arange(len(b)) + upto_a[group_b]] = (len(self.sizes_a) + b) * 2 + last_b
+        order[np.arange(len(b)) + upto_a[group_b]] = (len(self.a.sizes) + b) * 2 + last_b
         listed = list(map(self.written.__getitem__, order.tolist()))
         bounds = first_a + first_b
         return ["".join(listed[s:e])[:-1] for s, e in zip(bounds[:-1], bounds[1:])]
@@ -183,10 +135,10 @@ class Aligner:
             np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
             for rows in (rows_a, rows_b)
         )
-        a, b = np.concatenate(rows_a), np.concatenate(rows_b)
+        a, b = (np.concatenate(rows).astype(np.int64) for rows in (rows_a, rows_b))
         n = len(texts)
         if len(a):
-            ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+            ends_a, ends_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
             begins = first_a[:-1][np.diff(first_a) > 0]
             lanes = _lanes(ends_a, ends_b, begins)
             i, j, last_a, last_b = lockstep(ends_a, ends_b, *lanes)
@@ -195,7 +147,11 @@ class Aligner:
             last_a, last_b = np.zeros(0, bool), np.zeros(0, bool)
         text_of_a = np.repeat(np.arange(n), np.diff(first_a))
         linked = text_of_a[i]
-        pairs, times, owner = _distinct(linked, a[i] * ID_SPACE + b[j])
+        # owner and pair in one number, sorted: a text's links of the same ids side by side
+        here, wide = len(self.b.sizes), len(self.a.sizes) * len(self.b.sizes)
+        keys, times = np.unique(linked * wide + a[i] * here + b[j], return_counts=True)
+        owner, pairs = keys // wide, keys % wide
+        pairs = pairs // here * ID_SPACE + pairs % here
         spelt = self.groups(a, b, last_a, last_b, first_a, first_b)
         made = {
             "n_a": np.diff(first_a),
@@ -218,16 +174,6 @@ class Aligner:
         return made
 
 
-def _distinct(owner: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct pairs of each owner, sorted, how often each occurs, and the owners."""
-    order = np.lexsort((pair, owner))
-    owner, pair = owner[order], pair[order]
-    new = np.ones(len(pair), bool)
-    new[1:] = (pair[1:] != pair[:-1]) | (owner[1:] != owner[:-1])
-    at = np.flatnonzero(new)
-    return pair[at], np.diff(np.append(at, len(pair))), owner[at]
-
-
 def _listed(owner: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
     """Values as one list for each of ``n`` owners; owners ascend."""
     bounds = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])

@@ -18,9 +18,7 @@ too short to learn; the columns beside ``frames`` are the index that finds it.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
-from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -32,32 +30,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StructField, StructType
 
+from cardlens.llm.stretches import as_bytes, byte_level
 from cardlens.llm.tables import map_batches, named, steps, text_of
 
 #: Bytes of frames after which a block is closed, and the most documents of a block.
 BLOCK_BYTES, BLOCK_DOCUMENTS = 1 << 18, 1024
 #: Characters of texts that a task encodes at a time.
-STEP_CHARS = 1 << 18
+STEP_CHARS = 1 << 20
 #: The dictionary's size, and what it is trained on: so many documents of at most so many
 #: characters (the short ones are those that need it), the least by a hash of id and text.
 DICTIONARY_BYTES, SAMPLE_DOCUMENTS, SAMPLE_CHARS = 1 << 15, 2000, 4000
-LEVEL = 3
-
-
-@lru_cache(maxsize=2)
-def tokenizer(path: str):
-    """The tokenizer of this worker process; one thread, as Spark gives a task one core."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
+LEVEL = 1
 
 
 def serialized(path: str, texts: list[str], end_id: int | None) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit integers, ``end_id`` behind them."""
-    tail = [] if end_id is None else [end_id]
-    found = tokenizer(path).encode_batch(texts, add_special_tokens=False)
-    return [np.array(e.ids + tail, "<u4").tobytes() for e in found]
+    tail = b"" if end_id is None else as_bytes([end_id])
+    return [ids + tail for ids in byte_level(path, plain=False).encode(texts)]
 
 
 def train_dictionary(

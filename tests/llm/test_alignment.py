@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 from cardlens.llm import alignment
 from cardlens.llm.catalog import BYTE_LEVEL, PIECES, QUERIES
+from cardlens.llm.stretches import byte_values
 from text_tables import by_id, docs  # noqa: F401
 
 COLUMNS = (
@@ -22,7 +23,7 @@ def tokens(text):
     pieces = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     if not text:
         return [], []
-    value = alignment.byte_values()
+    value = byte_values()
     names = {i: t for t, i in model.get_vocab().items()}
     a = [(i, bytes(value[c] for c in names[i])) for i in model.encode(" " + text, add_special_tokens=False).ids]
     b = []
@@ -87,6 +88,14 @@ def values(column):
     return column.to_pylist() if hasattr(column, "to_pylist") else list(column)
 
 
+def test_stretches_give_the_ids_of_whole_texts():
+    work = alignment.aligner(BYTE_LEVEL, PIECES)
+    texts = [t for _, t in sample(400, seed=11)] + [" ", "x ", "  x", " x", "a\n b", "\t", "x  y ", "  "]
+    for text, a, b in zip(texts, *work.rows(texts)):
+        assert a.tolist() == work.a.model.encode(" " + text, add_special_tokens=False).ids
+        assert b.tolist() == work.b.model.encode(text)
+
+
 def sample(n, seed=7):
     random.seed(seed)
     parts = ["the", " ", "  ", "éa", "\n", "Zusammen", "<|endoftext|>", "<0x41>", "漢字", "🙂", "x1", "\t", ".", "tion"]

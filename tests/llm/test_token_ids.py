@@ -64,6 +64,13 @@ def test_repeated_ids_and_rows(spark, docs, tmp_path):
     assert [r.start for r in found] == list(np.cumsum([0] + [r.n_tokens for r in found])[:-1])
 
 
+def test_special_tokens_are_found(spark, docs, tmp_path):
+    rows = [(0, "a<|endoftext|> b"), (1, "<|endoftext|>"), (2, "x <|endo ftext|>")]
+    token_ids.write_ids(docs(rows), str(tmp_path / "ids"), BYTE_LEVEL)
+    got = read(token_ids.read_ids(spark, str(tmp_path / "ids")))
+    assert got == expected(rows) and 50256 in got[0][2] and 50256 not in got[2][2]
+
+
 def test_no_rows(spark, docs, tmp_path):
     path = str(tmp_path / "ids")
     token_ids.write_ids(docs([]), path, BYTE_LEVEL)
