@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from cardlens.catalog.registry import query, rounded
 from cardlens.catalog.sql import CARD_PROFILES, on_features, on_tx
 from cardlens.catalog.stored import built_features, once, stored_transactions
-from cardlens.operators import models, portfolio
-from cardlens.operators.ranking import running_counts, value_counts
+from cardlens.operators import evaluation, models, portfolio, trees
+from cardlens.operators.joins import with_class_weight
+from cardlens.operators.ranking import lower_medians, running_counts, value_counts
 
 
 def _fraud(spark: SparkSession, folder: str) -> models.FraudStudy:
@@ -62,6 +63,31 @@ def imputed(spark, folder):
     )
 
 
+_MEDIAN_INPUTS = ("amount_log1p", "city_pop", "cardholder_age", "merch_distance_km")
+
+
+@query(
+    "ml_01_medians",
+    on_features(
+        ", long AS ("
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM fx WHERE {c} IS NOT NULL"
+            for c in _MEDIAN_INPUTS
+        )
+        + """), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY value) AS place,
+         count(*) OVER (PARTITION BY column_name) AS n FROM long)
+SELECT column_name, round(value, 6) AS median FROM placed WHERE place = (n + 1) // 2"""
+    ),
+)
+def medians(spark, folder):
+    """Exact lower medians, two of columns that hold missing values."""
+    features = models.rename_for_models(built_features(spark, folder))
+    back = {"age": "cardholder_age", "merch_dist_km": "merch_distance_km"}
+    known = features.withColumnsRenamed({n: c for n, c in back.items() if n in features.columns})
+    return rounded(lower_medians(known, list(_MEDIAN_INPUTS)))
+
+
 def _entries(vectors: DataFrame, key: str, size: int) -> DataFrame:
     """The vector as columns ``x0, x1, ...``."""
     entries = vector_to_array("features")
@@ -165,14 +191,44 @@ def fraud_report(spark, folder):
 
 @query("ml_10_feature_importances")
 def feature_importances(spark, folder):
-    forest = _fraud(spark, folder).models["Random Forest"]
+    """From the tables of nodes: weighted gains, each tree counting the same."""
     category, _ = _category(spark, folder)
     amount, _ = _amount(spark, folder)
-    return (
-        models.feature_importances(forest, models.FRAUD_FEATURES, "fraud")
-        .unionByName(models.feature_importances(category, models.CATEGORY_FEATURES, "category"))
-        .unionByName(models.feature_importances(amount, models.AMOUNT_FEATURES, "amount"))
-    )
+    lines = trees.importances(_forest_nodes(spark, folder), models.FRAUD_FEATURES, "fraud")
+    for model, inputs, name in (
+        (category, models.CATEGORY_FEATURES, "category"),
+        (amount, models.AMOUNT_FEATURES, "amount"),
+    ):
+        nodes = trees.tree_nodes(model, inputs, spark)
+        lines = lines.unionByName(trees.importances(nodes, inputs, name))
+    return lines
+
+
+def _forest_nodes(spark, folder) -> DataFrame:
+    forest = _fraud(spark, folder).models["Random Forest"]
+    return trees.tree_nodes(forest, models.FRAUD_FEATURES, spark)
+
+
+@query("ml_05_random_forest_nodes")
+def random_forest_nodes(spark, folder):
+    return _forest_nodes(spark, folder)
+
+
+@query("ml_06_boosted_tree_nodes")
+def boosted_tree_nodes(spark, folder):
+    return trees.tree_nodes(_fraud(spark, folder).models["GBT"], models.FRAUD_FEATURES, spark)
+
+
+@query("ml_06_boosted_tree_importances")
+def boosted_tree_importances(spark, folder):
+    nodes = boosted_tree_nodes(spark, folder)
+    return trees.importances(nodes, models.FRAUD_FEATURES, "boosted", per_tree=False)
+
+
+@query("ml_04_weights")
+def logistic_weights(spark, folder):
+    """The fitted weights, and whether the objective rises on both sides of each."""
+    return once(spark, folder, "weights", lambda: models.logistic_check(_fraud(spark, folder)))
 
 
 @query("ml_11_segment_sweep")
@@ -281,6 +337,175 @@ def rule_fraud_report(spark, folder):
     return rounded(models.classification_report(confusion, models.LABEL_NAMES))
 
 
+_RATED = """, rated AS (
+  SELECT 'amount' AS model, is_fraud AS y, floor(amount / 20) AS s, amount > 150 AS p FROM tx
+  UNION ALL SELECT 'amount scaled', is_fraud, 2 * floor(amount / 20) + 1, amount > 150 FROM tx
+  UNION ALL SELECT 'hour', is_fraud, CAST(hour(transaction_ts) AS DOUBLE), hour(transaction_ts) >= 12 FROM tx),
+counted AS (SELECT model, s, sum(y) AS pos, sum(1 - y) AS neg FROM rated GROUP BY ALL),
+curve AS (
+  SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp,
+         sum(pos) OVER (PARTITION BY model) AS all_pos, sum(neg) OVER (PARTITION BY model) AS all_neg
+  FROM counted WINDOW w AS (PARTITION BY model ORDER BY s DESC)),
+points AS (SELECT *, tp / (tp + fp) AS precision, lag(tp / (tp + fp)) OVER (PARTITION BY model ORDER BY s DESC) AS last FROM curve),
+areas AS (
+  SELECT model, sum(neg * (tp - pos / 2)) / max(all_pos * all_neg) AS auc_roc,
+         sum(pos / all_pos * (precision + coalesce(last, precision)) / 2) AS auc_pr
+  FROM points GROUP BY model),
+sides AS (
+  SELECT model, c, count(*) FILTER (y = c) AS support, count(*) FILTER (CAST(p AS INT) = c) AS claimed,
+         count(*) FILTER (y = c AND CAST(p AS INT) = c) AS hits
+  FROM rated, (VALUES (0), (1)) t(c) GROUP BY ALL),
+f AS (SELECT model, sum(support * 2 * hits / (support + claimed)) / sum(support) AS f1 FROM sides GROUP BY model)
+"""
+
+
+def _rated(spark, folder) -> DataFrame:
+    """Transactions scored by three rules; two of them rank alike, all have ties."""
+    tx = stored_transactions(spark, folder)
+    level, hour = F.floor(F.col("amount") / 20), F.hour("transaction_ts")
+    rules = (
+        ("amount", level, F.col("amount") > 150),
+        ("amount scaled", 2 * level + 1, F.col("amount") > 150),
+        ("hour", hour, hour >= 12),
+    )
+    entries = [
+        F.struct(
+            F.lit(name).alias("model"), score.cast("double").alias("score"), flag.cast("int").alias("prediction")
+        )
+        for name, score, flag in rules
+    ]
+    return tx.select("is_fraud", F.inline(F.array(*entries)))
+
+
+@query(
+    "ml_07_rule_scores",
+    on_tx(
+        _RATED
+        + """SELECT model, round(auc_roc, 6) AS auc_roc, round(auc_pr, 6) AS auc_pr, round(f1, 6) AS f1
+FROM areas JOIN f USING (model)"""
+    ),
+)
+def rule_scores(spark, folder):
+    return rounded(evaluation.classifier_scores(_rated(spark, folder)))
+
+
+@query(
+    "srt_03_best_rule",
+    on_tx(
+        _RATED
+        + "SELECT model, round(auc_roc, 6) AS auc_roc FROM areas ORDER BY round(auc_roc, 9) DESC, model LIMIT 1"
+    ),
+)
+def best_rule(spark, folder):
+    """Two rules tie for the highest area; the smaller name wins."""
+    scores = rounded(evaluation.classifier_scores(_rated(spark, folder)), 9)
+    return rounded(models.best_by(scores, "model", "auc_roc"))
+
+
+_SCALED = CARD_PROFILES + ", scaled AS (SELECT CAST(card_id AS BIGINT) AS id, [" + ", ".join(
+    f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER ()" for c in models.SEGMENT_FEATURES
+) + """] AS x FROM complete),
+pairs AS (SELECT a.id AS i, b.id AS j, list_sum([(a.x[d] - b.x[d]) ** 2 for d in range(1, 11)]) AS dist
+  FROM scaled a, scaled b),
+means AS (
+  SELECT k, i, i % k AS own, j % k AS other, sum(dist) AS total, count(*) AS n
+  FROM pairs, range(2, 8) r(k) GROUP BY ALL),
+sides AS (
+  SELECT k, i, max(CASE WHEN own = other AND n > 1 THEN total / (n - 1) END) AS near,
+         min(CASE WHEN own <> other THEN total / n END) AS far,
+         max(CASE WHEN own = other THEN total / (2 * n) END) AS inertia
+  FROM means GROUP BY ALL),
+sweep AS (
+  SELECT CAST(k AS INT) AS k, avg(coalesce((far - near) / nullif(greatest(far, near), 0), 0)) AS silhouette,
+         sum(inertia) AS wcss FROM sides GROUP BY k)
+"""
+
+
+def _rule_sweep(spark, folder) -> DataFrame:
+    """Cards dealt to 2 to 7 segments by their number."""
+    ks = range(2, 8)
+    card = F.col("card_id").cast("bigint")
+    pairs = [F.struct(F.lit(k).alias("k"), (card % k).cast("int").alias("segment")) for k in ks]
+    cards = _cards(spark, folder).select(vector_to_array("features").alias("x"), F.inline(F.array(*pairs)))
+    return evaluation.segment_quality(cards, len(models.SEGMENT_FEATURES))
+
+
+@query(
+    "ml_11_rule_sweep",
+    on_features(_SCALED + "SELECT k, round(silhouette, 6) AS silhouette, round(wcss, 4) AS wcss FROM sweep"),
+)
+def rule_sweep(spark, folder):
+    """Quality of given segments; the reference statement compares all pairs of cards."""
+    return rounded(_rule_sweep(spark, folder), wcss=4)
+
+
+@query(
+    "srt_03_best_rule_segment_count",
+    on_features(
+        _SCALED
+        + "SELECT k, round(silhouette, 6) AS silhouette FROM sweep ORDER BY sweep.silhouette DESC, k LIMIT 1"
+    ),
+)
+def best_rule_segment_count(spark, folder):
+    return rounded(models.best_by(_rule_sweep(spark, folder), "k", "silhouette"))
+
+
+_WEIGHTS = {"amount_log1p": 0.8, "tx_hour": -0.02, "tx_is_weekend": 0.3, "gender_bin": 0.1}
+
+
+@query(
+    "ml_04_rule_objective",
+    on_features(
+        """, tried AS (
+  SELECT 'given' AS name, -4.0::DOUBLE AS b, [0.8, -0.02, 0.3, 0.1]::DOUBLE[] AS c
+  UNION ALL SELECT 'zero', 0.0, [0.0, 0.0, 0.0, 0.0]::DOUBLE[]),
+scaled AS (
+  SELECT is_fraud AS y, [amount_log1p, tx_hour, tx_is_weekend, gender_encoded]::DOUBLE[] AS x,
+         CASE is_fraud WHEN 1 THEN n / (2.0 * ones) ELSE n / (2.0 * (n - ones)) END AS w
+  FROM fx, (SELECT count(*)::DOUBLE AS n, sum(is_fraud)::DOUBLE AS ones FROM fx)),
+margins AS (
+  SELECT *, b + list_dot_product(c, x) AS m FROM scaled, tried),
+spread AS (
+  SELECT d, (sum(w * x[d] * x[d]) - sum(w * x[d]) * sum(w * x[d]) / sum(w)) / (sum(w) - sum(w * w) / sum(w)) AS variance
+  FROM scaled, range(1, 5) r(d) GROUP BY d),
+losses AS (
+  SELECT name, c, sum(w * CASE y WHEN 1 THEN ln(1 + exp(-m)) ELSE ln(1 + exp(m)) END) / sum(w) AS loss
+  FROM margins GROUP BY ALL),
+pulls AS (
+  SELECT name, d, sum(w * (1 / (1 + exp(-m)) - y) * x[d]) / sum(w) AS pull
+  FROM margins, range(1, 5) r(d) GROUP BY ALL)
+SELECT name, round(any_value(loss), 6) AS loss,
+       round(any_value(loss) + 0.005 * sum(c[d] * c[d] * variance), 6) AS objective,
+       round(max(pull + 0.01 * c[d] * variance) FILTER (d = 1), 5) AS gradient_of_amount,
+       round(max(pull + 0.01 * c[d] * variance) FILTER (d = 2), 5) AS gradient_of_hour
+FROM losses JOIN pulls USING (name) JOIN spread USING (d) GROUP BY name"""
+    ),
+)
+def rule_objective(spark, folder):
+    """Loss, objective and gradient of given weights on all rows."""
+    inputs = list(_WEIGHTS)
+    rows = (
+        models.rename_for_models(built_features(spark, folder))
+        .transform(with_class_weight)
+        .select(
+            "is_fraud", "class_weight", F.array(*[F.col(c).cast("double") for c in inputs]).alias("x")
+        )
+    )
+    candidates = [("given", -4.0, list(_WEIGHTS.values())), ("zero", 0.0, [0.0] * len(inputs))]
+    found = evaluation.logistic_objective(rows, candidates, len(inputs), 0.01)
+    return rounded(
+        found.select(
+            "name",
+            "loss",
+            "objective",
+            F.col("gradient")[0].alias("gradient_of_amount"),
+            F.col("gradient")[1].alias("gradient_of_hour"),
+        ),
+        gradient_of_amount=5,
+        gradient_of_hour=5,
+    )
+
+
 _CATEGORY_CELLS = """, uses AS (
   SELECT category, row_number() OVER (ORDER BY count(*) DESC, category) - 1 AS idx, count(*) OVER () AS labels
   FROM tx GROUP BY category),

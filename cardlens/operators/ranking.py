@@ -75,6 +75,65 @@ def running_counts(counts: DataFrame, value: str, by: tuple[str, ...] = ()) -> D
     )
 
 
+def running_sums(
+    levels: DataFrame, value: str, sums: list[str], by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Adds ``before_*, upto_*, total_*`` of the columns ``sums`` to distinct values of a group.
+
+    Sums below the value, up to and including it, and of the group, as :func:`running_counts`
+    has them for rows. ``levels`` is read twice after one sort; ``by`` must be a handful of
+    groups.
+    """
+    parts = sorted_parts(levels, *by, value)
+    keys = [F.col(c) for c in by] or [F.lit(0)]
+    ahead = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (  # a row for each group and part that holds it
+        parts.groupBy(*by, "part")
+        .agg(*[F.sum(c).alias(c) for c in sums])
+        .select(
+            *[F.col(c).alias(f"{c}_of_part") for c in by],
+            F.col("part").alias("part_id"),
+            *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"offset_{c}") for c in sums],
+            *[F.sum(c).over(Window.partitionBy(*keys)).alias(f"total_{c}") for c in sums],
+        )
+    )
+    matches = F.col("part") == F.col("part_id")
+    for c in by:
+        matches = matches & F.col(c).eqNullSafe(F.col(f"{c}_of_part"))
+    inside = (
+        Window.partitionBy(*by, "part")
+        .orderBy("place")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    upto = {f"upto_{c}": F.col(f"offset_{c}") + F.sum(c).over(inside) for c in sums}
+    return (
+        parts.join(offsets, matches)
+        .withColumns(upto)
+        .select(
+            *by,
+            value,
+            *sums,
+            *[(F.col(f"upto_{c}") - F.col(c)).alias(f"before_{c}") for c in sums],
+            *upto,
+            *[f"total_{c}" for c in sums],
+        )
+    )
+
+
+def lower_medians(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``column_name, median``: the exact lower median of each column's known values.
+
+    The columns are read side by side as (column, value) rows, counted, and sorted once by
+    column and value. NULL and NaN are not values; a column without any has no row.
+    """
+    entries = [
+        F.struct(F.lit(c).alias("column_name"), F.nanvl(F.col(c).cast("double"), F.lit(None)).alias("value"))
+        for c in columns
+    ]
+    counts = value_counts(df.select(F.inline(F.array(*entries))), "value", ("column_name",))
+    return quantiles(counts, "value", {"median": 0.5}, ("column_name",), discrete=True)
+
+
 def _value_at(position: Column, value: str) -> Column:
     """Aggregate that picks the value at a 0-based sorted position."""
     holds = (F.col("before") <= position) & (position < F.col("upto"))
