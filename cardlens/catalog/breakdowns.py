@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.catalog.registry import FINE, query, rounded
@@ -416,23 +417,48 @@ def fitted_trend(spark, folder):
     return rounded(portfolio.with_trend(fitted, "fraud_rate_pct", "fraud_trend"), 3)
 
 
-@query(
-    "agg_31_gender_by_category",
-    on_features(
-        """, top AS (SELECT category FROM fx GROUP BY category ORDER BY count(*) DESC, category LIMIT 6),
+_PEOPLE = """, top AS (SELECT category FROM fx GROUP BY category ORDER BY count(*) DESC, category LIMIT 6),
 people AS (
   SELECT category, amount_log1p, CASE WHEN CAST(transaction_id AS BIGINT) % 11 = 0 THEN 'X'
          WHEN CAST(transaction_id AS BIGINT) % 13 = 0 THEN NULL ELSE gender END AS gender FROM fx)
-SELECT category, gender, round(avg(amount_log1p), 2) AS avg_amount_log1p
+"""
+
+
+@query(
+    "agg_31_gender_by_category",
+    on_features(
+        _PEOPLE
+        + """SELECT category, gender, round(avg(amount_log1p), 2) AS avg_amount_log1p
 FROM people WHERE category IN (SELECT category FROM top) GROUP BY category, gender"""
     ),
 )
 def gender_by_category(spark, folder):
     """With a third gender and missing ones among the rows."""
+    return E.gender_by_top_category(_people(spark, folder))
+
+
+@query(
+    "agg_31_gender_pivot",
+    on_features(
+        _PEOPLE
+        + "SELECT category, "
+        + ", ".join(
+            f'round(avg(amount_log1p) FILTER (coalesce(gender, \'missing\') = \'{g}\'), 2) AS "{g}"'
+            for g in ("F", "M", "X", "missing")
+        )
+        + " FROM people WHERE category IN (SELECT category FROM top) GROUP BY category"
+    ),
+)
+def gender_pivot(spark, folder):
+    """The report as a table with a column for each gender."""
+    return E.gender_pivot(_people(spark, folder))
+
+
+def _people(spark, folder) -> DataFrame:
     number = F.col("transaction_id").cast("bigint")
     gender = F.when(number % 11 == 0, "X").when(number % 13 != 0, F.col("gender"))
     df = transactions(spark, folder).transform(features_ops.add_amount_shape)
-    return E.gender_by_top_category(df.withColumn("gender", gender))
+    return df.withColumn("gender", gender)
 
 
 @query(

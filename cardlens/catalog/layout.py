@@ -143,3 +143,22 @@ def planned_fraud_counts(spark, folder):
 )
 def salted_totals(spark, folder):
     return rounded(layout.salted_totals(order_lines(spark, folder), ["category"], "amount"), total=2)
+
+
+@query(
+    "lay_06_heavy_key_totals",
+    on_orders(
+        """, counted AS (
+  SELECT category, count(*) AS n, sum(amount) AS total, avg(amount) AS mean FROM tx_orders GROUP BY category)
+SELECT category, CAST(greatest(ceil(n * 16.0 / sum(n) OVER () / 0.5), 1) AS INT) AS slices, CAST(n AS BIGINT) AS tx_count,
+       round(total, 2) AS total, round(mean, 6) AS mean FROM counted"""
+    ),
+)
+def heavy_key_totals(spark, folder):
+    """Totals per category; only categories above half a task's rows are cut, for 16 tasks.
+
+    There are far fewer categories than counters in a row of the sketch, so its estimates are
+    the counts unless two categories share a counter in all four rows.
+    """
+    totals = layout.heavy_key_totals(order_lines(spark, folder), ["category"], "amount", tasks=16)
+    return rounded(totals, total=2)

@@ -14,6 +14,7 @@ from cardlens.functions import measures as M
 from cardlens.operators.joins import in_band_order
 from cardlens.operators.ranking import quantiles, value_counts
 from cardlens.operators.selection import in_top_groups, with_at_least, with_label
+from cardlens.session import settled
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -243,6 +244,17 @@ def gender_by_top_category(df: DataFrame, k: int = 6) -> DataFrame:
     )
 
 
+def gender_pivot(df: DataFrame, k: int = 6, missing: str = "missing") -> DataFrame:
+    """The same means with a column for each gender that occurs.
+
+    The genders are found first, on the aggregated rows, so none is left out; NULL gets the
+    column ``missing``.
+    """
+    long = settled(gender_by_top_category(df, k).withColumn("gender", F.coalesce("gender", F.lit(missing))))
+    genders = [r["gender"] for r in long.select("gender").distinct().orderBy("gender").collect()]
+    return long.groupBy("category").pivot("gender", genders).agg(F.max("avg_amount_log1p")).orderBy("category")
+
+
 def by_category_and_state(df: DataFrame) -> DataFrame:
     return df.groupBy("category", "state").agg(
         M.rows(),

@@ -13,10 +13,6 @@ from cardlens.operators.selection import select_features
 from cardlens.session import settled
 
 
-#: Parts that a card's rows without a time are joined in.
-MISSING_SLICES = 32
-
-
 def _has(df: DataFrame, *columns: str) -> bool:
     return set(columns) <= set(df.columns)
 
@@ -123,30 +119,51 @@ def add_velocity(df: DataFrame, lookback: int = 3600) -> DataFrame:
     The join key is (card, second), and the right side is unique on it, so a busy
     card is spread over many keys and adaptive skew handling can split the rest. Rows
     without a second see each other, as in a range window; all those of a card share one
-    key, so they are cut into ``MISSING_SLICES`` by their id.
+    key, so a card with many of them is cut into slices by their number.
     """
     if not _has(df, "card_id", "tx_unix", "amount", "transaction_id"):
         return df
-    missing = F.sequence(F.lit(0), F.lit(MISSING_SLICES - 1))
-    velocity = card_velocity(df, lookback).select(
-        F.col("card_id").alias("v_card"),
-        F.col("tx_unix").alias("v_second"),
-        "card_tx_count_1h",
-        "card_amount_sum_1h",
-        F.explode(F.when(F.col("tx_unix").isNull(), missing).otherwise(F.array(F.lit(0)))).alias(
-            "v_slice"
-        ),
+    slices = F.broadcast(_untimed_slices(df))
+    untimed = F.col("tx_unix").isNull() & F.col("card_id").eqNullSafe(F.col("untimed_card"))
+    cut = F.coalesce("slices", F.lit(1))
+    velocity = (
+        card_velocity(df, lookback)
+        .join(slices, untimed, "left")
+        .select(
+            F.col("card_id").alias("v_card"),
+            F.col("tx_unix").alias("v_second"),
+            "card_tx_count_1h",
+            "card_amount_sum_1h",
+            F.explode(F.sequence(F.lit(0), cut - 1)).alias("v_slice"),
+        )
     )
-    anywhere = F.pmod(F.xxhash64("transaction_id"), F.lit(MISSING_SLICES)).cast("int")
     same = (
         F.col("card_id").eqNullSafe(F.col("v_card"))
         & F.col("tx_unix").eqNullSafe(F.col("v_second"))
         & (F.col("slice") == F.col("v_slice"))
     )
-    sliced = df.withColumn("slice", F.when(F.col("tx_unix").isNull(), anywhere).otherwise(0))
+    sliced = df.join(slices, untimed, "left").select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.pmod(F.xxhash64("transaction_id"), cut).cast("int").alias("slice"),
+    )
     return sliced.join(velocity, same, "left").drop("v_card", "v_second", "v_slice", "slice")
 
 
+def _untimed_slices(df: DataFrame) -> DataFrame:
+    """``untimed_card, slices`` of cards with more rows without a time than half a task's share.
+
+    Fewer than two cards for each task can have so many, which bounds the table.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = settled(
+        df.where("tx_unix IS NULL").groupBy("card_id").agg(F.count(F.lit(1)).alias("n"))
+    )
+    share = F.col("n") * (2.0 * tasks) / counts.agg(F.sum("n")).scalar()
+    return counts.where(share > 1).select(
+        F.col("card_id").alias("untimed_card"), F.ceil(share).cast("int").alias("slices")
+    )
+
+
 def add_cardholder(df: DataFrame) -> DataFrame:
     added = {}
     if _has(df, "dob", "transaction_ts"):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.functions import measures as M
@@ -57,20 +57,29 @@ def null_report(df: DataFrame) -> DataFrame:
     )
 
 
-def audit(df: DataFrame, high: float = 1000.0) -> DataFrame:
-    """Missing, non-positive and high amounts plus frauds, with shares of all rows.
-
-    A conditional aggregate stays exact when a task is retried; side-effect
-    counters do not.
-    """
+def audit_counts(high: float = 1000.0) -> list[Column]:
+    """The counts of :func:`audit`, as aggregates; a write can observe them, too."""
     amount = F.col("amount")
-    counts = df.agg(
+    return [
         M.rows("row_count"),
         F.count_if(amount.isNull()).alias("null_amount"),
         F.count_if(amount <= 0).alias("non_positive_amount"),
         F.count_if((amount > 0) & (amount > high)).alias("high_amount"),
         F.count_if(F.col("is_fraud") == 1).alias("fraud_count"),
-    )
+    ]
+
+
+def audit(df: DataFrame, high: float = 1000.0) -> DataFrame:
+    """Missing, non-positive and high amounts plus frauds, with shares of all rows.
+
+    A conditional aggregate stays exact when a task is retried; side-effect
+    counters do not.
+    """
+    return with_shares(df.agg(*audit_counts(high)))
+
+
+def with_shares(counts: DataFrame) -> DataFrame:
+    """Counts of :func:`audit_counts` with the shares of high amounts and of frauds."""
     return counts.withColumns(
         {
             "high_pct": F.try_divide("high_amount", "row_count") * 100,

@@ -8,10 +8,10 @@ from math import ceil
 from typing import TypeVar
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.session import scratch_released
+from cardlens.session import scratch_released, settled
 
 Result = TypeVar("Result")
 
@@ -135,3 +135,73 @@ def salted_totals(
         F.sum("part").alias("total"),
         F.try_divide(F.sum("part"), F.sum("known")).alias("mean"),
     )
+
+
+#: Rows and counters of a count-min sketch; heavy keys are those above a share of a task.
+SKETCH_ROWS, SKETCH_WIDTH = 4, 1 << 12
+HEAVY_SHARE = 0.5
+
+
+def key_sketch(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row ``counters``: a count-min sketch of the rows of each key.
+
+    Every row adds 1 to a counter in each of ``SKETCH_ROWS`` rows of ``SKETCH_WIDTH`` counters;
+    tasks add up their own before the shuffle, and what meets is as small as the sketch,
+    however many keys there are.
+    """
+    slots = df.select(F.explode(F.array(*_slots(keys))).alias("slot"))
+    counts = slots.groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
+    every = df.sparkSession.range(SKETCH_ROWS * SKETCH_WIDTH).select(F.col("id").cast("int").alias("slot"))
+    filled = every.join(F.broadcast(counts), "slot", "left").select("slot", F.coalesce("n", F.lit(0)).alias("n"))
+    ordered = F.array_sort(F.collect_list(F.struct("slot", "n")))
+    return filled.agg(F.transform(ordered, lambda s: s["n"]).alias("counters"))
+
+
+def _slots(keys: list[str]) -> list[Column]:
+    """The places of a key's counters in the sketch, one in each of its rows."""
+    return [
+        (F.pmod(F.xxhash64(F.lit(r), *keys), F.lit(SKETCH_WIDTH)) + r * SKETCH_WIDTH).cast("int")
+        for r in range(SKETCH_ROWS)
+    ]
+
+
+def with_key_slices(
+    df: DataFrame, keys: list[str], tasks: int, name: str = "slices"
+) -> DataFrame:
+    """Adds in how many slices a row's key should be cut, by its volume; most get 1.
+
+    A key's rows are estimated from the sketch, never too low. Keys above ``HEAVY_SHARE`` of a
+    task's mean rows are heavy and are cut in proportion. All rows of a key get the same number.
+    """
+    counters = settled(key_sketch(df, keys))
+    total = counters.select(F.aggregate(F.slice("counters", 1, SKETCH_WIDTH), F.lit(0).cast("long"), lambda a, n: a + n)).scalar()
+    values = counters.scalar()
+    estimate = F.least(*[F.get(values, slot) for slot in _slots(keys)])
+    slices = F.ceil(F.try_divide(estimate * F.lit(float(tasks)), total) / HEAVY_SHARE)
+    return df.withColumn(name, F.greatest(slices, F.lit(1)).cast("int"))
+
+
+def heavy_key_totals(
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    tasks: int | None = None,
+    spread_by: str = "transaction_id",
+) -> DataFrame:
+    """Count, sum and mean per key, and the ``slices`` that the key was summed in.
+
+    Like :func:`salted_totals`, but only heavy keys are cut, in proportion to their volume; the
+    others take one slice and their partial rows are not multiplied.
+    """
+    if tasks is None:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = with_key_slices(df, keys, tasks)
+    sliced = cut.withColumn("slice", F.pmod(F.xxhash64(spread_by), "slices"))
+    partial = sliced.groupBy(*keys, "slices", "slice").agg(
+        F.count(F.lit(1)).alias("n"), F.count(value).alias("known"), F.sum(value).alias("part")
+    )
+    return partial.groupBy(*keys, "slices").agg(
+        F.sum("n").alias("tx_count"),
+        F.sum("part").alias("total"),
+        F.try_divide(F.sum("part"), F.sum("known")).alias("mean"),
+    )
