@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from hashlib import sha256
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -52,25 +53,34 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: A word of weight 1, or a word and its weight.
+Pair = str | tuple[str, int]
+
+
+def _pairs(weights: Counter[str]) -> list[Pair]:
+    return [w if n == 1 else (w, n) for w, n in weights.items()]
+
+
 class Sampler:
     """Draws samples of weighted terms."""
 
     def __init__(self, samples: int = SAMPLES, kept: int = KEPT) -> None:
         self.samples = samples
-        self.place: dict[tuple[str, int], int] = {}
+        self.place: dict[Pair, int] = {}
         self.values = np.empty((kept, samples), np.uint64)
         steps = np.arange(1, 3 * samples + 1, dtype=np.uint64).reshape(3, samples)
         self.steps = steps * np.uint64(0x9E3779B97F4A7C15)
 
-    def draw(self, keys: list[tuple[str, int]]) -> np.ndarray:
+    def draw(self, keys: list[Pair]) -> np.ndarray:
         """For each (word, weight) and sample: its value, then what the sample would be.
 
         With r and c from Gamma(2, 1), b uniform and t = floor(ln(weight) / r + b), the value
         is ln(c) - r (t - b + 1). It fills the upper 32 bits, in an order that integers keep;
         the lower ones tell the word and t.
         """
-        seeds = np.array([xxhash.xxh64_intdigest(w.encode(), 0) for w, _ in keys], np.uint64)
-        weights = np.log(np.array([n for _, n in keys], np.float32))[:, None]
+        pairs = [(k, 1) if isinstance(k, str) else k for k in keys]
+        seeds = np.array([xxhash.xxh64_intdigest(w.encode(), 0) for w, _ in pairs], np.uint64)
+        weights = np.log(np.array([n for _, n in pairs], np.float32))[:, None]
         bits = _mixed(seeds[:, None, None] + self.steps)
         scale = np.float32(2**-24)
         high = ((bits >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) * scale
@@ -85,7 +95,7 @@ class Sampler:
         names = _mixed(seeds[:, None] + t.astype(np.int64).astype(np.uint64)) >> np.uint64(32)
         return (ordered << np.uint64(32)) | names
 
-    def _rows(self, keys: list[tuple[str, int]]) -> list[int]:
+    def _rows(self, keys: list[Pair]) -> list[int]:
         rows = list(map(self.place.get, keys))
         if None in rows:
             new = list(dict.fromkeys(k for k, row in zip(keys, rows) if row is None))
@@ -100,24 +110,23 @@ class Sampler:
             rows = list(map(self.place.__getitem__, keys))
         return rows
 
-    def fingerprints(self, texts: list[str]) -> np.ndarray:
-        """A row of 16-bit samples for each text."""
-        least = np.full((len(texts), self.samples), ~np.uint64(0), np.uint64)
-        keys: list[tuple[str, int]] = []
-        owners: list[tuple[int, int]] = []  # the text and where its keys end
+    def least(self, groups: list[list[Pair]]) -> np.ndarray:
+        """For each group of (word, weight) pairs and sample, the least value."""
+        least = np.full((len(groups), self.samples), ~np.uint64(0), np.uint64)
+        keys: list[Pair] = []
+        owners: list[tuple[int, int]] = []  # the group and where its keys end
 
         def flush() -> None:
             rows = np.array(self._rows(keys), np.intp)
             begin = 0
-            for text, end in owners:
+            for group, end in owners:
                 part = self.values[rows[begin:end]].min(axis=0)
-                np.minimum(least[text], part, out=least[text])
+                np.minimum(least[group], part, out=least[group])
                 begin = end
             keys.clear()
             owners.clear()
 
-        for i, text in enumerate(texts):
-            own = list(terms(text).items())
+        for i, own in enumerate(groups):
             for begin in range(0, len(own), BLOCK):
                 part = own[begin : begin + BLOCK]
                 if keys and len(keys) + len(part) > BLOCK:
@@ -126,10 +135,43 @@ class Sampler:
                 owners.append((i, len(keys)))
         if keys:
             flush()
+        return least
+
+    def _samples(self, least: np.ndarray) -> np.ndarray:
         names = (least & np.uint64(0xFFFFFFFF)) % np.uint64(NOTHING)
         names[least[:, 0] == ~np.uint64(0)] = NOTHING
         return names.astype(np.uint16)
 
+    def fingerprints(self, texts: list[str]) -> np.ndarray:
+        """A row of 16-bit samples for each text."""
+        return self._samples(self.least([_pairs(terms(text)) for text in texts]))
+
+    def edited_fingerprints(
+        self, texts: list[str], followings: list[str | None]
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The fingerprints of texts and of their edited texts.
+
+        A minimum is taken once over the weighted words that an edit leaves as they are, then
+        over those of either text whose count it may have changed.
+        """
+        groups = []
+        for text, following in zip(texts, followings):
+            cut, tail = _edit(text, following)
+            safe = text.rfind(" ", 0, cut)  # words before it are the same in both
+            if safe < 0 or not _WORDS(text[:safe].lower()):
+                groups += [[], _pairs(terms(text)), _pairs(terms(text[:cut] + tail))]
+                continue
+            kept = Counter(_WORDS(text[:safe].lower()))
+            rests = [Counter(_WORDS(rest.lower())) for rest in (text[safe:], text[safe:cut] + tail)]
+            changed = rests[0].keys() | rests[1].keys()
+            groups.append([w if n == 1 else (w, n) for w, n in kept.items() if w not in changed])
+            for rest in rests:
+                counts = ((w, kept[w] + rest[w]) for w in changed)
+                groups.append([w if n == 1 else (w, n) for w, n in counts if n])
+        least = self.least(groups)
+        shared = least[::3]
+        return tuple(self._samples(np.minimum(shared, least[i::3])) for i in (1, 2))
+
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """The share of equal samples, an estimate of generalised Jaccard similarity."""
@@ -143,52 +185,80 @@ def written(samples: np.ndarray) -> str:
 
 def edited_text(text: str, following: str | None) -> str:
     """``text`` with its last quarter replaced by as much of the beginning of ``following``."""
+    cut, tail = _edit(text, following)
+    return text[:cut] + tail
+
+
+def _edit(text: str, following: str | None) -> tuple[int, str]:
+    """Where the edited text departs from ``text``, and what stands there instead."""
     quarter = len(text) // 4
-    return text[: len(text) - quarter] + (following or "")[:quarter]
+    return len(text) - quarter, (following or "")[:quarter]
 
 
 def _neighbours(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``bucket, copied, id, text``, sorted by these within each partition, a bucket in one.
 
-    Buckets are ranges of ids with about equal rows. The first rows of a bucket are copied to
-    the end of the bucket before (the first bucket's to the last one), so that each row's
+    Buckets are ranges of ids and hashes of the text with about equal rows, as Spark samples
+    them for a sort of these alone. Where each begins, 16 bytes a bucket, goes to the workers
+    beside the plan, which does not grow with the buckets. The first row of a bucket is copied
+    to the end of the bucket before (the first bucket's to the last one), so that each row's
     successor stands in its own bucket. Rows without an id are spread by their text over
     buckets of their own, with negative numbers.
     """
     spark = df.sparkSession
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = df.select(named(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    shares = [i / buckets for i in range(1, buckets)] or [0.5]
-    cuts = rows.agg(
-        F.min("id").alias("first"), F.percentile_approx("id", shares, 100 * buckets).alias("cuts")
-    ).first()
-    if cuts["first"] is None:
-        bounds = [0]
-    else:
-        bounds = sorted({cuts["first"], *cuts["cuts"]}) if buckets > 1 else [cuts["first"]]
-    # the bucket is the last bound that is not above the id: first among every 64th, then near it
-    coarse, fine = F.array(*map(F.lit, bounds[::64])), F.array(*map(F.lit, bounds))
-    block = F.size(F.filter(coarse, lambda b: b <= F.col("id"))) - 1
-    near = F.slice(fine, block * 64 + 1, 64)
-    number = block * 64 + F.size(F.filter(near, lambda b: b <= F.col("id"))) - 1
-    last = len(bounds) - 1
+    text = text_of(text_col)
+    rows = df.select(
+        named(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text")
+    )
+    begins = (
+        rows.where("id IS NOT NULL")
+        .select("id", "h")
+        .repartitionByRange(buckets, "id", "h")
+        .groupBy(F.spark_partition_id())
+        .agg(F.min(F.struct("id", "h")).alias("begin"))
+        .select("begin.*")
+        .collect()  # a row for each bucket
+    )
+    n = max(1, len(begins))
+    shared = spark.sparkContext.broadcast(np.array(sorted(map(tuple, begins)) or [(0, 0)], np.int64))
+
+    @F.pandas_udf("long")
+    def place(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        """Twice the bucket of each row, and 1 more where the bucket begins with it."""
+        firsts, marks = shared.value[:, 0], shared.value[:, 1]
+        i, h = ids.fillna(0).to_numpy(np.int64), hashes.to_numpy(np.int64)
+        low, high = np.searchsorted(firsts, i), np.searchsorted(firsts, i, "right")
+        number = high - 1
+        for at in np.unique(low[low < high]):  # the few ids that a bucket begins with
+            of = (low == at) & (low < high)
+            number[of] = at - 1 + np.searchsorted(marks[at : high[of][0]], h[of], "right")
+        begin = (number >= 0) & (firsts[number] == i) & (marks[number] == h)
+        return pd.Series(2 * number + begin)
+
+    alone = (-1 - F.pmod(F.col("h"), F.lit(buckets))).cast("int")
+    placed = rows.withColumn("place", place("id", "h"))
+    known = F.col("id").isNotNull()
+    numbered = placed.withColumns(
+        {
+            "number": F.when(known, F.shiftright("place", 1).cast("int")).otherwise(alone),
+            "is_begin": known & (F.col("place").bitwiseAND(F.lit(1)) == 1),
+        }
+    )
     own = F.struct(F.col("number").alias("bucket"), F.lit(0).alias("copied"))
-    before = F.when(F.col("number") == 0, last).otherwise(F.col("number") - 1)
+    before = F.when(F.col("number") == 0, n - 1).otherwise(F.col("number") - 1)
     copy = F.struct(before.alias("bucket"), F.lit(1).alias("copied"))
-    alone = (-1 - F.pmod(F.xxhash64("text"), F.lit(buckets))).cast("int")
-    numbered = rows.withColumn(
-        "number", F.when(F.col("id").isNull(), alone).otherwise(number.cast("int"))
-    )
-    is_bound = F.coalesce(F.try_element_at(fine, F.col("number") + 1) == F.col("id"), F.lit(False))
     return (
         numbered.select(
-            F.explode(F.when(is_bound, F.array(own, copy)).otherwise(F.array(own))).alias("to"),
+            F.explode(F.when(F.col("is_begin"), F.array(own, copy)).otherwise(F.array(own))).alias("to"),
             "id",
+            "h",
             "text",
         )
-        .select("to.bucket", "to.copied", "id", "text")
-        .repartitionById(len(bounds), F.pmod(F.col("bucket"), F.lit(len(bounds))).cast("int"))
-        .sortWithinPartitions("bucket", "copied", "id", "text")
+        .select("to.bucket", "to.copied", "id", "h", "text")
+        .repartitionById(n, F.pmod(F.col("bucket"), F.lit(n)).cast("int"))
+        .sortWithinPartitions("bucket", "copied", "id", "h", "text")
+        .select("bucket", "copied", "id", "text")
     )
 
 
@@ -197,8 +267,8 @@ def fingerprint_edits(
 ) -> DataFrame:
     """Fingerprints of every whole text and of its edited text, and their likenesses.
 
-    The edited text ends in the beginning of the next row's, by ascending id, then text; the
-    row after the last is the first. A row without an id has no next row: nothing replaces its
+    The edited text ends in the beginning of the next row's, by ascending id, then a hash of the
+    text; the row after the last is the first. A row without an id has no next row: nothing replaces its
     last quarter and ``near_next`` is 0. A text without words has a fingerprint of its own,
     like only to itself. Ids have to be integers.
     """
@@ -222,8 +292,7 @@ def fingerprint_edits(
                     next_text = following if bucket == other and doc is not None else None
                     pairs.append((doc, text, next_text))
             edited = [edited_text(text, after) for _, text, after in pairs]
-            prints = sampler.fingerprints([text for _, text, _ in pairs])
-            changed = sampler.fingerprints(edited)
+            prints, changed = sampler.edited_fingerprints(*(([p[i] for p in pairs]) for i in (1, 2)))
             made = []
             for i, (doc, text, after) in enumerate(pairs):
                 if after is None:

@@ -3,7 +3,7 @@ from hashlib import sha256
 import numpy as np
 import pytest
 
-from cardlens.llm.fingerprints import Sampler, fingerprint_edits, likeness, terms
+from cardlens.llm.fingerprints import Sampler, edited_text, fingerprint_edits, likeness, terms
 from text_tables import by_id, docs  # noqa: F401
 
 
@@ -96,3 +96,30 @@ def test_rows_without_an_id_have_no_next(docs):
 def test_no_rows(docs):
     assert fingerprint_edits(docs([])).count() == 0
     assert fingerprint_edits(docs([(None, None)])).count() == 1
+
+
+def test_the_plan_does_not_grow_with_the_buckets(spark, docs):
+    table = docs([(i, f"text {i}") for i in range(50)])
+    sizes = []
+    for parts in ("8", "20000"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            rows = fingerprint_edits(table)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        sizes.append(len(rows._jdf.queryExecution().optimizedPlan().toString()))
+    assert sizes[1] < 1.2 * sizes[0]
+
+
+def test_minima_shared_with_the_edited_text():
+    words = ["a", "b b", "the", "Σας", "é", "...", "x\ny", "can't", "tail", " ", "İx"]
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(words, rng.integers(0, 30))) for _ in range(300)]
+    texts += ["", "x", "one", "... ...", " lead", "nospaceatall" * 9]
+    after = [*texts[1:], None]
+    sampler = Sampler(32)
+    found = sampler.edited_fingerprints(texts, after)
+    edited = [edited_text(t, f) for t, f in zip(texts, after)]
+    assert (found[0] == sampler.fingerprints(texts)).all()
+    assert (found[1] == sampler.fingerprints(edited)).all()
