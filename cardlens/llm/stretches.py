@@ -22,7 +22,7 @@ import public_tokenizers
 from cardlens.llm.byte_bpe import Stretches
 
 #: Most stretches that a worker process remembers, and the longest kept (characters).
-MOST_KEPT, LONGEST_KEPT = 1_000_000, 24
+MOST_KEPT, LONGEST_KEPT = 1_300_000, 24
 #: Stretches in a text made of new ones.
 ROW = 500
 
@@ -47,14 +47,25 @@ def byte_values() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def near_white(text: str) -> bool:
+    """Whether a space has white space beside it."""
+    return "  " in text or any(w in text and (f" {w}" in text or f"{w} " in text) for w in WHITE)
+
+
 def joinable(some: list[str]) -> list[list[str]]:
     """Rows of those stretches that stay apart when joined: one space, ahead of other characters."""
-    kept = [
-        s
-        for s in some
-        if s.rfind(" ") == 0 and len(s) > 1 and not (s[1].isspace() or s[-1].isspace())
-    ]
-    return [kept[k : k + ROW] for k in range(0, len(kept), ROW)]
+    rows = []
+    for k in range(0, len(some), ROW):
+        row = some[k : k + ROW]
+        text = "".join(row)
+        if text.count(" ") != len(row) or text[-1].isspace() or near_white(text):
+            row = [
+                s
+                for s in row
+                if s.rfind(" ") == 0 and len(s) > 1 and not (s[1].isspace() or s[-1].isspace())
+            ]
+        rows.append(row)
+    return [row for row in rows if row]
 
 
 class Library:
@@ -178,8 +189,7 @@ class Memory:
 
     def cut(self, text: str) -> list[str]:
         """The first stretch, then the others, each without the space that it begins with."""
-        near = "  " in text or any(w in text and (f" {w}" in text or f"{w} " in text) for w in WHITE)
-        return self.between(text) if near else text.split(" ")
+        return self.between(text) if near_white(text) else text.split(" ")
 
     def rows(self, texts: list[str]) -> Iterator[Iterator]:
         """For each text, the values of its stretches in order; to be read one by one."""
@@ -190,16 +200,16 @@ class Memory:
         leads = [row[0] for row in cut]
         for row in cut:
             del row[0]
-        new = list(set().union(*cut).difference(known))
-        known.update(zip(new, self.find([" " + s for s in new]) if new else []))
+        here = set().union(*cut)
+        new = list(here.difference(known))
+        values = dict(zip(here, map(known.get, here)))  # small, unlike what is remembered
+        values.update(zip(new, self.find([" " + s for s in new]) if new else []))
+        known.update((s, values[s]) for s in new if len(s) <= LONGEST_KEPT)
         some = list({s for s in leads if s})
         lead = dict(zip(some, self.find(some) if some else []))
         for first, row in zip(leads, cut):
-            values = map(known.__getitem__, row)
-            yield chain([lead[first]], values) if first else values
-        for s in new:
-            if len(s) > LONGEST_KEPT:
-                del known[s]
+            found = map(values.__getitem__, row)
+            yield chain([lead[first]], found) if first else found
 
 
 @lru_cache(maxsize=4)

@@ -59,12 +59,11 @@ def train_dictionary(
     """
     rows = max(df.count(), 1)
     key = F.xxhash64(named(id_col), text_of(text_col))
-    short = df.select(key.alias("key"), text_of(text_col).alias("text")).where(
-        F.char_length("text").between(1, SAMPLE_CHARS)
-    )
+    texts = df.select(key.alias("key"), text_of(text_col).alias("text"))
     # hashes below this bound hold more than enough rows, unless few texts are short
     few = F.col("key") < int(-(1 << 63) + (1 << 64) * min(8 * SAMPLE_DOCUMENTS / rows, 1)) - 1
-    sample = short.where(few).orderBy("key", "text").limit(SAMPLE_DOCUMENTS).coalesce(1)
+    short = texts.where(few & F.char_length("text").between(1, SAMPLE_CHARS))
+    sample = short.orderBy("key", "text").limit(SAMPLE_DOCUMENTS).coalesce(1)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [t for batch in batches for t in batch.column(0).to_pylist()]
@@ -149,7 +148,7 @@ def write_ids(
     spark = df.sparkSession
     data = train_dictionary(df, vocabulary, id_col, text_col, end_id)
     rows = df.select(named(id_col).alias("key"), text_of(text_col).alias("text"))
-    order = [F.col("key").asc_nulls_first(), F.xxhash64("text"), F.xxhash64(F.lit("second"), "text")]
+    order = [F.col("key").asc_nulls_first(), F.xxhash64("text")]
     ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = StructType.fromDDL("shard int, block int, dictionary string, start long")
     schema.add(StructField("keys", ArrayType(rows.schema["key"].dataType)))
