@@ -438,7 +438,7 @@ def gender_by_category(spark, folder):
 
 
 @query(
-    "agg_31_gender_pivot",
+    "agg_31_gender_by_category_pivot",
     on_features(
         _PEOPLE
         + "SELECT category, "

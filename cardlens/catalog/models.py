@@ -393,7 +393,8 @@ def rule_scores(spark, folder):
     "srt_03_best_rule",
     on_tx(
         _RATED
-        + "SELECT model, round(auc_roc, 6) AS auc_roc FROM areas ORDER BY round(auc_roc, 9) DESC, model LIMIT 1"
+        + """SELECT model, round(auc_roc, 6) AS auc_roc FROM areas
+QUALIFY row_number() OVER (ORDER BY round(auc_roc, 9) DESC, model) = 1"""
     ),
 )
 def best_rule(spark, folder):
@@ -443,7 +444,8 @@ def rule_sweep(spark, folder):
     "srt_03_best_rule_segment_count",
     on_features(
         _SCALED
-        + "SELECT k, round(silhouette, 6) AS silhouette FROM sweep ORDER BY sweep.silhouette DESC, k LIMIT 1"
+        + """SELECT k, round(silhouette, 6) AS silhouette FROM sweep
+QUALIFY row_number() OVER (ORDER BY sweep.silhouette DESC, k) = 1"""
     ),
 )
 def best_rule_segment_count(spark, folder):
