@@ -1,7 +1,9 @@
 """Licence notices and identifier tags of whole texts.
 
-An Aho-Corasick automaton over space-joined words finds notice phrases and tags. Behind a tag,
-a licence expression is read from the raw line and evaluated by the shunting-yard method.
+An Aho-Corasick automaton over space-joined words finds notice phrases and tags. Behind a tag
+and behind "licensed under", a licence expression is read from the raw line and evaluated by the
+shunting-yard method. Identifiers are known by their stem; one that is not, but has a version, is
+an operand of its own with the strictest restriction. A word of neither kind is prose.
 """
 
 from __future__ import annotations
@@ -39,10 +41,14 @@ NOTICES = {
     "all rights reserved": "proprietary",
 }
 
-#: Words of an identifier tag.
-TAG = "spdx license identifier"
+#: Words of an identifier tag, and of a notice that names an identifier.
+TAG, UNDER = "spdx license identifier", "licensed under"
 
-#: Label and restriction (0 free to 3 strongly reciprocal) by identifier stem.
+#: Label and restriction of an operand that has an identifier's form, but no known stem.
+UNKNOWN = ("unknown", 3)
+
+#: Label and restriction (0 free to 3 strongly reciprocal, or use limited) by the
+#: stem of identifiers in the public SPDX list, versions and suffixes left off.
 IDENTIFIERS = {
     "0bsd": ("bsd", 0),
     "agpl": ("agpl", 3),
@@ -58,6 +64,57 @@ IDENTIFIERS = {
     "mit": ("mit", 1),
     "mpl": ("mpl", 2),
     "unlicense": ("public-domain", 0),
+    "afl": ("afl", 1),
+    "apsl": ("apsl", 2),
+    "artistic": ("artistic", 2),
+    "blueoak": ("blueoak", 1),
+    "busl": ("busl", 3),
+    "cc-by-nc": ("cc-by-nc", 3),
+    "cc-by-nc-nd": ("cc-by-nc-nd", 3),
+    "cc-by-nc-sa": ("cc-by-nc-sa", 3),
+    "cc-by-nd": ("cc-by-nd", 3),
+    "cc-by-sa": ("cc-by-sa", 2),
+    "cddl": ("cddl", 2),
+    "cpl": ("cpl", 2),
+    "ecl": ("ecl", 1),
+    "elastic": ("elastic", 3),
+    "eupl": ("eupl", 3),
+    "ftl": ("ftl", 1),
+    "gfdl": ("gfdl", 3),
+    "hpnd": ("hpnd", 1),
+    "ijg": ("ijg", 1),
+    "ipl": ("ipl", 2),
+    "libpng": ("libpng", 1),
+    "licenseref": ("custom", 3),
+    "lppl": ("lppl", 1),
+    "ms-pl": ("ms-pl", 1),
+    "ms-rl": ("ms-rl", 2),
+    "mulanpsl": ("mulanpsl", 1),
+    "ncsa": ("ncsa", 1),
+    "npl": ("npl", 2),
+    "odbl": ("odbl", 2),
+    "odc-by": ("odc-by", 1),
+    "ofl": ("ofl", 1),
+    "openssl": ("openssl", 1),
+    "osl": ("osl", 3),
+    "pddl": ("public-domain", 0),
+    "php": ("php", 1),
+    "postgresql": ("postgresql", 1),
+    "psf": ("psf", 1),
+    "python": ("psf", 1),
+    "qpl": ("qpl", 2),
+    "ruby": ("ruby", 1),
+    "sleepycat": ("sleepycat", 3),
+    "sspl": ("sspl", 3),
+    "tcl": ("tcl", 1),
+    "unicode": ("unicode", 1),
+    "upl": ("upl", 1),
+    "vim": ("vim", 1),
+    "w3c": ("w3c", 1),
+    "wtfpl": ("wtfpl", 0),
+    "x11": ("x11", 1),
+    "zlib": ("zlib", 1),
+    "zpl": ("zpl", 1),
 }
 
 #: How sure a find is: tag, notice, base phrase.
@@ -65,7 +122,12 @@ WEIGHTS = {"tag": 0.95, "notice": 0.8, "base": 0.6}
 
 _BINDING = {"or": 1, "and": 2, "with": 3}
 _PARTS = re.compile(r"[()]|[a-z0-9][a-z0-9.+-]*")
-_TAG_TEXT = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)")
+_TAG_TEXT = re.compile(r"spdx[- ]+license[- ]+identifier[ \t]*:?[ \t]*([^\r\n]*)")
+_UNDER_TEXT = re.compile(r"licensed[ \t]+under[ \t]+(?:the[ \t]+)?(?:terms[ \t]+of[ \t]+(?:the[ \t]+)?)?([^\r\n]*)")
+#: What only an identifier looks like: a name and a version.
+_VERSIONED = re.compile(r"[a-z][a-z0-9.]*(?:-[a-z0-9.]+)*-[0-9][0-9.]*(?:-only|-or-later)?\+?")
+#: The name of a licence family in prose, with its conditions and version apart.
+_SPACED = re.compile(r"\bcc[ -]by((?:[ -](?:nc|nd|sa))*)(?:[ -]([0-9.]+[0-9]))?")
 
 
 def identified(word: str) -> tuple[str, int] | None:
@@ -75,7 +137,14 @@ def identified(word: str) -> tuple[str, int] | None:
         if stem in IDENTIFIERS:
             return IDENTIFIERS[stem]
         stem = stem.rpartition("-")[0]
-    return None
+    return UNKNOWN if _VERSIONED.fullmatch(word) else None
+
+
+def _joined(prose: str) -> str:
+    """``cc by-nc 4.0`` as the identifier ``cc-by-nc-4.0``."""
+    return _SPACED.sub(
+        lambda m: "cc-by" + m[1].replace(" ", "-") + (f"-{m[2]}" if m[2] else ""), prose
+    )
 
 
 def evaluate(expression: str) -> tuple[frozenset[str], int] | None:
@@ -152,6 +221,7 @@ def _finder(phrases: tuple[tuple[str, str], ...]) -> ahocorasick.Automaton:
     for phrase, label in NOTICES.items():
         kinds.setdefault(phrase, []).append(("notice", label))
     kinds.setdefault(TAG, []).append(("tag", ""))
+    kinds.setdefault(UNDER, []).append(("under", ""))
     for phrase, found in kinds.items():
         automaton.add_word(f" {phrase} ", (len(phrase) + 1, tuple(found)))
     automaton.make_automaton()
@@ -166,12 +236,15 @@ def scan(text: bytes, phrases: tuple[tuple[str, str], ...]) -> dict[str, object]
     finds: set[tuple[str, str]] = set()
     starts: list[int] = []
     seen = at = 0
-    tagged = False
+    tagged = under = False
     for end, (reach, found) in _finder(phrases).iter(joined):
         for kind, label in found:
             if kind == "tag":
                 tagged = True
                 continue
+            if kind == "under":
+                under = True
+                continue
             finds.add((kind, label))
             if kind == "base":
                 base.add(label)
@@ -181,13 +254,14 @@ def scan(text: bytes, phrases: tuple[tuple[str, str], ...]) -> dict[str, object]
                 at = start
                 starts.append(seen)
     levels: list[int] = []
-    if tagged:
+    if tagged or under:
         lowered = text.lower().decode("utf-8", "replace")
-        for line in _TAG_TEXT.findall(lowered):
-            value = evaluate(line)
-            if value is not None:
-                finds.update(("tag", label) for label in value[0])
-                levels.append(value[1])
+        for kind, wanted, lines in (("tag", tagged, _TAG_TEXT), ("notice", under, _UNDER_TEXT)):
+            for line in lines.findall(lowered) if wanted else ():
+                value = evaluate(_joined(line))
+                if value is not None:
+                    finds.update((kind, label) for label in value[0])
+                    levels.append(value[1])
     doubt = 1.0
     for kind, _ in sorted(finds):
         doubt *= 1 - WEIGHTS[kind]

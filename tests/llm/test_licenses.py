@@ -53,6 +53,22 @@ def test_tags_and_notices(docs, by_id):
     assert found[6] == (["apache"], 1, 0.98)
 
 
+@pytest.mark.parametrize(
+    "text, labels, level",
+    [
+        ("Licensed under CC BY-NC 4.0", ["cc-by-nc"], 3),
+        ("licensed under the terms of the MIT license.", ["mit"], 1),
+        ("Licensed under CC BY 4.0 or CC-BY-SA 3.0", ["cc-by", "cc-by-sa"], 1),
+        ("SPDX License Identifier: MIT", ["mit"], 1),
+        ("SPDX-License-Identifier: Zlib OR MIT", ["mit", "zlib"], 1),
+        ("licensed under a tree", [], None),
+    ],
+)
+def test_expressions_in_texts(docs, by_id, text, labels, level):
+    found = by_id(scan_licenses(docs([(1, text)])), "labels", "restriction")
+    assert found[1] == (labels, level)
+
+
 @pytest.mark.parametrize(
     "text, labels, level",
     [
@@ -68,6 +84,13 @@ def test_tags_and_notices(docs, by_id):
         ("mit mit", {"mit"}, 1),
         ("(mit) or", {"mit"}, 1),
         ("", None, None),
+        ("zlib or mit", {"zlib", "mit"}, 1),
+        ("licenseref-x and mit", {"custom", "mit"}, 3),
+        ("mit and zlib", {"mit", "zlib"}, 1),
+        ("cc-by-nc-nd-4.0", {"cc-by-nc-nd"}, 3),
+        ("cc-by-4.0", {"cc-by"}, 1),
+        ("foo-1.0 or mit", {"unknown", "mit"}, 1),
+        ("mit and foo-bar-2.1-or-later", {"mit", "unknown"}, 3),
     ],
 )
 def test_expressions(text, labels, level):
