@@ -113,10 +113,7 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op4_private_data(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_private(table(spark, folder, "documents"))
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-        for k, name in enumerate(pii.PATTERNS)
-    ]
+    counts = [pii.count_of("base", kind).alias(f"n_{kind}") for kind in pii.PATTERNS]
     return found.select(
         "doc_id",
         *counts,
