@@ -2,7 +2,8 @@
 
 Spark's text sink ends each row with CR LF, so a row may be the lines of a record's head, a
 whole small payload, or one chunk of a large one: payloads above a limit are sent as HTTP
-chunks, whose framing also ends in CR LF. Each file is compressed. The reader gets a file's
+chunks, whose framing also ends in CR LF. Spark cuts payloads into (record, piece number, bytes)
+rows before the writer sees them. Each file is compressed. The reader gets a file's
 lines in order, follows the lengths that the heads state, and returns chunks with the digest
 and the length of the payload so far; it never holds more of a record than a chunk and a line.
 """
@@ -21,6 +22,8 @@ from cardlens.llm.tables import map_batches, named, text_of
 
 #: Payloads above this are written as HTTP chunks of this size, and read in such pieces.
 CHUNK = 64 << 10
+#: Bytes of rows that the writer gathers before it hands them on.
+HELD_BYTES = 4 << 20
 #: Payloads of fewer bytes are never revisits.
 SHORTEST_REVISIT = 1000
 #: Fixed value: the profile of a revisit by digest.
@@ -62,21 +65,21 @@ def _record(name: str) -> str:
     return f"<urn:page:{name}>"
 
 
-def record_rows(
-    page: str | None, url: str | None, payload: bytes, digest: str, refers_to: str | None, date: str
-) -> Iterator[bytes]:
-    """The rows of one record, each without the CR LF that the sink adds."""
+def _head(
+    page: str | None, url: str | None, size: int, digest: str, refers_to: str | None, date: str
+) -> bytes:
+    """The head of one record and of its HTTP message, from what is known of the payload."""
     base32 = base64.b32encode(bytes.fromhex(digest)).decode()
-    chunked = refers_to is None and len(payload) > CHUNK
+    chunked = refers_to is None and size > CHUNK
     http = ["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8"]
-    http.append("Transfer-Encoding: chunked" if chunked else f"Content-Length: {len(payload)}")
+    http.append("Transfer-Encoding: chunked" if chunked else f"Content-Length: {size}")
     head = ("\r\n".join(http) + "\r\n\r\n").encode()
     if chunked:
-        starts = range(0, len(payload), CHUNK)
-        sizes = [f"{min(CHUNK, len(payload) - s):x}".encode() for s in starts]
-        length = len(head) + len(payload) + sum(len(s) + 4 for s in sizes) + 5
+        full, rest = divmod(size, CHUNK)
+        framing = full * (len(f"{CHUNK:x}") + 4) + (len(f"{rest:x}") + 4 if rest else 0)
+        length = len(head) + size + framing + 5
     else:
-        length = len(head) + (len(payload) if refers_to is None else 0)
+        length = len(head) + (size if refers_to is None else 0)
     fields = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
@@ -92,15 +95,55 @@ def record_rows(
         "Content-Type: application/http; msgtype=response",
         f"Content-Length: {length}",
     ]
-    top = "\r\n".join(fields).encode() + _EOL * 2 + head
-    if chunked:
+    return "\r\n".join(fields).encode() + _EOL * 2 + head
+
+
+def piece_rows(
+    page: str | None,
+    url: str | None,
+    digest: str,
+    size: int,
+    refers_to: str | None,
+    piece: int,
+    data: bytes | None,
+    date: str,
+) -> Iterator[bytes]:
+    """The rows that one piece of a payload adds to its record, each without the CR LF that the
+    sink adds. Piece 0 brings the head, the last piece of a chunked payload the end."""
+    top = _head(page, url, size, digest, refers_to, date) if piece == 0 else b""
+    if refers_to is not None or size <= CHUNK:
+        yield top + (data if refers_to is None and data else b"") + _EOL
+        return
+    if piece == 0:
         yield top[:-2]  # the sink's CR LF ends the HTTP head
-        view = memoryview(payload)
-        for size, start in zip(sizes, starts):
-            yield b"".join([size, _EOL, view[start : start + CHUNK]])
+    yield b"".join([f"{len(data):x}".encode(), _EOL, data])
+    if piece * CHUNK + len(data) == size:
         yield b"0" + _EOL * 3
-    else:
-        yield top + (payload if refers_to is None else b"") + _EOL
+
+
+def record_rows(
+    page: str | None, url: str | None, payload: bytes, digest: str, refers_to: str | None, date: str
+) -> Iterator[bytes]:
+    """The rows of one record whose payload is at hand."""
+    starts = range(0, max(1, len(payload) if refers_to is None else 0), CHUNK)
+    for piece, start in enumerate(starts):
+        data = payload[start : start + CHUNK]
+        yield from piece_rows(page, url, digest, len(payload), refers_to, piece, data, date)
+
+
+def payload_pieces(records: DataFrame) -> DataFrame:
+    """``page, url, digest, size, refers_to, piece, data``: payloads cut into chunks, in order.
+
+    A revisit has one piece without bytes. The cut happens row by row where the payload is, so
+    that what leaves the scan or the join for Python is never more than a chunk a row.
+    """
+    last = F.when(
+        F.col("refers_to").isNull(), F.greatest(F.ceil(F.col("size") / CHUNK) - 1, F.lit(0))
+    ).otherwise(F.lit(0))
+    begin = F.col("piece") * CHUNK + 1
+    data = F.when(F.col("refers_to").isNull(), F.substring("payload", begin, F.lit(CHUNK)))
+    numbered = records.select("*", F.explode(F.sequence(F.lit(0), last.cast("int"))).alias("piece"))
+    return numbered.select("page", "url", "digest", "size", "refers_to", "piece", data.alias("data"))
 
 
 def write_archives(
@@ -117,28 +160,43 @@ def write_archives(
     Of rows with equal payloads of at least ``shortest`` bytes, the one with the largest id
     is a response, also if repeated; the others are revisits of it. Rows without an id are
     responses without a record id. A null payload is empty, a null address is left out.
+
+    Python gets chunks, never whole payloads, and hands on a batch for every few megabytes.
     """
     payload = text_of(payload_col)
-    facts = [c for c, k in zip(_facts(pages, id_col, payload_col), range(3))]
+    facts = _facts(pages, id_col, payload_col)
     rows = pages.select(
         named(id_col).cast("string").alias("page"),
         named(url_col).cast("string").alias("url"),
         payload.cast("binary").alias("payload"),
-        *facts,
+        *[facts[i] for i in (0, 1, 2, 4)],  # the keys of the row, digest and size
     )
     found = revisits(pages, id_col, payload_col, shortest)
     decided = rows.join(found, ["ka", "kb"], "left").select(
-        "page", "url", "payload", "digest", F.col("refers_to").cast("string")
+        "page", "url", "payload", "digest", "size", F.col("refers_to").cast("string")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        size = 0
+
+        def batch_of(rows: list[bytes]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
+
         for batch in batches:
             for begin in range(0, batch.num_rows, 64):
                 columns = [c.to_pylist() for c in batch.slice(begin, 64).columns]
-                lines = [line for row in zip(*columns) for line in record_rows(*row, date)]
-                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary())], names=["value"])
-
-    lines = map_batches(decided, run, "value binary").select(F.col("value").cast("string"))
+                for row in zip(*columns):
+                    for line in piece_rows(*row, date):
+                        held.append(line)
+                        size += len(line)
+                    if size > HELD_BYTES:
+                        yield batch_of(held)
+                        held, size = [], 0
+        yield batch_of(held)
+
+    pieces = payload_pieces(decided)
+    lines = map_batches(pieces, run, "value binary").select(F.col("value").cast("string"))
     lines.write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
 
 

@@ -147,3 +147,24 @@ def test_no_rows(spark, pages, tmp_path):
     path = f"{tmp_path}/warc"
     warc.write_archives(pages([]), path)
     assert warc.read_records(spark, path).count() == 0
+
+
+def test_writer_gets_chunks(spark):
+    sizes = [0, 1, warc.CHUNK, warc.CHUNK + 1, 40 * warc.CHUNK, 40 * warc.CHUNK + 7]
+    rows = [(str(i), "u", bytearray(b"x" * n), "d", n, None) for i, n in enumerate(sizes)]
+    rows += [("r", "u", bytearray(b"x" * 3 * warc.CHUNK), "d", 3 * warc.CHUNK, "5")]
+    schema = "page string, url string, payload binary, digest string, size int, refers_to string"
+    pieces = warc.payload_pieces(spark.createDataFrame(rows, schema).coalesce(1)).collect()
+    for i, n in enumerate(sizes):
+        mine = [p for p in pieces if p.page == str(i)]
+        assert [p.piece for p in mine] == list(range(max(1, -(-n // warc.CHUNK))))
+        assert all(len(p.data) == warc.CHUNK for p in mine[:-1])
+        assert b"".join(bytes(p.data) for p in mine) == b"x" * n
+    assert [(p.piece, p.data) for p in pieces if p.page == "r"] == [(0, None)]
+
+
+def test_large_payloads_between_small_ones(spark, pages, tmp_path):
+    path = f"{tmp_path}/warc"
+    rows = [(i, "u", f"{i} " * (3_000_000 if i % 5 == 0 else 10)) for i in range(12)]
+    warc.write_archives(pages(rows), path)
+    assert records(spark, path) == expected(rows)
