@@ -4,7 +4,7 @@ The models predict the next byte of the lower-cased words from the three before
 counts of their own for four and three bytes and back off to shared counts of two bytes and
 one, so that what neither class has seen often tells little. A text's score is the difference
 of its two log-likelihoods per byte, turned into a probability on labelled rows that the
-models have not seen.
+models have not seen; then those rows are counted too.
 
 All counts are taken over all labelled rows, as Spark aggregates. What tasks need to score a
 text, the differences of the logarithms, is a sorted table of all strings of each order.
@@ -28,13 +28,15 @@ from cardlens.llm.tables import ascii_words, filter_texts, map_batches, map_text
 ORDER = 4
 #: Orders whose counts the two classes share.
 SHARED = 2
-#: Folds of labelled rows by crc32(id) mod 5: 0 is held out, the last one calibrates.
+#: Folds of labelled rows by crc32(id) mod 5: 0 is held out, the last one calibrates before it counts.
 FOLDS, CALIBRATION = 5, 4
 #: Bins of the differences that calibration counts, and the range they cover.
 BINS, REACH = 4000, 2.0
 #: Bytes of text that are turned into arrays at a time.
 CHUNK = 4 << 20
 
+_CLASSES = ("toxic", "other")
+
 
 def keys_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The last ``ORDER`` bytes at each byte of some texts as 32-bit keys, and the texts' lengths.
@@ -79,35 +81,41 @@ def fold(id_col: str) -> Column:
 
 
 def _string_counts(rows: DataFrame) -> DataFrame:
-    """``key, toxic, other``: how often each string of ``ORDER`` bytes occurs in the classes."""
+    """``key, calibrating, toxic, other``: how often each string of ``ORDER`` bytes occurs.
+
+    Tasks hand on the counts of every few megabytes of text; Spark adds them up.
+    """
+
+    def counted(label: int, calibrating: bool, texts: list[bytes]) -> pa.RecordBatch:
+        keys, n = np.unique(keys_of(texts)[0], return_counts=True)
+        nothing = np.zeros(len(keys), np.int64)
+        columns = [
+            pa.array(keys.astype(np.int64)),
+            pa.array(np.full(len(keys), calibrating)),
+            pa.array(n.astype(np.int64) if label else nothing),
+            pa.array(nothing if label else n.astype(np.int64)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "calibrating", *_CLASSES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.zeros(0, np.uint32)
-        counts = np.zeros((0, 2), np.int64)
+        held: dict[tuple[int, bool], list[bytes]] = {}
+        sizes: dict[tuple[int, bool], int] = {}
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
-                labels = np.array(part.column("toxic").to_pylist())
-                texts = part.column("text").to_pylist()
-                for label in (0, 1):
-                    mine = [t for t, own in zip(texts, labels) if own == label]
-                    for some in chunks(mine):
-                        keys, n = np.unique(keys_of(some)[0], return_counts=True)
-                        both, at = np.unique(np.concatenate([known, keys]), return_inverse=True)
-                        merged = np.zeros((len(both), 2), np.int64)
-                        merged[at[: len(known)]] = counts
-                        merged[at[len(known) :], label] += n
-                        known, counts = both, merged
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(known.astype(np.int64)), pa.array(counts[:, 1]), pa.array(counts[:, 0])],
-            names=["key", "toxic", "other"],
-        )
-
-    found = map_batches(rows.select("text", "toxic"), run, "key long, toxic long, other long")
-    return found.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-
-
-_CLASSES = ("toxic", "other")
+                columns = [c.to_pylist() for c in batch.slice(begin, 256).columns]
+                for text, *group in zip(*columns):
+                    own = (group[0], group[1])
+                    held.setdefault(own, []).append(text)
+                    sizes[own] = sizes.get(own, 0) + len(text)
+                    if sizes[own] > CHUNK:
+                        yield counted(*own, held.pop(own))
+                        sizes[own] = 0
+        for own, texts in held.items():
+            yield counted(*own, texts)
+
+    schema = "key long, calibrating boolean, toxic long, other long"
+    found = map_batches(rows.select("text", "toxic", "calibrating"), run, schema)
+    return found.groupBy("key", "calibrating").agg(*[F.sum(c).alias(c) for c in _CLASSES])
 
 
 def _seen(column: str) -> Column:
@@ -235,29 +243,60 @@ class Model:
         return values
 
 
-def train(
+def counted_strings(
     docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-) -> Model:
-    """Models from all labelled rows whose fold is neither held out nor for calibration.
+) -> DataFrame:
+    """``key, calibrating, toxic, other`` over all labelled rows that are not held out, those of
+    the fold for calibration apart.
 
     Labels other than 0 and 1, null ones and rows without a text's id are left out.
     """
-    learnt = ~fold(id_col).isin(0, CALIBRATION)
+    learnt = fold(id_col) != 0
     labelled = _labelled(labels.where(learnt), id_col, label_col)
     # a merge join at every size: what is moved then follows the input
     texts = docs.where(learnt).select(
         named(id_col).alias("id"), text_of(text_col).cast("binary").alias("text")
     )
-    levels = _levels(stored(_string_counts(texts.join(labelled.hint("merge"), "id")), "strings"))
+    rows = texts.join(labelled.hint("merge"), "id")
+    return stored(
+        _string_counts(rows.withColumn("calibrating", F.col("fold") == CALIBRATION)), "strings"
+    )
+
+
+def model_of(counts: DataFrame) -> Model:
+    """The model of ``key, toxic, other``, one row for each string."""
+    levels = _levels(counts)
     seen = {order: _table(rows, order) for order, (rows, _) in levels.items()}
     rest = {order - 1: _table(heads, order - 1) for order, (_, heads) in levels.items() if order > 1}
     return Model(seen, rest)
 
 
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+) -> Model:
+    """Models from all labelled rows whose fold is neither held out nor for calibration.
+
+    Labels other than 0 and 1, null ones and rows without a text's id are left out.
+    """
+    return _first_model(counted_strings(docs, labels, id_col, text_col, label_col))
+
+
+def _first_model(counts: DataFrame) -> Model:
+    return model_of(counts.where(~F.col("calibrating")).select("key", *_CLASSES))
+
+
+def _last_model(counts: DataFrame) -> Model:
+    return model_of(counts.groupBy("key").agg(*[F.sum(c).alias(c) for c in _CLASSES]))
+
+
 def _labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     """``id, toxic, fold`` of usable labels, one row for each id; of several, the greatest."""
     label = named(label_col).cast("int")
@@ -328,10 +367,19 @@ def calibrate(
 
 def _fitted(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str
-) -> tuple[Broadcast, DataFrame, tuple[float, float]]:
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col, label_col))
-    scored = stored(differences(docs, model, id_col, text_col), "differences")
-    return model, scored, calibrate(scored, labels, id_col, label_col)
+) -> tuple[Broadcast, tuple[float, float]]:
+    """The model of all labelled rows that are not held out, and its calibration.
+
+    The curve is fitted to differences by a model that has not seen the fold for calibration;
+    then the counts of that fold are added.
+    """
+    context = docs.sparkSession.sparkContext
+    counts = counted_strings(docs, labels, id_col, text_col, label_col)
+    first = context.broadcast(_first_model(counts))
+    unseen = docs.where(fold(id_col) == CALIBRATION)
+    curve = calibrate(differences(unseen, first, id_col, text_col), labels, id_col, label_col)
+    first.unpersist()
+    return context.broadcast(_last_model(counts)), curve
 
 
 def score(
@@ -347,7 +395,8 @@ def score(
     Labels have the documents' id column. Without any label the score is 0.5 throughout and
     predicts nothing; texts without words get the score of difference 0.
     """
-    _, scored, (slope, offset) = _fitted(docs, labels, id_col, text_col, label_col)
+    model, (slope, offset) = _fitted(docs, labels, id_col, text_col, label_col)
+    scored = differences(docs, model, id_col, text_col)
     value = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("difference") * slope + F.lit(offset))))
     return scored.select(
         named(id_col),
@@ -366,7 +415,7 @@ def drop_toxic(
     label_col: str = "toxic",
 ) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, all columns as they are."""
-    model, _, (slope, offset) = _fitted(docs, labels, id_col, text_col, label_col)
+    model, (slope, offset) = _fitted(docs, labels, id_col, text_col, label_col)
 
     def start():
         def work(texts: list[bytes]) -> list[bool]:

@@ -87,6 +87,33 @@ def test_models_follow_their_definition(docs, labels):
     assert found == pytest.approx([plain.difference(t) for t in texts], abs=1e-4)
 
 
+def test_the_last_model_counts_all_learnable_rows(docs, labels):
+    rows = corpus(120, 7)
+    table, marks = docs([r[:2] for r in rows]), labels([(r[0], r[2]) for r in rows])
+    model, _ = toxicity._fitted(table, marks, "doc_id", "text", "toxic")
+    plain = Plain([(t, y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 5])
+    texts = [t for _, t, _ in rows[:40]] + ["", "new wörds xyz 123", "zgrumf " * 2000]
+    found = model.value.differences([t.encode() for t in texts])
+    assert found == pytest.approx([plain.difference(t) for t in texts], abs=1e-4)
+
+
+def test_counts_do_not_depend_on_how_they_are_gathered(docs, labels, monkeypatch):
+    rows = corpus(60, 8)
+    table, marks = docs([r[:2] for r in rows]), labels([(r[0], r[2]) for r in rows])
+    expected = Counter()
+    for i, t, y in rows:
+        if zlib.crc32(str(i).encode()) % 5:
+            own = zlib.crc32(str(i).encode()) % 5 == toxicity.CALIBRATION
+            expected.update((int.from_bytes(g, "big"), own, y) for g in strings(t))
+    for size in (1, 500, 4 << 20):
+        monkeypatch.setattr(toxicity, "CHUNK", size)
+        got = Counter()
+        for r in toxicity.counted_strings(table, marks).collect():
+            got[r.key, r.calibrating, 1] += r.toxic
+            got[r.key, r.calibrating, 0] += r.other
+        assert +got == expected
+
+
 def test_held_out_rows(docs, labels):
     rows = corpus(800, 2)
     scored = toxicity.score(docs([r[:2] for r in rows]), labels([(r[0], r[2]) for r in rows])).collect()
