@@ -138,7 +138,7 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return token_counts.count_tokens(docs, VOCABULARY, public_tokenizers.PATTERN)
+    return token_counts.count_by_corpus(docs, VOCABULARY, public_tokenizers.PATTERN)
 
 
 @query()

@@ -1,32 +1,63 @@
 """Token counts under a unigram model, by dynamic programming on a shared trie.
 
-The unigram score of a token falls with its rank in a public vocabulary, as Zipf's law has it:
-``-log(rank + 1)`` up to a constant for each token. A piece is cut into the tokens of the
-greatest total score. Pieces are sorted, so that the trie of a batch is walked depth first:
-only the scores along the present path are held, each prefix is scored once however many
-pieces share it, and the number of tokens is stored where a piece ends.
+A piece is cut into the tokens of the greatest total score. Pieces are sorted, so that the trie
+of a batch is walked depth first: only the scores along the present path are held, each prefix
+is scored once however many pieces share it, and the number of tokens is stored where a piece
+ends.
+
+:func:`count_by_corpus` estimates the scores from all texts. Spark counts the different
+stretches between spaces; their best cuts under a first model say how often the corpus has each
+token. The first model, which :func:`count_tokens` uses alone, lets a token's probability fall
+with its rank in the vocabulary, as Zipf's law has it.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from math import log
+from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cardlens.llm.byte_bpe import Stretches, read_ranks
-from cardlens.llm.tables import map_texts
+from cardlens.llm.graphs import stored
+from cardlens.llm.tables import map_batches, map_texts, steps, text_of
 
 #: Most stretches whose counts a worker process keeps, and the longest kept (characters).
 MOST_KEPT, LONGEST_KEPT = 500_000, 24
+#: Characters of texts whose new pieces share a trie.
+TOGETHER = 1_000_000
+#: Different stretches, and characters of texts, behind which a task hands on partial counts.
+MOST_COUNTED, MOST_READ = 400_000, 64_000_000
+#: Bytes of frequent stretches that every worker gets, and what an entry takes besides its text.
+FREQUENT_BYTES, ENTRY_BYTES = 16_000_000, 16
 
 
 class UnigramCounter:
-    """Best cuts of pieces into tokens. Every single byte has to be a token."""
+    """Best cuts of pieces into tokens. Every single byte has to be a token.
+
+    ``counts``: how often the corpus has each rank, each one more than that; without them, the
+    scores follow the ranks. ``frequent``: counts and scores of stretches, kept for good.
+    """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        total = log(sum(1 / (r + 1) for r in ranks.values()))
-        self.scores = {token: -log(r + 1) - total for token, r in ranks.items()}
+    def __init__(
+        self,
+        ranks: dict[bytes, int],
+        pattern: str,
+        counts: dict[int, int] | None = None,
+        frequent: dict[str, tuple[int, int, float]] | None = None,
+    ) -> None:
+        if counts is None:
+            total = log(sum(1 / (r + 1) for r in ranks.values()))
+            self.scores = {token: -log(r + 1) - total for token, r in ranks.items()}
+        else:
+            total = log(sum(counts.values()) + len(ranks))
+            self.scores = {t: log(counts.get(r, 0) + 1) - total for t, r in ranks.items()}
+        self.ranks = ranks
         self.reach = max(map(len, ranks))
         #: Lengths of longer tokens by their last four bytes: the only ones worth a look.
         self.lengths: dict[bytes, list[int]] = {}
@@ -35,18 +66,24 @@ class UnigramCounter:
                 self.lengths.setdefault(token[-4:], []).append(len(token))
         self.lengths = {end: sorted(set(some)) for end, some in self.lengths.items()}
         self.stretches = Stretches(pattern)
-        self.known: dict[str, tuple[int, int, float]] = {}  # by stretch
+        self.frequent = frequent or {}
+        self.known = dict(self.frequent)  # by stretch
         self.words: dict[str, tuple[int, float]] = {}  # by piece
 
-    def count(self, pieces: list[bytes]) -> list[tuple[int, float]]:
+    def count(
+        self, pieces: list[bytes], weights: Iterable[int] = (), used: Counter | None = None
+    ) -> list[tuple[int, float]]:
         """Tokens and score of each of some distinct, sorted pieces.
 
         A depth of the path holds the best score of the prefix and its tokens. Of cuts with
-        equal scores, the one with fewer tokens counts.
+        equal scores, the one with fewer tokens counts, then that with the shorter last token.
+        ``used`` gets the ranks of each best cut, as often as the piece's weight says.
         """
         made = []
         best: list[float] = [0.0]
         tokens: list[int] = [0]
+        last: list[int] = [0]
+        weight = iter(weights)
         before = b""
         scores, lengths = self.scores, self.lengths
         for piece in pieces:
@@ -55,9 +92,10 @@ class UnigramCounter:
                 if a != b:
                     break
                 shared += 1
-            del best[shared + 1 :], tokens[shared + 1 :]
+            del best[shared + 1 :], tokens[shared + 1 :], last[shared + 1 :]
             for end in range(shared + 1, len(piece) + 1):
                 top, count = best[end - 1] + scores[piece[end - 1 : end]], tokens[end - 1] + 1
+                size = 1
                 for n in (2, 3, *lengths.get(piece[max(0, end - 4) : end], ())):
                     if n > end:
                         break
@@ -65,31 +103,42 @@ class UnigramCounter:
                     if score is not None:
                         score += best[end - n]
                         if score > top or score == top and tokens[end - n] + 1 < count:
-                            top, count = score, tokens[end - n] + 1
+                            top, count, size = score, tokens[end - n] + 1, n
                 best.append(top)
                 tokens.append(count)
+                last.append(size)
             made.append((tokens[-1], best[-1]))
+            if used is not None:
+                end, n = len(piece), next(weight)
+                while end:
+                    used[self.ranks[piece[end - last[end] : end]]] += n
+                    end -= last[end]
             before = piece
         return made
 
+    def rows(self, some: Iterable[str]) -> dict[str, tuple[int, int, float]]:
+        """Pieces, tokens and score of different stretches."""
+        found = {s: self.stretches.pieces(s) for s in some}
+        pieces = {p for row in found.values() for p in row if p not in self.words}
+        pieces = sorted(pieces, key=str.encode)
+        fresh = dict(zip(pieces, self.count([p.encode() for p in pieces])))
+        self.words.update((p, c) for p, c in fresh.items() if len(p) <= LONGEST_KEPT)
+        made = {}
+        for s, row in found.items():
+            counts = [self.words.get(p) or fresh[p] for p in row]
+            made[s] = (len(row), sum(c[0] for c in counts), sum(c[1] for c in counts))
+        return made
+
     def texts(self, texts: list[str]) -> list[tuple[int, int, float]]:
         """Pieces, tokens and score of each text; distinct stretches are counted once."""
-        if max(len(self.known), len(self.words)) > MOST_KEPT:
-            self.known.clear()
+        if max(len(self.known) - len(self.frequent), len(self.words)) > MOST_KEPT:
+            self.known = dict(self.frequent)
             self.words.clear()
         cut = [self.stretches.cut(text) for text in texts]
         firsts = [some[0] for some in cut]
         spaced = [[" " + s for s in some[1:]] for some in cut]
         new = {s for some in spaced for s in some if s not in self.known}
-        found = {s: self.stretches.pieces(s) for s in new.union(firsts)}
-        pieces = {p for some in found.values() for p in some if p not in self.words}
-        pieces = sorted(pieces, key=str.encode)
-        fresh_words = dict(zip(pieces, self.count([p.encode() for p in pieces])))
-        self.words.update((p, c) for p, c in fresh_words.items() if len(p) <= LONGEST_KEPT)
-        fresh = {}
-        for s, some in found.items():
-            counts = [self.words.get(p) or fresh_words[p] for p in some]
-            fresh[s] = (len(some), sum(c[0] for c in counts), sum(c[1] for c in counts))
+        fresh = self.rows(new.union(firsts))
         self.known.update((s, fresh[s]) for s in new if len(s) <= LONGEST_KEPT)
         made = []
         for first, others in zip(firsts, spaced):
@@ -100,33 +149,148 @@ class UnigramCounter:
 
 @lru_cache(maxsize=2)
 def counter(path: str, pattern: str) -> UnigramCounter:
-    """The counter of this worker process."""
+    """The counter of this worker process whose scores follow the ranks."""
     return UnigramCounter(read_ranks(path), pattern)
 
 
+_fitted: dict[str, UnigramCounter] = {}
+
+
+def fitted(name: str, path: str, pattern: str, model) -> UnigramCounter:
+    """The counter of this worker process by the broadcast ``model`` of that name."""
+    if name not in _fitted:
+        _fitted.clear()
+        _fitted[name] = UnigramCounter(read_ranks(path), pattern, *model.value)
+    return _fitted[name]
+
+
+def _count(df: DataFrame, make, id_col: str, text_col: str) -> DataFrame:
+    def start():
+        unigram = make()
+
+        def work(texts: list[str]) -> dict[str, list]:
+            made = [row for part in steps(texts, TOGETHER) for row in unigram.texts(texts[part])]
+            pieces, tokens, scores = zip(*made)
+            return {"n_pieces": pieces, "n_tokens": tokens, "log_score": [round(s, 6) for s in scores]}
+
+        return work
+
+    fields = "n_pieces long, n_tokens long, log_score double"
+    return map_texts(df, id_col, text_col, start, fields, as_bytes=False)
+
+
 def count_tokens(
     df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per row: ``n_pieces``, ``n_tokens`` and ``log_score`` (6 digits) of the best cut.
 
-    Null and empty texts have no pieces, no tokens and score 0.
+    Scores follow the ranks of the vocabulary. Null and empty texts have no pieces, no tokens
+    and score 0.
     """
+    return _count(df, lambda: counter(path, pattern), id_col, text_col)
 
-    def start():
+
+def stretch_counts(df: DataFrame, pattern: str, text_col: str = "text") -> DataFrame:
+    """``stretch, n``: the different stretches of all texts and how often they occur.
+
+    Tasks hand on partial counts, so a frequent stretch reaches its reducer as a few rows of
+    each task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = Stretches(pattern).cut
+        first: Counter[str] = Counter()
+        other: Counter[str] = Counter()
+        read = 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for some, space in ((first, ""), (other, " ")):
+                names = pa.array([space + s for s in some], pa.string())
+                numbers = pa.array(some.values(), pa.int64())
+                yield pa.RecordBatch.from_arrays([names, numbers], names=["stretch", "n"])
+                some.clear()
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                begin, *others = cut(text)
+                if begin:
+                    first[begin] += 1
+                other.update(others)
+                read += len(text)
+                if len(first) + len(other) > MOST_COUNTED or read > MOST_READ:
+                    yield from counted()
+                    read = 0
+        yield from counted()
+
+    parts = map_batches(df.select(text_of(text_col).alias("text")), run, "stretch string, n long")
+    return parts.groupBy("stretch").agg(F.sum("n").alias("n"))
+
+
+def token_use(counts: DataFrame, path: str, pattern: str) -> dict[int, int]:
+    """How often the best cuts of counted stretches, by the first model, use each rank.
+
+    Every different stretch is cut once; what comes to the driver has a row for each token of
+    the vocabulary at most.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unigram = counter(path, pattern)
+        used: Counter[int] = Counter()
+        for batch in batches:
+            pieces: Counter[str] = Counter()
+            for stretch, n in zip(*(c.to_pylist() for c in batch.columns)):
+                for piece in unigram.stretches.pieces(stretch):
+                    pieces[piece] += n
+            rows = sorted((p.encode(), n) for p, n in pieces.items())
+            unigram.count([p for p, _ in rows], (n for _, n in rows), used)
+        arrays = [pa.array(some, pa.int64()) for some in (used.keys(), used.values())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["token", "n"])
 
-        def work(texts: list[str]) -> dict[str, list]:
-            pieces: list[int] = []
-            tokens: list[int] = []
-            scores: list[float] = []
-            for begin in range(0, len(texts), 32):
-                for p, t, s in unigram.texts(texts[begin : begin + 32]):
-                    pieces.append(p)
-                    tokens.append(t)
-                    scores.append(round(s, 6))
-            return {"n_pieces": pieces, "n_tokens": tokens, "log_score": scores}
+    uses = map_batches(counts.select("stretch", "n"), run, "token long, n long")
+    return {r.token: r.n for r in uses.groupBy("token").agg(F.sum("n").alias("n")).collect()}
 
-        return work
 
-    fields = "n_pieces long, n_tokens long, log_score double"
-    return map_texts(df, id_col, text_col, start, fields, as_bytes=False)
+def frequent_stretches(counts: DataFrame, most: int = FREQUENT_BYTES) -> DataFrame:
+    """``stretch`` of those whose share of all occurrences is at least their share of ``most`` bytes.
+
+    As shares add up to 1, all of them together have at most ``most`` bytes, whatever the corpus.
+    """
+    total = counts.agg(F.sum("n").cast("double")).scalar()
+    takes = F.octet_length("stretch") + ENTRY_BYTES
+    return counts.where(F.col("n") * float(most) >= takes * total).select("stretch")
+
+
+def score_stretches(stretches: DataFrame, make: Callable[[], UnigramCounter]) -> DataFrame:
+    """``stretch, n_pieces, n_tokens, log_score`` of different stretches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unigram = make()
+        for batch in batches:
+            made = unigram.rows(batch.column(0).to_pylist())
+            arrays = [pa.array(some, kind) for some, kind in zip(zip(*made.values()), kinds)]
+            if arrays:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=names)
+
+    kinds, names = (pa.int64(), pa.int64(), pa.float64()), ["stretch", "n_pieces", "n_tokens", "log_score"]
+    return map_batches(stretches, run, "stretch string, n_pieces long, n_tokens long, log_score double")
+
+
+def count_by_corpus(
+    df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """As :func:`count_tokens`, by scores that all texts of ``df`` give.
+
+    A token's probability is one more than its uses in the corpus, over the sum of these. Frequent
+    stretches are scored once for all tasks; the others where they stand, in the trie of the texts
+    around them. A table without rows gives none; repeated rows count as often as they occur.
+    """
+    counts = stretch_counts(df, pattern, text_col).sortWithinPartitions("stretch")
+    counts = stored(counts, "stretches")
+    uses = token_use(counts, path, pattern)
+
+    def model(frequent: dict | None) -> Callable[[], UnigramCounter]:
+        shared, name = df.sparkSession.sparkContext.broadcast((uses, frequent)), uuid4().hex
+        return lambda: fitted(name, path, pattern, shared)
+
+    scored = score_stretches(frequent_stretches(counts), model(None)).collect()
+    return _count(df, model({r[0]: tuple(r[1:]) for r in scored}), id_col, text_col)
