@@ -28,7 +28,7 @@ from cardlens.llm.graphs import stored
 from cardlens.llm.tables import map_batches, map_texts, steps, text_of
 
 #: Most stretches whose counts a worker process keeps, and the longest kept (characters).
-MOST_KEPT, LONGEST_KEPT = 500_000, 24
+MOST_KEPT, LONGEST_KEPT = 1_000_000, 24
 #: Characters of texts whose new pieces share a trie.
 TOGETHER = 1_000_000
 #: Different stretches, and characters of texts, behind which a task hands on partial counts.
@@ -59,12 +59,12 @@ class UnigramCounter:
             self.scores = {t: log(counts.get(r, 0) + 1) - total for t, r in ranks.items()}
         self.ranks = ranks
         self.reach = max(map(len, ranks))
-        #: Lengths of longer tokens by their last four bytes: the only ones worth a look.
-        self.lengths: dict[bytes, list[int]] = {}
+        #: Lengths worth a look, by the last four bytes; of other ends, only the shortest are.
+        longer: dict[bytes, set[int]] = {}
         for token in ranks:
             if len(token) > 3:
-                self.lengths.setdefault(token[-4:], []).append(len(token))
-        self.lengths = {end: sorted(set(some)) for end, some in self.lengths.items()}
+                longer.setdefault(token[-4:], set()).add(len(token))
+        self.lengths = {end: (2, 3, *sorted(some)) for end, some in longer.items()}
         self.stretches = Stretches(pattern)
         self.frequent = frequent or {}
         self.known = dict(self.frequent)  # by stretch
@@ -85,7 +85,8 @@ class UnigramCounter:
         last: list[int] = [0]
         weight = iter(weights)
         before = b""
-        scores, lengths = self.scores, self.lengths
+        scores, lengths, short = self.scores, self.lengths, (2, 3)
+        single = [scores[bytes([b])] for b in range(256)]
         for piece in pieces:
             shared = 0
             for a, b in zip(before, piece):
@@ -94,9 +95,9 @@ class UnigramCounter:
                 shared += 1
             del best[shared + 1 :], tokens[shared + 1 :], last[shared + 1 :]
             for end in range(shared + 1, len(piece) + 1):
-                top, count = best[end - 1] + scores[piece[end - 1 : end]], tokens[end - 1] + 1
+                top, count = best[-1] + single[piece[end - 1]], tokens[-1] + 1
                 size = 1
-                for n in (2, 3, *lengths.get(piece[max(0, end - 4) : end], ())):
+                for n in lengths.get(piece[end - 4 : end], short) if end > 3 else short:
                     if n > end:
                         break
                     score = scores.get(piece[end - n : end])
@@ -135,16 +136,17 @@ class UnigramCounter:
             self.known = dict(self.frequent)
             self.words.clear()
         cut = [self.stretches.cut(text) for text in texts]
-        firsts = [some[0] for some in cut]
-        spaced = [[" " + s for s in some[1:]] for some in cut]
-        new = {s for some in spaced for s in some if s not in self.known}
-        fresh = self.rows(new.union(firsts))
+        firsts = [some.pop(0) for some in cut]
+        here = set().union(*cut)
+        values = {s: self.known.get(" " + s) for s in here}  # small, unlike what is kept
+        new = [" " + s for s, value in values.items() if value is None]
+        fresh = self.rows({*new, *firsts})
         self.known.update((s, fresh[s]) for s in new if len(s) <= LONGEST_KEPT)
-        made = []
-        for first, others in zip(firsts, spaced):
-            rows = [self.known.get(s) or fresh[s] for s in others]
-            made.append(tuple(map(sum, zip(fresh[first], *rows))))
-        return made
+        values.update((s[1:], fresh[s]) for s in new)
+        return [
+            tuple(map(sum, zip(fresh[first], *map(values.__getitem__, others))))
+            for first, others in zip(firsts, cut)
+        ]
 
 
 @lru_cache(maxsize=2)
