@@ -27,8 +27,8 @@ from cardlens.llm.byte_bpe import Stretches, read_ranks
 from cardlens.llm.graphs import stored
 from cardlens.llm.tables import map_batches, map_texts, steps, text_of
 
-#: Most stretches whose counts a worker process keeps, and the longest kept (characters).
-MOST_KEPT, LONGEST_KEPT = 1_000_000, 24
+#: Most stretches and pieces whose counts a worker process keeps, and the longest kept (characters).
+MOST_KEPT, LONGEST_KEPT = 800_000, 24
 #: Characters of texts whose new pieces share a trie.
 TOGETHER = 1_000_000
 #: Different stretches, and characters of texts, behind which a task hands on partial counts.
@@ -67,8 +67,7 @@ class UnigramCounter:
         self.lengths = {end: (2, 3, *sorted(some)) for end, some in longer.items()}
         self.stretches = Stretches(pattern)
         self.frequent = frequent or {}
-        self.known = dict(self.frequent)  # by stretch
-        self.words: dict[str, tuple[int, float]] = {}  # by piece
+        self.known = dict(self.frequent)  # by stretch or piece
 
     def count(
         self, pieces: list[bytes], weights: Iterable[int] = (), used: Counter | None = None
@@ -120,21 +119,29 @@ class UnigramCounter:
     def rows(self, some: Iterable[str]) -> dict[str, tuple[int, int, float]]:
         """Pieces, tokens and score of different stretches."""
         found = {s: self.stretches.pieces(s) for s in some}
-        pieces = {p for row in found.values() for p in row if p not in self.words}
+        known = self.known
+        pieces = {p for row in found.values() for p in row if p not in known}
         pieces = sorted(pieces, key=str.encode)
-        fresh = dict(zip(pieces, self.count([p.encode() for p in pieces])))
-        self.words.update((p, c) for p, c in fresh.items() if len(p) <= LONGEST_KEPT)
+        counts = self.count([p.encode() for p in pieces])
+        fresh = {p: (1, n, score) for p, (n, score) in zip(pieces, counts)}
+        known.update((p, c) for p, c in fresh.items() if len(p) <= LONGEST_KEPT)
         made = {}
         for s, row in found.items():
-            counts = [self.words.get(p) or fresh[p] for p in row]
-            made[s] = (len(row), sum(c[0] for c in counts), sum(c[1] for c in counts))
+            if len(row) == 1:
+                made[s] = known.get(row[0]) or fresh[row[0]]
+            else:
+                tokens, score = 0, 0.0
+                for p in row:
+                    _, n, part = known.get(p) or fresh[p]
+                    tokens += n
+                    score += part
+                made[s] = (len(row), tokens, score)
         return made
 
     def texts(self, texts: list[str]) -> list[tuple[int, int, float]]:
         """Pieces, tokens and score of each text; distinct stretches are counted once."""
-        if max(len(self.known) - len(self.frequent), len(self.words)) > MOST_KEPT:
+        if len(self.known) - len(self.frequent) > MOST_KEPT:
             self.known = dict(self.frequent)
-            self.words.clear()
         cut = [self.stretches.cut(text) for text in texts]
         firsts = [some.pop(0) for some in cut]
         here = set().union(*cut)
@@ -238,13 +245,23 @@ def token_use(counts: DataFrame, path: str, pattern: str) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unigram = counter(path, pattern)
         used: Counter[int] = Counter()
+        pieces: Counter[str] = Counter()
+
+        def cut() -> None:
+            rows = sorted((p.encode(), n) for p, n in pieces.items())
+            unigram.count([p for p, _ in rows], (n for _, n in rows), used)
+            pieces.clear()
+
+        read = 0
         for batch in batches:
-            pieces: Counter[str] = Counter()
             for stretch, n in zip(*(c.to_pylist() for c in batch.columns)):
                 for piece in unigram.stretches.pieces(stretch):
                     pieces[piece] += n
-            rows = sorted((p.encode(), n) for p, n in pieces.items())
-            unigram.count([p for p, _ in rows], (n for _, n in rows), used)
+                read += len(stretch)
+                if len(pieces) > MOST_COUNTED or read > MOST_READ:
+                    cut()
+                    read = 0
+        cut()
         arrays = [pa.array(some, pa.int64()) for some in (used.keys(), used.values())]
         yield pa.RecordBatch.from_arrays(arrays, names=["token", "n"])
 
