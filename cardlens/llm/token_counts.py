@@ -28,11 +28,11 @@ from cardlens.llm.graphs import stored
 from cardlens.llm.tables import map_batches, map_texts, steps, text_of
 
 #: Most stretches and pieces whose counts a worker process keeps, and the longest kept (characters).
-MOST_KEPT, LONGEST_KEPT = 800_000, 24
+MOST_KEPT, LONGEST_KEPT = 700_000, 24
 #: Characters of texts whose new pieces share a trie.
 TOGETHER = 1_000_000
 #: Different stretches, and characters of texts, behind which a task hands on partial counts.
-MOST_COUNTED, MOST_READ = 400_000, 64_000_000
+MOST_COUNTED, MOST_READ = 400_000, 16_000_000
 #: Bytes of frequent stretches that every worker gets, and what an entry takes besides its text.
 FREQUENT_BYTES, ENTRY_BYTES = 16_000_000, 16
 
@@ -207,6 +207,7 @@ def stretch_counts(df: DataFrame, pattern: str, text_col: str = "text") -> DataF
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _fitted.clear()  # a worker serves many jobs: the memory of one that is over goes
         cut = Stretches(pattern).cut
         first: Counter[str] = Counter()
         other: Counter[str] = Counter()
