@@ -28,7 +28,7 @@ from cardlens.llm.graphs import stored
 from cardlens.llm.tables import map_batches, map_texts, steps, text_of
 
 #: Most stretches and pieces whose counts a worker process keeps, and the longest kept (characters).
-MOST_KEPT, LONGEST_KEPT = 700_000, 24
+MOST_KEPT, LONGEST_KEPT = 350_000, 24
 #: Characters of texts whose new pieces share a trie.
 TOGETHER = 1_000_000
 #: Different stretches, and characters of texts, behind which a task hands on partial counts.
