@@ -5,9 +5,11 @@ Only fitted models and metric rows reach the driver; predictions are always redu
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from math import ceil
+from threading import Lock
 from typing import TypeVar
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -30,7 +32,7 @@ from cardlens.operators.joins import with_class_weight
 from cardlens.operators.ranking import lower_medians
 from cardlens.operators.sampling import split, stratified_split
 from cardlens.operators.selection import rename_for_models
-from cardlens.plans.layout import reused
+from cardlens.plans.layout import rebalance, reused
 from cardlens.session import scratch_folder, settled
 
 Result = TypeVar("Result")
@@ -175,11 +177,39 @@ def fraud_estimators(settings: FraudSettings) -> dict[str, object]:
     }
 
 
+class FittedOnDemand(Mapping):
+    """Models by name, each fitted when it is first asked for.
+
+    A fit keeps its own form of the rows (a forest of 100 trees takes half a kilobyte for each),
+    so one runs at a time, the rows themselves wait on disk, and nothing is fitted that is not
+    asked for.
+    """
+
+    def __init__(self, estimators: dict[str, object], train: DataFrame) -> None:
+        self._estimators, self._train = estimators, train
+        self._fitted: dict[str, Model] = {}
+        self._lock = Lock()
+
+    def __getitem__(self, name: str) -> Model:
+        estimator = self._estimators[name]
+        with self._lock:
+            if name not in self._fitted:
+                with reused(dealt(self._train), StorageLevel.DISK_ONLY) as rows:
+                    self._fitted[name] = stored_model(estimator.fit(rows), rows.sparkSession)
+            return self._fitted[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._estimators)
+
+    def __len__(self) -> int:
+        return len(self._estimators)
+
+
 @dataclass(frozen=True)
 class FraudStudy:
-    """Fitted classifiers with the rows they have not seen."""
+    """Classifiers with the rows they have not seen."""
 
-    models: dict[str, Model]
+    models: Mapping[str, Model]
     test: DataFrame
     train: DataFrame | None = None
 
@@ -190,17 +220,29 @@ class FraudStudy:
 def fit_fraud_models(
     features: DataFrame, settings: FraudSettings = FraudSettings()
 ) -> FraudStudy:
-    """Trains the three classifiers on a stratified 80 % of the rows.
+    """The three classifiers for a stratified 80 % of the rows, fitted when asked for.
 
     The vectors are stored once: fits and scores read them, not the features again.
     """
     train, test = stratified_split(settled(fraud_vectors(features)), seed=settings.seed)
-    estimators = fraud_estimators(settings)
-    with reused(train, StorageLevel.MEMORY_AND_DISK) as rows:
-        fitted = at_once(
-            [lambda e=e: stored_model(e.fit(rows), train.sparkSession) for e in estimators.values()]
-        )
-    return FraudStudy(dict(zip(estimators, fitted)), test, train)
+    return FraudStudy(FittedOnDemand(fraud_estimators(settings), train), test, train)
+
+
+#: Rows that are worth a task of a fit, and the most that a task should hold.
+FIT_ROWS, MOST_FIT_ROWS = 5_000, 1_000_000
+
+
+def dealt(rows: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """``rows`` in tasks of equal size: one for each core, or as many more as they need.
+
+    A fit passes over its rows hundreds of times. With a task for each stored file, most cores
+    wait for a last one in each pass; but every task of a forest also has statistics of all
+    nodes, so more tasks than needed cost more than they spread.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    n = rows.count()
+    needed = cores * max(1, ceil(n / (cores * MOST_FIT_ROWS)))
+    return rebalance(rows, max(1, min(needed, ceil(n / FIT_ROWS))), key)
 
 
 def at_once(fits: list[Callable[[], Result]], parallelism: int = 3) -> list[Result]:
@@ -514,7 +556,7 @@ def fit_category_model(
         maxDepth=settings.depth,
         seed=settings.seed,
     )
-    with reused(train, StorageLevel.MEMORY_AND_DISK) as rows:
+    with reused(dealt(train), StorageLevel.DISK_ONLY) as rows:
         model = forest.fit(rows)
     return model, model.transform(test)
 
@@ -551,7 +593,7 @@ def fit_amount_model(
         maxDepth=settings.depth,
         seed=settings.seed,
     )
-    with reused(train, StorageLevel.MEMORY_AND_DISK) as rows:
+    with reused(dealt(train), StorageLevel.DISK_ONLY) as rows:
         model = forest.fit(rows)
     return model, model.transform(test)
 

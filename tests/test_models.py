@@ -99,6 +99,27 @@ def test_card_profiles_take_the_first_transaction(spark):
     assert (r.card_id, r.age, r.gender_bin, r.avg_amount, r.tx_count) == ("c", 40, 0, 2.0, 2)
 
 
+def test_only_the_model_asked_for_is_fitted(features, monkeypatch):
+    fitted = []
+    stored = models.stored_model
+    monkeypatch.setattr(models, "stored_model", lambda m, s: fitted.append(type(m).__name__) or stored(m, s))
+    study = models.fit_fraud_models(features, SETTINGS)
+    assert list(study.models) == ["Logistic Regression", "Random Forest", "GBT"]
+    study.predictions("Logistic Regression")
+    study.predictions("Logistic Regression")
+    assert fitted == ["LogisticRegressionModel"]
+    with pytest.raises(KeyError):
+        study.models["other"]
+
+
+def test_fits_get_equal_tasks(spark):
+    files = spark.range(40_000).select(F.col("id").alias("transaction_id")).coalesce(3)
+    tasks = models.dealt(files)
+    assert tasks.rdd.getNumPartitions() == 8
+    sizes = [n for n in tasks.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()]
+    assert sum(sizes) == 40_000 and max(sizes) < 1.2 * 5_000
+
+
 def test_category_and_amount_models(features):
     model, predictions = models.fit_category_model(features, FOREST)
     names = models.category_names(features)
