@@ -17,6 +17,7 @@ from cardlens.catalog.stored import built_features, once, stored_transactions
 from cardlens.operators import evaluation, models, portfolio, trees
 from cardlens.operators.joins import with_class_weight
 from cardlens.operators.ranking import lower_medians, running_counts, value_counts
+from cardlens.session import settled
 
 
 def _fraud(spark: SparkSession, folder: str) -> models.FraudStudy:
@@ -608,24 +609,38 @@ def rule_segment_exposure(spark, folder):
 )
 def imputed_bounds(spark, folder):
     """No input is missing afterwards, and what was put in covers half of the known values,
-    to the thousandth of the rows that the imputer is off at most."""
+    to the thousandth of the rows that the imputer is off at most.
+
+    Each row carries its inputs from before, so that nothing is joined to find what was put in,
+    and all columns are ranked in one sort of (column, value).
+    """
+    inputs = models.FRAUD_FEATURES
     before = models.rename_for_models(built_features(spark, folder)).select(
-        "transaction_id", *models.FRAUD_FEATURES
+        "transaction_id", *inputs, *[F.col(c).alias(f"before_{c}") for c in inputs]
     )
-    after = models.impute_medians(before, models.FRAUD_FEATURES)
-    lines = None
-    for c in models.FRAUD_FEATURES:
-        gaps = before.where(F.col(c).isNull()).select("transaction_id")
-        put_in = after.join(gaps, "transaction_id", "left_semi").agg(F.max(c)).scalar()
-        ranked = running_counts(value_counts(before, c), c)
-        slack = F.col("total") * 0.001 + 1
-        holds = (F.col("before") - slack <= F.col("total") / 2) & (F.col("upto") + slack >= F.col("total") / 2)
-        near = ranked.where(F.col(c) == put_in).agg(F.coalesce(F.bool_and(holds), F.lit(True))).scalar()
-        line = after.agg(F.count_if(F.col(c).isNull()).alias("missing"), F.count(F.lit(1)).alias("n")).select(
-            F.lit(c).alias("column_name"), "missing", near.alias("near_median"), "n"
+    after = models.impute_medians(before, inputs)
+    facts = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.count_if(F.col(c).isNull()).alias("missing"),
+            F.max(F.when(F.col(f"before_{c}").isNull(), F.col(c))).cast("double").alias("put_in"),
+            F.count(F.lit(1)).alias("n"),
         )
-        lines = line if lines is None else lines.unionByName(line)
-    return lines
+        for c in inputs
+    ]
+    lines = settled(after.agg(F.array(*facts).alias("facts")).select(F.inline("facts")))
+    known = [
+        F.struct(F.lit(c).alias("known_column"), F.col(c).cast("double").alias("value")) for c in inputs
+    ]
+    counts = value_counts(before.select(F.inline(F.array(*known))), "value", ("known_column",))
+    ranked = running_counts(counts, "value", ("known_column",))
+    slack = F.col("total") * 0.001 + 1
+    holds = (F.col("before") - slack <= F.col("total") / 2) & (F.col("upto") + slack >= F.col("total") / 2)
+    found = (F.col("known_column") == F.col("column_name")) & (F.col("value") == F.col("put_in"))
+    near = ranked.join(F.broadcast(lines), found).groupBy("column_name").agg(F.bool_and(holds).alias("near"))
+    return lines.join(F.broadcast(near), "column_name", "left").select(
+        "column_name", "missing", F.coalesce("near", F.lit(True)).alias("near_median"), "n"
+    )
 
 
 _ALL_ROWS = "SELECT CAST(count(*) AS BIGINT) AS n, true AS tests_a_fifth, true AS chances_in_range, true AS decides_by_chance FROM tx"

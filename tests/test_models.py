@@ -1,5 +1,6 @@
 import pytest
 from conftest import SMALL
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cardlens.catalog.stored import built_features
@@ -133,3 +134,16 @@ def test_category_and_amount_models(features):
     for metric in ("rmse", "mae", "r2"):
         theirs = RegressionEvaluator(labelCol="amount_log1p", metricName=metric).evaluate(predicted)
         assert own[metric] == pytest.approx(theirs)
+
+
+def test_bounds_of_imputed_values_join_no_rows(spark, no_broadcast, monkeypatch):
+    from cardlens.catalog.models import imputed_bounds
+
+    lines = imputed_bounds(spark, SMALL)
+    assert lines._jdf.queryExecution().optimizedPlan().toString().count("transaction_id") == 0
+    assert all(r.near_median and r.missing == 0 for r in lines.collect())
+    right = models.impute_medians
+    monkeypatch.setattr(
+        models, "impute_medians", lambda df, c: right(df.withColumn("age", F.coalesce("age", F.max("age").over(Window.partitionBy()))), c)
+    )
+    assert {r.column_name for r in imputed_bounds(spark, SMALL).collect() if not r.near_median} == {"age"}
