@@ -118,6 +118,9 @@ def new_rows(incoming: DataFrame, stored: DataFrame, key: str, bits: int = FILTE
     Spark's bitmap aggregates. Its size is fixed, so every task gets it, and of the stored keys
     only those that it lets through are shuffled: a small batch does not move a large table.
     A filter that a large batch has filled lets more keys through and drops none.
+
+    The rows meet the stored keys by plain equality, so that ``incoming`` that is already dealt
+    by its key, as after deduplication, is not shuffled again; a missing key is looked up once.
     """
 
     def place(column: str) -> Column:
@@ -134,4 +137,6 @@ def new_rows(incoming: DataFrame, stored: DataFrame, key: str, bits: int = FILTE
         F.broadcast(bitmaps), "bucket"
     )
     held = maybe.where(F.getbit(byte, (at % 8).cast("int")) == 1).select("stored_key").distinct()
-    return incoming.join(held, F.col(key).eqNullSafe(F.col("stored_key")), "left_anti")
+    fresh = incoming.join(held, F.col(key) == F.col("stored_key"), "left_anti")
+    lacking = stored.where(F.col(key).isNull()).agg(F.count(F.lit(1))).scalar()
+    return fresh.where(F.col(key).isNotNull() | (lacking == 0))

@@ -126,6 +126,16 @@ def test_only_heavy_keys_are_cut(spark):
     assert found["hot"].slices == -(-2000 * 16 * 2 // 6900)
 
 
+def test_deduplicated_rows_are_not_shuffled_again(spark, no_broadcast):
+    rows = spark.range(1000).select((F.col("id") % 50).cast("string").alias("k"), "id")
+    incoming = rows.groupBy("k").agg(F.min("id").alias("id"))
+    stored = rows.select("k").where("id < 20")
+    new = columnar.new_rows(incoming, stored, "k")
+    assert {r.k for r in new.collect()} == {str(i) for i in range(20, 50)}
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "coalesce(k" not in plan
+
+
 def test_new_rows_shuffle_only_filtered_keys(spark, no_broadcast):
     incoming, stored = spark.range(10).select(F.col("id").alias("k")), spark.range(1000).select(F.col("id").alias("k"))
     new = columnar.new_rows(incoming, stored, "k")
