@@ -29,8 +29,8 @@ from cardlens.session import scratch_folder
 PART_BYTES = 8 << 20
 #: Bytes of training text in a block (a longer text on its own), and candidates probed at a time.
 BLOCK_BYTES, PROBES = 2 << 20, 1 << 19
-#: Blocks that a task reads at a time.
-BLOCKS_READ = 4
+#: Blocks that a task reads at a time, and texts that one which packs blocks gets at a time.
+BLOCKS_READ, TEXTS_READ = 4, 256
 
 _PLACE = np.int64(40)  # a posting is term << 40 | position
 
@@ -238,8 +238,9 @@ def write_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
         if names:
             yield packed(names, documents)
 
-    blocks = map_batches(rows, run, schema)
-    blocks.withColumn("block", F.monotonically_increasing_id()).write.parquet(path)
+    blocks = map_batches(rows, run, schema).withColumn("block", F.monotonically_increasing_id())
+    few = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(TEXTS_READ)}
+    under_settings(docs.sparkSession, few, lambda: blocks.write.parquet(path))
 
 
 def passage_parts(

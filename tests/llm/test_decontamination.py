@@ -139,3 +139,22 @@ def test_blocks_read_as_written():
     assert again.words == block.words and (again.places == block.places).all()
     lists = {w: again.places[again.heads[i] : again.heads[i + 1]].tolist() for i, w in enumerate(again.words)}
     assert lists == {b"a": [0, 2, 5, 7], b"b": [1], b"c": [3, 4], "é".encode(): [6]}
+
+
+def test_texts_are_packed_few_at_a_time(spark, tmp_path, monkeypatch):
+    direct = decontamination.map_batches
+
+    def watched(df, run, schema):
+        def few(batches):
+            for batch in batches:
+                if batch.num_rows > 256:
+                    raise ValueError("too many texts at a time")
+                yield batch
+
+        return direct(df, lambda batches: run(few(batches)), schema)
+
+    monkeypatch.setattr(decontamination, "map_batches", watched)
+    docs = spark.range(1000).selectExpr("id AS doc_id", "concat('text ', id) AS text").coalesce(1)
+    path = str(tmp_path / "index")
+    decontamination.write_index(docs, path)
+    assert spark.read.parquet(path).selectExpr("explode(ids)").count() == 1000
