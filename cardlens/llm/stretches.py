@@ -18,6 +18,8 @@ from itertools import chain
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from cardlens.llm.byte_bpe import Stretches
 
@@ -68,6 +70,41 @@ def joinable(some: list[str]) -> list[list[str]]:
     return [row for row in rows if row]
 
 
+class Coded:
+    """The stretches of some texts as numbers.
+
+    ``others`` and ``firsts`` are the different stretches behind a space (without it) and at the
+    start of a text. ``codes`` has the place of each occurrence in ``others + firsts``, text by
+    text in the order ``order``; those of the k-th lie between ``bounds[k]`` and ``bounds[k + 1]``.
+    """
+
+    def __init__(self, texts: list[str], between: Callable[[str], list[str]]) -> None:
+        near = list(map(near_white, texts))
+        self.order = sorted(range(len(texts)), key=near.__getitem__)
+        plain = [texts[k] for k in self.order[: len(texts) - sum(near)]]
+        cut = [between(texts[k]) for k in self.order[len(plain) :]]
+        rows = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        flat = pa.concat_arrays([rows.flatten(), pa.array(chain.from_iterable(cut), pa.large_string())])
+        sizes = [*pc.list_value_length(rows).to_pylist(), *map(len, cut)]
+        self.bounds = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))])
+        coded = flat.dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        codes[self.bounds[:-1]] += len(names)  # a first stretch has no space before it
+        seen = np.zeros(2 * len(names), bool)
+        seen[codes] = True
+        self.codes = (np.cumsum(seen) - 1)[codes]
+        self.others = [names[k] for k in np.flatnonzero(seen[: len(names)]).tolist()]
+        self.firsts = [names[k] for k in np.flatnonzero(seen[len(names) :]).tolist()]
+
+    def in_order(self, values: list) -> list:
+        """Values of the texts, as they were given, from those in the order ``order``."""
+        made = [None] * len(values)
+        for k, value in zip(self.order, values):
+            made[k] = value
+        return made
+
+
 class Library:
     """A tokenizer: ``tokens``, the bytes of each id, and ``whole``, ids of texts as arrays.
 
@@ -151,12 +188,26 @@ class ByteLevel(Library):
         """Ids of each text, whether it begins with a space or not."""
         if not self.cuttable:
             return list(map(as_bytes, self.whole(texts)))
-        made = list(map(b"".join, self.memory.rows(texts)))
+        made = self._joined(texts)
         held = [k for k, text in enumerate(texts) if any(s in text for s in self.special)]
         for k, ids in zip(held, self.whole([texts[k] for k in held]) if held else []):
             made[k] = as_bytes(ids)
         return made
 
+    def _joined(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text from those of its stretches."""
+        coded = Coded(texts, self.memory.between)
+        values = [*self.memory.values(coded.others), *self.memory.find(coded.firsts)]
+        ids = np.frombuffer(b"".join(values), "<u4")
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        begins = np.cumsum(sizes) - sizes
+        taken = sizes[coded.codes]
+        ends = np.concatenate([[0], np.cumsum(taken)])
+        place = np.repeat(begins[coded.codes] - ends[:-1], taken)
+        place += np.arange(len(place))
+        data, bounds = ids[place].tobytes(), (4 * ends[coded.bounds]).tolist()
+        return coded.in_order(list(map(data.__getitem__, map(slice, bounds, bounds[1:]))))
+
 
 class Pieces(Library):
     """A tokenizer of the ``sentencepiece`` library that itself puts a space before a text."""
@@ -191,6 +242,18 @@ class Memory:
         """The first stretch, then the others, each without the space that it begins with."""
         return self.between(text) if near_white(text) else text.split(" ")
 
+    def values(self, some: list[str]) -> list:
+        """Values of different stretches, named without the space that they begin with."""
+        known = self.known
+        if len(known) > self.most:
+            known.clear()
+        found = list(map(known.get, some))
+        new = [s for s, value in zip(some, found) if value is None]
+        fresh = self.find([" " + s for s in new]) if new else []
+        known.update((s, value) for s, value in zip(new, fresh) if len(s) <= LONGEST_KEPT)
+        left = iter(fresh)
+        return [next(left) if value is None else value for value in found]
+
     def rows(self, texts: list[str]) -> Iterator[Iterator]:
         """For each text, the values of its stretches in order; to be read one by one."""
         known = self.known

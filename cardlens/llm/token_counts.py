@@ -16,19 +16,24 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import repeat
 from math import log
 from uuid import uuid4
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.llm.byte_bpe import Stretches, read_ranks
 from cardlens.llm.graphs import stored
-from cardlens.llm.tables import map_batches, map_texts, steps, text_of
+from cardlens.llm.stretches import Coded, joinable
+from cardlens.llm.tables import STEP, map_batches, map_texts, steps, text_of
 
 #: Most stretches and pieces whose counts a worker process keeps, and the longest kept (characters).
 MOST_KEPT, LONGEST_KEPT = 350_000, 24
+#: Pieces that are cut as arrays: the longest (bytes), and the most at a time.
+TOGETHER_BYTES, TOGETHER_PIECES = 48, 1 << 15
 #: Characters of texts whose new pieces share a trie.
 TOGETHER = 1_000_000
 #: Different stretches, and characters of texts, behind which a task hands on partial counts.
@@ -37,6 +42,35 @@ MOST_COUNTED, MOST_READ = 400_000, 16_000_000
 FREQUENT_BYTES, ENTRY_BYTES = 16_000_000, 16
 
 
+class Suffixes:
+    """The trie of a vocabulary's reversed tokens.
+
+    ``table[(state << 8) + byte]`` is the next state, 0 if there is none; only the first
+    ``inner`` states have any. ``ranks`` has the rank of each state that is a token, else -1.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        edges: dict[tuple[int, int], int] = {}
+        ends: dict[bytes, int] = {}
+        for token in ranks:
+            state = 0
+            for byte in reversed(token):
+                state = edges.setdefault((state, byte), len(edges) + 1)
+            ends[token] = state
+        inner = sorted({state for state, _ in edges})
+        place = {state: i for i, state in enumerate(inner)}
+        for state in range(len(edges) + 1):
+            place.setdefault(state, len(place))
+        self.inner = len(inner)
+        self.table = np.zeros(self.inner << 8, np.int32)
+        for (state, byte), following in edges.items():
+            self.table[(place[state] << 8) + byte] = place[following]
+        self.states = {token: place[state] for token, state in ends.items()}
+        self.ranks = np.full(len(place), -1, np.int64)
+        for token, state in self.states.items():
+            self.ranks[state] = ranks[token]
+
+
 class UnigramCounter:
     """Best cuts of pieces into tokens. Every single byte has to be a token.
 
@@ -50,6 +84,7 @@ class UnigramCounter:
         pattern: str,
         counts: dict[int, int] | None = None,
         frequent: dict[str, tuple[int, int, float]] | None = None,
+        suffixes: Suffixes | None = None,
     ) -> None:
         if counts is None:
             total = log(sum(1 / (r + 1) for r in ranks.values()))
@@ -58,7 +93,8 @@ class UnigramCounter:
             total = log(sum(counts.values()) + len(ranks))
             self.scores = {t: log(counts.get(r, 0) + 1) - total for t, r in ranks.items()}
         self.ranks = ranks
-        self.reach = max(map(len, ranks))
+        self.suffixes = suffixes or Suffixes(ranks)
+        self._valued: tuple[dict | None, np.ndarray | None] = (None, None)
         #: Lengths worth a look, by the last four bytes; of other ends, only the shortest are.
         longer: dict[bytes, set[int]] = {}
         for token in ranks:
@@ -66,8 +102,12 @@ class UnigramCounter:
                 longer.setdefault(token[-4:], set()).add(len(token))
         self.lengths = {end: (2, 3, *sorted(some)) for end, some in longer.items()}
         self.stretches = Stretches(pattern)
-        self.frequent = frequent or {}
-        self.known = dict(self.frequent)  # by stretch or piece
+        self.frequent = list(frequent or ())
+        #: Pieces, tokens and score of what is remembered; ``known`` has the places.
+        self.kept = np.zeros((3, len(self.frequent) + MOST_KEPT))
+        if self.frequent:
+            self.kept[:, : len(self.frequent)] = np.array(list(frequent.values()), np.float64).T
+        self._forget()
 
     def count(
         self, pieces: list[bytes], weights: Iterable[int] = (), used: Counter | None = None
@@ -78,6 +118,100 @@ class UnigramCounter:
         equal scores, the one with fewer tokens counts, then that with the shorter last token.
         ``used`` gets the ranks of each best cut, as often as the piece's weight says.
         """
+        made: list = [(0, 0.0)] * len(pieces)
+        weights = list(weights)
+        long = [i for i, p in enumerate(pieces) if len(p) > TOGETHER_BYTES]
+        short = [i for i, p in enumerate(pieces) if 0 < len(p) <= TOGETHER_BYTES]
+        for walk, places, most in ((self._one_by_one, long, TOGETHER_PIECES), (self._by_depth, short, TOGETHER_PIECES)):
+            for begin in range(0, len(places), most):
+                part = places[begin : begin + most]
+                some = [pieces[i] for i in part]
+                found = walk(some, [weights[i] for i in part] if used is not None else (), used)
+                for i, value in zip(part, found):
+                    made[i] = value
+        return made
+
+    def _by_depth(
+        self, pieces: list[bytes], weights: Iterable[int], used: Counter | None
+    ) -> Iterable[tuple[int, float]]:
+        """:meth:`count` for all prefixes of one length at a time, as arrays.
+
+        ``path[d]`` has the prefix of length d of each piece, ``best`` and the others have an
+        entry for each such prefix. The last tokens to choose from are found along the trie of
+        reversed tokens.
+        """
+        table, inner = self.suffixes.table, self.suffixes.inner
+        values, named = self._values(), self.suffixes.ranks
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        width = int(sizes.max())
+        letters = np.zeros((len(pieces), width), np.uint8)
+        letters[np.arange(width) < sizes[:, None]] = np.frombuffer(b"".join(pieces), np.uint8)
+        letters = np.ascontiguousarray(letters.T)
+        shared = np.zeros(len(pieces), np.int64)
+        same = np.logical_and.accumulate(letters[:, 1:] == letters[:, :-1], axis=0).sum(axis=0)
+        shared[1:] = np.minimum(same, np.minimum(sizes[1:], sizes[:-1]))
+        path = [np.zeros(len(pieces), np.int64)]
+        best, tokens = [np.zeros(1)], [np.zeros(1, np.int64)]
+        last, chosen = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
+        for end in range(1, width + 1):
+            fresh = (sizes >= end) & (shared < end)
+            path.append(np.cumsum(fresh) - 1)
+            row = np.flatnonzero(fresh)
+            at = np.arange(len(row))
+            state = table[letters[end - 1][row]]
+            before = path[end - 1][row]
+            top = best[end - 1][before] + values[state]
+            count = tokens[end - 1][before] + 1
+            size, token = np.ones(len(row), np.int64), named[state]
+            for n in range(2, end + 1):
+                on = np.flatnonzero(state < inner)
+                if not len(on):
+                    break
+                at, row = at[on], row[on]
+                state = table[(state[on] << 8) + letters[end - n][row]]
+                on = np.flatnonzero(state)
+                at, row, state = at[on], row[on], state[on]
+                before = path[end - n][row]
+                score, fewer = best[end - n][before] + values[state], tokens[end - n][before] + 1
+                now = top[at]
+                won = np.flatnonzero((score > now) | (score == now) & (fewer < count[at]))
+                if len(won):
+                    to = at[won]
+                    top[to], count[to], size[to], token[to] = score[won], fewer[won], n, named[state[won]]
+            best.append(top)
+            tokens.append(count)
+            last.append(size)
+            chosen.append(token)
+        if used is not None:
+            weights, left = np.array(weights, np.int64), sizes.copy()
+            sums = np.zeros(int(named.max()) + 1, np.int64)
+            for end in range(width, 0, -1):
+                here = np.flatnonzero(left == end)
+                node = path[end][here]
+                np.add.at(sums, chosen[end][node], weights[here])
+                left[here] -= last[end][node]
+            for rank in np.flatnonzero(sums).tolist():
+                used[rank] += int(sums[rank])
+        numbers, scores = np.zeros(len(pieces), np.int64), np.zeros(len(pieces))
+        for end in range(1, width + 1):
+            here = np.flatnonzero(sizes == end)
+            node = path[end][here]
+            numbers[here], scores[here] = tokens[end][node], best[end][node]
+        return zip(numbers.tolist(), scores.tolist())
+
+    def _values(self) -> np.ndarray:
+        """The score of each state of the trie; none for those that are no token."""
+        if self._valued[0] is not self.scores:
+            values = np.full(len(self.suffixes.ranks), -np.inf)
+            for token, state in self.suffixes.states.items():
+                values[state] = self.scores[token]
+            self._valued = self.scores, values
+        return self._valued[1]
+
+    def _one_by_one(
+        self, pieces: list[bytes], weights: Iterable[int], used: Counter | None
+    ) -> list[tuple[int, float]]:
+        """:meth:`count` for long pieces."""
         made = []
         best: list[float] = [0.0]
         tokens: list[int] = [0]
@@ -116,50 +250,85 @@ class UnigramCounter:
             before = piece
         return made
 
-    def rows(self, some: Iterable[str]) -> dict[str, tuple[int, int, float]]:
-        """Pieces, tokens and score of different stretches."""
-        found = {s: self.stretches.pieces(s) for s in some}
-        known = self.known
-        pieces = {p for row in found.values() for p in row if p not in known}
-        pieces = sorted(pieces, key=str.encode)
-        counts = self.count([p.encode() for p in pieces])
-        fresh = {p: (1, n, score) for p, (n, score) in zip(pieces, counts)}
-        known.update((p, c) for p, c in fresh.items() if len(p) <= LONGEST_KEPT)
-        made = {}
-        for s, row in found.items():
-            if len(row) == 1:
-                made[s] = known.get(row[0]) or fresh[row[0]]
-            else:
-                tokens, score = 0, 0.0
-                for p in row:
-                    _, n, part = known.get(p) or fresh[p]
-                    tokens += n
-                    score += part
-                made[s] = (len(row), tokens, score)
-        return made
+    def _forget(self) -> None:
+        """Only frequent stretches stay."""
+        self.known = dict(zip(self.frequent, range(len(self.frequent))))  # by stretch or piece
+        self.held = len(self.frequent)
+
+    def _remember(self, names: list[str], values: np.ndarray) -> None:
+        """Keeps the short ones; beyond the bound, the others are forgotten first."""
+        short = [i for i, s in enumerate(names) if len(s) <= LONGEST_KEPT]
+        if self.held + len(short) > self.kept.shape[1]:
+            self._forget()
+            short = short[: self.kept.shape[1] - self.held]
+        places = range(self.held, self.held + len(short))
+        self.held = places.stop
+        self.kept[:, places.start : places.stop] = values[:, short]
+        self.known.update(zip(map(names.__getitem__, short), places))
+
+    def _recalled(self, names: list[str]) -> tuple[np.ndarray, list[int]]:
+        """Values of different stretches or pieces, and which are not known."""
+        places = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        return self.kept[:, places], np.flatnonzero(places < 0).tolist()
+
+    def rows(self, some: list[str]) -> np.ndarray:
+        """Pieces, tokens and score of stretches, a column for each."""
+        rows = joinable([s for s in some if s.startswith(" ")])
+        names = [s for row in rows for s in row]
+        pieces = [p for row in rows for p in self.stretches.pieces("".join(row))]
+        begins = [i for i, p in enumerate(pieces) if p[0] == " "]  # each of these has one space
+        left = list(set(some).difference(names))
+        for s in left:
+            begins.append(len(pieces))
+            pieces += self.stretches.pieces(s)
+        names += left
+        coded = pa.array(pieces, pa.large_string()).dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        values, new = self._recalled(different)
+        if new:
+            data = [p.encode() for p in map(different.__getitem__, new)]
+            order = sorted(range(len(new)), key=data.__getitem__)
+            counts = np.array(self.count([data[i] for i in order]), np.float64)
+            fresh = np.ones((3, len(new)))
+            fresh[1:, order] = counts.T
+            values[:, new] = fresh
+            self._remember(list(map(different.__getitem__, new)), fresh)
+        values = values[:, coded.indices.to_numpy()]
+        sizes = np.diff([*begins, len(pieces)])
+        row = np.repeat(np.arange(len(names)), sizes)
+        sums = np.stack([np.bincount(row, part, len(names)) for part in values])  # added in order
+        place = dict(zip(names, range(len(names))))
+        return sums[:, np.fromiter(map(place.__getitem__, some), np.int64, len(some))]
 
     def texts(self, texts: list[str]) -> list[tuple[int, int, float]]:
         """Pieces, tokens and score of each text; distinct stretches are counted once."""
-        if len(self.known) - len(self.frequent) > MOST_KEPT:
-            self.known = dict(self.frequent)
-        cut = [self.stretches.cut(text) for text in texts]
-        firsts = [some.pop(0) for some in cut]
-        here = set().union(*cut)
-        values = {s: self.known.get(" " + s) for s in here}  # small, unlike what is kept
-        new = [" " + s for s, value in values.items() if value is None]
-        fresh = self.rows({*new, *firsts})
-        self.known.update((s, fresh[s]) for s in new if len(s) <= LONGEST_KEPT)
-        values.update((s[1:], fresh[s]) for s in new)
-        return [
-            tuple(map(sum, zip(fresh[first], *map(values.__getitem__, others))))
-            for first, others in zip(firsts, cut)
-        ]
+        coded = Coded(texts, self.stretches.cut)
+        others = [" " + s for s in coded.others]
+        values, new = self._recalled(others)
+        some = list(map(others.__getitem__, new))
+        fresh = self.rows(some + coded.firsts)
+        values[:, new] = fresh[:, : len(new)]
+        several = np.flatnonzero(fresh[0, : len(new)] > 1).tolist()  # single pieces are kept
+        self._remember(list(map(some.__getitem__, several)), fresh[:, several])
+        values = np.concatenate([values, fresh[:, len(new) :]], axis=1)
+        numbers = values[:2].astype(np.int64)[:, coded.codes]
+        sums = np.concatenate([np.zeros((2, 1), np.int64), np.cumsum(numbers, axis=1)], axis=1)
+        made = np.diff(sums[:, coded.bounds]).tolist()
+        scores, bounds = values[2, coded.codes].tolist(), coded.bounds.tolist()
+        made.append([sum(scores[a:b]) for a, b in zip(bounds, bounds[1:])])
+        return coded.in_order(list(zip(*made)))
 
 
 @lru_cache(maxsize=2)
 def counter(path: str, pattern: str) -> UnigramCounter:
     """The counter of this worker process whose scores follow the ranks."""
-    return UnigramCounter(read_ranks(path), pattern)
+    return UnigramCounter(read_ranks(path), pattern, suffixes=suffixes(path))
+
+
+@lru_cache(maxsize=1)
+def suffixes(path: str) -> Suffixes:
+    """The trie of this worker process, whatever the scores."""
+    return Suffixes(read_ranks(path))
 
 
 _fitted: dict[str, UnigramCounter] = {}
@@ -169,7 +338,7 @@ def fitted(name: str, path: str, pattern: str, model) -> UnigramCounter:
     """The counter of this worker process by the broadcast ``model`` of that name."""
     if name not in _fitted:
         _fitted.clear()
-        _fitted[name] = UnigramCounter(read_ranks(path), pattern, *model.value)
+        _fitted[name] = UnigramCounter(read_ranks(path), pattern, *model.value, suffixes(path))
     return _fitted[name]
 
 
@@ -209,27 +378,27 @@ def stretch_counts(df: DataFrame, pattern: str, text_col: str = "text") -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _fitted.clear()  # a worker serves many jobs: the memory of one that is over goes
         cut = Stretches(pattern).cut
-        first: Counter[str] = Counter()
-        other: Counter[str] = Counter()
+        number: Counter[str] = Counter()
         read = 0
 
         def counted() -> Iterator[pa.RecordBatch]:
-            for some, space in ((first, ""), (other, " ")):
-                names = pa.array([space + s for s in some], pa.string())
-                numbers = pa.array(some.values(), pa.int64())
-                yield pa.RecordBatch.from_arrays([names, numbers], names=["stretch", "n"])
-                some.clear()
+            number.pop("", None)  # of empty texts
+            arrays = [pa.array(number.keys(), pa.string()), pa.array(number.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["stretch", "n"])
+            number.clear()
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                begin, *others = cut(text)
-                if begin:
-                    first[begin] += 1
-                other.update(others)
-                read += len(text)
-                if len(first) + len(other) > MOST_COUNTED or read > MOST_READ:
-                    yield from counted()
-                    read = 0
+            for begin in range(0, batch.num_rows, STEP):
+                texts = batch.column(0).slice(begin, STEP).to_pylist()
+                for part in steps(texts, TOGETHER):
+                    coded = Coded(texts[part], cut)
+                    uses = np.bincount(coded.codes).tolist()
+                    for s, n in zip([*(" " + s for s in coded.others), *coded.firsts], uses):
+                        number[s] += n
+                    read += sum(map(len, texts[part]))
+                    if len(number) > MOST_COUNTED or read > MOST_READ:
+                        yield from counted()
+                        read = 0
         yield from counted()
 
     parts = map_batches(df.select(text_of(text_col).alias("text")), run, "stretch string, n long")
@@ -286,9 +455,9 @@ def score_stretches(stretches: DataFrame, make: Callable[[], UnigramCounter]) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unigram = make()
         for batch in batches:
-            made = unigram.rows(batch.column(0).to_pylist())
-            arrays = [pa.array(some, kind) for some, kind in zip(zip(*made.values()), kinds)]
-            if arrays:
+            some = batch.column(0).to_pylist()
+            arrays = [pa.array(values).cast(kind) for values, kind in zip(unigram.rows(some), kinds)]
+            if some:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=names)
 
     kinds, names = (pa.int64(), pa.int64(), pa.float64()), ["stretch", "n_pieces", "n_tokens", "log_score"]

@@ -1,8 +1,10 @@
 import random
+from collections import Counter
 
 import public_tokenizers
 
-from cardlens.llm.token_counts import count_tokens, counter
+from cardlens.llm import token_counts
+from cardlens.llm.token_counts import TOGETHER_BYTES, UnigramCounter, count_tokens, counter
 from text_tables import by_id, docs  # noqa: F401
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -46,3 +48,29 @@ def test_no_rows_and_repeated_rows(docs):
     assert count_tokens(docs([]), PATH, PATTERN).count() == 0
     rows = count_tokens(docs([(1, "a b"), (1, "a b")]), PATH, PATTERN).collect()
     assert len(rows) == 2 and rows[0] == rows[1]
+
+
+def test_pieces_cut_together_as_one_by_one():
+    """Whole arrays of pieces at a time, with the same tokens, scores and uses."""
+    random.seed(11)
+    bits = ["the", "ing", "é", "q", "1", "漢", ",", "tion", " ", "\x00", "ab", "\u3000"]
+    pieces = {"".join(random.choices(bits, k=random.randint(1, 14))) for _ in range(3000)} | {"ab" * 300}
+    pieces = sorted(p.encode() for p in pieces)
+    weights = [random.randint(1, 9) for _ in pieces]
+    unigram = counter(PATH, PATTERN)
+    short = [i for i, p in enumerate(pieces) if len(p) <= TOGETHER_BYTES]
+    assert 0 < len(short) < len(pieces)
+    together, alone = Counter(), Counter()
+    expected = unigram._one_by_one(pieces, weights, alone)
+    assert unigram.count(pieces, weights, together) == expected and together == alone
+    some = [pieces[i] for i in short]
+    assert list(unigram._by_depth(some, (), None)) == [expected[i] for i in short]
+
+
+def test_small_memories_and_repeats(monkeypatch):
+    texts = [" ".join(f"w{i % 97}x,{i}" for i in range(k, k + 60)) for k in range(0, 600, 7)] + ["", " a", "  b  c"]
+    expected = counter(PATH, PATTERN).texts(texts)
+    monkeypatch.setattr(token_counts, "MOST_KEPT", 50)
+    small = UnigramCounter(counter(PATH, PATTERN).ranks, PATTERN, None, {" zzz": (1, 1, 0.5)})
+    assert [small.texts([t])[0] for t in texts] == expected == small.texts(texts)
+    assert len(small.known) <= 51 and small.texts(["a zzz"])[0][2] == small.texts(["a"])[0][2] + 0.5
