@@ -36,7 +36,7 @@ from cardlens.llm.tables import map_batches, named, steps, text_of
 #: Bytes of frames after which a block is closed, and the most documents of a block.
 BLOCK_BYTES, BLOCK_DOCUMENTS = 1 << 18, 1024
 #: Characters of texts that a task encodes at a time.
-STEP_CHARS = 1 << 20
+STEP_CHARS = 1 << 21
 #: The dictionary's size, and what it is trained on: so many documents of at most so many
 #: characters (the short ones are those that need it), the least by a hash of id and text.
 DICTIONARY_BYTES, SAMPLE_DOCUMENTS, SAMPLE_CHARS = 1 << 15, 2000, 4000

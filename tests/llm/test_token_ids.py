@@ -2,11 +2,14 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from cardlens.llm import token_ids
+from cardlens.llm.byte_bpe import Stretches
 from cardlens.llm.catalog import BYTE_LEVEL, QUERIES
+from cardlens.llm.stretches import Coded, byte_level
 from text_tables import docs  # noqa: F401
 
 
@@ -104,3 +107,17 @@ def test_query_against_the_library(spark):
     known = expected([tuple(r) for r in rows])
     got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in QUERIES["op12_token_ids"](spark, folder).collect()}
     assert got == {k: (s, n, zlib.crc32(np.array(i, "<u4").tobytes())) for k, (s, n, i) in known.items()}
+
+
+def test_stretches_as_numbers():
+    some = ["a b a", "", " ", "b", "a  b c", "x \n y é", " a b", "漢 b\u3000 a", "\x00 b \x00"]
+    between = Stretches(public_tokenizers.PATTERN).cut
+    coded = Coded(some, between)
+    names = [*(f" {s}" for s in coded.others), *coded.firsts]
+    parts = [coded.codes[a:b].tolist() for a, b in zip(coded.bounds, coded.bounds[1:])]
+    made = coded.in_order([[names[c] for c in part] for part in parts])
+    assert made == [[first, *(f" {s}" for s in others)] for first, *others in map(between, some)]
+    assert len(set(coded.others)) == len(coded.others) and len(set(coded.firsts)) == len(coded.firsts)
+    model = byte_level(BYTE_LEVEL, plain=False)
+    assert model.encode([]) == []
+    assert list(map(token_ids.as_integers, model.encode(some))) == model.whole(some)
