@@ -1,9 +1,10 @@
 """Token counts under a unigram model, by dynamic programming on a shared trie.
 
-A piece is cut into the tokens of the greatest total score. Pieces are sorted, so that the trie
-of a batch is walked depth first: only the scores along the present path are held, each prefix
-is scored once however many pieces share it, and the number of tokens is stored where a piece
-ends.
+A piece is cut into the tokens of the greatest total score. Pieces are sorted, so that prefixes
+which they share are known by their neighbours: each is scored once however many pieces share
+it, all of one length at a time, as arrays. The tokens that a prefix may end in are found along
+a trie of reversed tokens. Long pieces are walked depth first, one by one, with the scores along
+the present path.
 
 :func:`count_by_corpus` estimates the scores from all texts. Spark counts the different
 stretches between spaces; their best cuts under a first model say how often the corpus has each
