@@ -10,8 +10,10 @@ besides is a part of the benchmark of bounded size, and a larger benchmark is ta
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 from cardlens.llm.graphs import stored
-from cardlens.llm.tables import STEP, ascii_words, filter_texts, map_batches, named, text_of
+from cardlens.llm.tables import STEP, WORD_BYTES, ascii_words, filter_texts, map_batches, named, text_of
 from cardlens.plans.layout import under_settings
 from cardlens.session import scratch_folder
 
@@ -31,6 +33,10 @@ PART_BYTES = 8 << 20
 BLOCK_BYTES, PROBES = 2 << 20, 1 << 19
 #: Blocks that a task reads at a time, and texts that one which packs blocks gets at a time.
 BLOCKS_READ, TEXTS_READ = 4, 256
+#: Bytes of a row group of the stored index: what a task holds of it, however much it writes or reads.
+GROUP_BYTES = 16 << 20
+#: Bytes of a text whose words are Python objects at a time.
+RUN_BYTES = 1 << 20
 
 _PLACE = np.int64(40)  # a posting is term << 40 | position
 
@@ -67,15 +73,11 @@ class Block:
     places: np.ndarray
 
     @classmethod
-    def of(cls, documents: list[list[bytes]]) -> Block:
-        numbers: dict[bytes, int] = {}
-        lengths = np.array([len(words) for words in documents], np.int64)
-        number = numbers.setdefault
-        stream = np.fromiter(
-            (number(word, len(numbers)) for words in documents for word in words),
-            np.int32,
-            int(lengths.sum()),
-        )
+    def of(cls, documents: Iterable[Iterable[bytes]]) -> Block:
+        numbers: dict[bytes, int] = defaultdict(count().__next__)
+        streams = [np.fromiter(map(numbers.__getitem__, words), np.int32) for words in documents]
+        lengths = np.array([len(stream) for stream in streams], np.int64)
+        stream = np.concatenate([np.zeros(0, np.int32), *streams])
         places = np.argsort(stream, kind="stable").astype(np.int32)
         counts = np.bincount(stream, minlength=len(numbers))
         return cls(lengths, list(numbers), np.concatenate([[0], np.cumsum(counts)]), places)
@@ -192,6 +194,21 @@ class Search:
         ]
 
 
+def words_of(text: bytes) -> Iterator[bytes]:
+    """:func:`ascii_words`, of which a long text has few as Python objects at a time."""
+
+    def runs() -> Iterator[list[bytes]]:
+        plain = text.translate(WORD_BYTES)
+        begin = 0
+        while begin < len(plain):
+            end = plain.find(b" ", begin + RUN_BYTES)
+            end = len(plain) if end < 0 else end
+            yield plain[begin:end].split()
+            begin = end
+
+    return chain.from_iterable(runs())
+
+
 def blocks_of(texts: list[bytes]) -> Iterator[list[bytes]]:
     """Texts in runs of about ``BLOCK_BYTES``; a longer one alone."""
     held: list[bytes] = []
@@ -214,8 +231,8 @@ def write_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     schema = StructType([ids, *fields.fields])
     arrow = to_arrow_schema(schema)
 
-    def packed(names: list, documents: list[list[bytes]]) -> pa.RecordBatch:
-        block = Block.of(documents)
+    def packed(names: list, texts: list[bytes]) -> pa.RecordBatch:
+        block = Block.of(map(words_of, texts))
         heads = block.heads.astype(np.int64).tobytes()
         row = (names, block.lengths.tolist(), b" ".join(block.words), heads, block.steps().tobytes())
         arrays = [pa.array([value], f.type) for value, f in zip(row, arrow)]
@@ -223,24 +240,38 @@ def write_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: list = []
-        documents: list[list[bytes]] = []
+        texts: list[bytes] = []
         size = 0
         for batch in batches:
             for begin in range(0, batch.num_rows, STEP):
                 part = batch.slice(begin, STEP)
                 for name, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     if names and size + len(text) > BLOCK_BYTES:
-                        yield packed(names, documents)
-                        names, documents, size = [], [], 0
+                        yield packed(names, texts)
+                        names, texts, size = [], [], 0
                     names.append(name)
-                    documents.append(ascii_words(text))
+                    texts.append(text)
                     size += len(text)
         if names:
-            yield packed(names, documents)
+            yield packed(names, texts)
 
     blocks = map_batches(rows, run, schema).withColumn("block", F.monotonically_increasing_id())
-    few = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(TEXTS_READ)}
-    under_settings(docs.sparkSession, few, lambda: blocks.write.parquet(path))
+    few = at_a_time(TEXTS_READ)
+    # a row is megabytes: the writer weighs what it holds after each, not after a hundred
+    grouped = {
+        "parquet.block.size": GROUP_BYTES,
+        "parquet.page.size.row.check.min": 1,
+        "parquet.page.size.row.check.max": 1,
+    }
+    under_settings(docs.sparkSession, few, lambda: blocks.write.options(**grouped).parquet(path))
+
+
+def at_a_time(rows: int) -> dict[str, str]:
+    """Settings under which a task takes so many rows at a time out of Parquet and to Python."""
+    return {
+        "spark.sql.parquet.columnarReaderBatchSize": str(rows),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+    }
 
 
 def passage_parts(
@@ -301,7 +332,7 @@ def search_index(
 
     made = None
     # a row is megabytes: few of them at a time
-    few = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BLOCKS_READ)}
+    few = at_a_time(BLOCKS_READ)
     for number, passages in enumerate(
         passage_parts(benchmark, item_col, item_text_col, window, part_bytes)
     ):
@@ -393,7 +424,7 @@ def drop_contaminated(
             def work(texts: list[bytes]) -> list[bool]:
                 clean: list[bool] = []
                 for some in blocks_of(texts):
-                    block = Block.of([ascii_words(t) for t in some])
+                    block = Block.of(map(words_of, some))
                     clean += [not row["spans"] for row in Search(block, shared.value, 0).found(0)]
                 return clean
 

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow.parquet as pq
 import pytest
 
 from cardlens.llm import decontamination
@@ -158,3 +159,25 @@ def test_texts_are_packed_few_at_a_time(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "index")
     decontamination.write_index(docs, path)
     assert spark.read.parquet(path).selectExpr("explode(ids)").count() == 1000
+
+
+def test_a_task_holds_little_of_the_index(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(decontamination, "GROUP_BYTES", 1 << 16, raising=False)
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(300)) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    path = tmp_path / "index"
+    decontamination.write_index(docs, str(path))
+    (file,) = path.glob("part-*")
+    stored = pq.ParquetFile(file).metadata
+    groups = [stored.row_group(i).total_byte_size for i in range(stored.num_row_groups)]
+    assert stored.num_rows >= 250 and sum(groups) > 500_000
+    assert max(groups) < 100_000  # the limit and a row
+
+
+@pytest.mark.parametrize("size", [1, 7, 1 << 20])
+def test_words_of_a_text_in_runs(monkeypatch, size):
+    monkeypatch.setattr(decontamination, "RUN_BYTES", size)
+    for text in ("", " ", "one", "  The é, of\nthe--THE a1 Über!  ", "x" * 50 + " y"):
+        assert [w.decode() for w in decontamination.words_of(text.encode())] == words(text)
